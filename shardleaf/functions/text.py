@@ -54,40 +54,35 @@ def ready_match_name(row_id: Column) -> Column:
     return F.regexp_replace(F.lower(row_id), r"^sr\d*_", "")
 
 
-def _character(code: Column) -> Column:
-    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    safe = F.when(valid, code).otherwise(F.lit(0xFFFD))
-    return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
-
-
-def decode_entities(text: Column) -> Column:
-    """Decode character references once: numeric ones and the names of HTML 4 (plus apos)."""
-    rare = F.create_map(*[x for name, code in name2codepoint.items() for x in (F.lit(name), F.lit(chr(code)))])
-
-    def one(piece: Column, index: Column) -> Column:
-        name = F.regexp_extract(piece, r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);", 1)
-        dec = F.regexp_extract(name, r"^#0*([0-9]{1,9})$", 1)
-        hexa = F.regexp_extract(name, r"^#[xX]0*([0-9a-fA-F]{1,8})$", 1)
-        decoded = (
-            F.when(name == "", F.lit(None).cast("string"))
-            .when(name == "amp", F.lit("&"))
-            .when(name == "lt", F.lit("<"))
-            .when(name == "gt", F.lit(">"))
-            .when(name == "quot", F.lit('"'))
-            .when(name == "apos", F.lit("'"))
-            .when(dec != "", _character(dec.try_cast("long")))
-            .when(hexa != "", _character(F.conv(hexa, 16, 10).try_cast("long")))
-            .when(name.startswith("#"), F.lit("\uFFFD"))
-            .otherwise(F.try_element_at(rare, name))
-        )
-        rest = F.substr(piece, F.length(name) + 2)
-        return (
-            F.when(index == 0, piece)
-            .when(decoded.isNull(), F.concat(F.lit("&"), piece))
-            .otherwise(F.concat(decoded, rest))
-        )
-
-    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(F.split(text, "&"), one), "")).otherwise(text)
+# Names of HTML 4 as one SQL literal, folded to a constant. Named references beyond it stay as they are.
+_NAMED = "map(" + ", ".join(rf"'{name}', '\u{code:04X}'" for name, code in name2codepoint.items()) + ")"
+# Steps per piece of text after an ampersand: its reference name, the code point or character it means.
+_DECODE = r"""
+CASE WHEN contains({c}, '&') THEN array_join(transform(transform(transform(
+  split({c}, '&'),
+  (piece, i) -> struct(piece, if(i = 0, '', regexp_extract(piece, r'^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);', 1)) AS name, i)),
+  s -> struct(s.piece, s.name, s.i,
+    CASE WHEN s.name NOT LIKE '#%' THEN NULL
+      WHEN s.name RLIKE '^#0*[0-9]{{1,9}}$' THEN try_cast(substr(s.name, 2) AS BIGINT)
+      WHEN s.name RLIKE '^#[xX]0*[0-9a-fA-F]{{1,8}}$' THEN try_cast(conv(substr(s.name, 3), 16, 10) AS BIGINT)
+      ELSE 0 END AS code)),
+  s -> CASE WHEN s.i = 0 THEN s.piece
+    WHEN s.name = '' THEN concat('&', s.piece)
+    ELSE coalesce(concat(
+      CASE s.name WHEN 'amp' THEN '&' WHEN 'lt' THEN '<' WHEN 'gt' THEN '>' WHEN 'quot' THEN '"' WHEN 'apos' THEN chr(39)
+        ELSE CASE WHEN s.code IS NULL THEN try_element_at({named}, s.name)
+          WHEN s.code BETWEEN 1 AND 55295 OR s.code BETWEEN 57344 AND 1114111 THEN decode(unhex(lpad(hex(s.code), 8, '0')), 'UTF-32')
+          ELSE '\uFFFD' END END,
+      substr(s.piece, length(s.name) + 2)), concat('&', s.piece)) END), '')
+ELSE {c} END"""
+
+
+def decode_entities(column: str) -> Column:
+    """Decode the character references of a named column once: `&amp;lt;` becomes `&lt;`.
+
+    Written as SQL text: as Column calls it would cost hundreds of round trips to the JVM per use.
+    """
+    return F.expr(_DECODE.format(c=f"`{column}`", named=_NAMED))
 
 
 def _element_pattern(selector: str) -> str:
@@ -124,10 +119,6 @@ def tidy_blank_lines(text: Column) -> Column:
     return F.rtrim(collapsed, F.lit("\n"))
 
 
-def html_text(html: Column, drop: Sequence[str]) -> Column:
-    return tidy_blank_lines(decode_entities(without_tags(without_elements(without_comments(html), drop))))
-
-
 def fold_line(start: Column, end: Column, text: Column) -> Column:
     """First line without its trailing start marker, then the marker, an ellipsis and the end marker."""
     start, end = F.coalesce(start, F.lit("")), F.coalesce(end, F.lit(""))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import first_char, match_name, normal_query, squeezed
 from ..plans import broadcast_if_small, numbered
+from ..plans.bounds import MAX_BYTES, MAX_ROWS
 
 ITEM = ["section", "shard", "id", "label"]
 TARGET = ["url", "same_frame", "scope"]
@@ -67,28 +68,32 @@ def _prepared(queries: DataFrame) -> tuple[DataFrame, list[str]]:
     return ready.where("shard is not null"), keys
 
 
-def _candidates(entries: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Entries with one row per prefix that some query could equal: the prefix test as an equi-join.
+def _looked_up(wanted: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:
+    """wanted joined with the entries it finds, the prefix test made an equi-join.
 
-    The row factor is the number of distinct query lengths, whatever the number of queries, so no
-    query is compared with a whole shard.
+    An entry gets one row per query length that occurs (not per query), so no query is compared with
+    a whole shard. One pass over the queries gives the lengths, the shards that prune the index
+    folders, and the size that decides about a broadcast.
     """
-    seen = wanted.agg(
-        F.collect_set(F.length("q_enc")).alias("lengths"), F.collect_set("shard").alias("shards")
+    row_bytes = F.octet_length(F.to_json(F.struct("*"))).cast("long")
+    seen = wanted.select("shard", F.length("q_enc").alias("length"), row_bytes.alias("bytes")).agg(
+        F.collect_set("length").alias("lengths"), F.collect_set("shard").alias("shards"),
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
     ).first()
-    lengths, shards = sorted(seen["lengths"]), seen["shards"]
-    if len(shards) <= PRUNE_SHARDS:
-        entries = entries.where(F.col("shard").isin(shards))
+    if seen["rows"] <= MAX_ROWS and seen["bytes"] <= MAX_BYTES:
+        wanted = F.broadcast(wanted)
+    if len(seen["shards"]) <= PRUNE_SHARDS:
+        entries = entries.where(F.col("shard").isin(seen["shards"]))
     size = F.length("match_name")
-    if len(lengths) <= LIST_LENGTHS:
-        cuts = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= size)
+    if len(seen["lengths"]) <= LIST_LENGTHS:
+        lengths = F.array(*[F.lit(n) for n in sorted(seen["lengths"])]).cast("array<int>")
+        cuts = F.filter(lengths, lambda n: n <= size)
     else:
         cuts = F.when(size > 0, F.sequence(F.lit(1), size))
-    return (
-        entries.withColumn("_cut", F.explode(cuts))
-        .withColumn("q_enc", F.substring("match_name", F.lit(1), F.col("_cut")))
-        .drop("_cut")
+    rows = entries.withColumn("_cut", F.explode(cuts)).withColumn(
+        "q_enc", F.substring("match_name", F.lit(1), F.col("_cut"))
     )
+    return wanted.join(rows.drop("_cut"), keys)
 
 
 def batch_prefix_join(queries: DataFrame, entries: DataFrame) -> DataFrame:
@@ -97,8 +102,7 @@ def batch_prefix_join(queries: DataFrame, entries: DataFrame) -> DataFrame:
     With a `section` column each query stays in its section, otherwise it searches all of them.
     """
     ready, keys = _prepared(queries)
-    rows = _candidates(entries, ready)
-    return broadcast_if_small(ready.drop("q")).join(rows, keys).drop("q_enc")
+    return _looked_up(ready.drop("q"), entries, keys).drop("q_enc")
 
 
 def _matched(queries: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -107,8 +111,7 @@ def _matched(queries: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFra
     A popular query is looked up once, however many rows ask for it.
     """
     ready, keys = _prepared(queries)
-    wanted = ready.select(*keys).distinct()
-    return ready, broadcast_if_small(wanted).join(_candidates(entries, wanted), keys), keys
+    return ready, _looked_up(ready.select(*keys).distinct(), entries, keys), keys
 
 
 def match_counts(queries: DataFrame, entries: DataFrame) -> DataFrame:
@@ -151,25 +154,28 @@ def group_results(matches: DataFrame, per_part: int = TARGETS_PER_PART) -> DataF
 
     Copies of a target are combined before the shuffle and kept as a count in the struct. A symbol
     with more than per_part distinct targets comes in several rows (part 0, 1, ..) that together
-    hold all of them; n_targets is always the total of the symbol.
+    hold all of them; n_targets is always the total of the symbol. A count per symbol, combined on
+    the map side, tells first whether there is any such symbol.
     """
     key = ["section", "id", "label"]
     distinct = matches.groupBy(*key, *TARGET).agg(F.count(F.lit(1)).alias("copies"))
-    sizes = distinct.groupBy(*key).agg(F.count(F.lit(1)).alias("_distinct"), F.sum("copies").alias("_total"))
-    big = broadcast_if_small(sizes.where(F.col("_distinct") > per_part))
-    parts = F.ceil(F.col("_distinct") / F.lit(per_part)).cast("long")
-    part = F.coalesce(F.pmod(F.xxhash64(*TARGET), parts), F.lit(0)).cast("int")
-    target = F.struct("scope", "url", "same_frame", "copies")
-    rows = (
-        distinct.join(big, key, "left")
-        .groupBy(*key, part.alias("part"))
-        .agg(
-            F.transform(
-                F.sort_array(F.collect_list(target)),
-                lambda t: F.struct(t.url.alias("url"), t.same_frame.alias("same_frame"), t.scope.alias("scope"), t.copies.alias("copies")),
-            ).alias("targets"),
-            F.coalesce(F.max("_total"), F.sum("copies")).alias("n_targets"),
+    largest = matches.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
+    if largest > per_part:
+        sizes = distinct.groupBy(*key).agg(F.count(F.lit(1)).alias("_distinct"), F.sum("copies").alias("_total"))
+        big = broadcast_if_small(sizes.where(F.col("_distinct") > per_part))
+        parts = F.ceil(F.col("_distinct") / F.lit(per_part)).cast("long")
+        same = [distinct[k].eqNullSafe(big[k]) for k in key]
+        distinct = distinct.join(big, same, "left").select(
+            distinct["*"], "_total", F.coalesce(F.pmod(F.xxhash64(*[distinct[c] for c in TARGET]), parts), F.lit(0)).cast("int").alias("part")
         )
+    else:
+        distinct = distinct.withColumns({"_total": F.lit(None).cast("long"), "part": F.lit(0)})
+    rows = distinct.groupBy(*key, "part").agg(
+        F.transform(
+            F.sort_array(F.collect_list(F.struct("scope", "url", "same_frame", "copies"))),
+            lambda t: F.struct(t["url"].alias("url"), t["same_frame"].alias("same_frame"), t["scope"].alias("scope"), t["copies"].alias("copies")),
+        ).alias("targets"),
+        F.coalesce(F.max("_total"), F.sum("copies")).alias("n_targets"),
     )
     return rows.withColumn("is_group", F.col("n_targets") > 1)
 

@@ -23,18 +23,17 @@ def symbol_entries(
     `section` is a literal name when given as str; the other arguments are columns.
     """
     col = lambda c: F.col(c) if isinstance(c, str) else c
-    name = match_name(F.lower(col(label)))
     rows = df.select(
         (F.lit(section) if isinstance(section, str) else section).alias("section"),
         first_char(col(label)).alias("shard"),
-        (name if ready_id is None else col(ready_id)).alias("id"),
-        (name if ready_id is None else ready_match_name(col(ready_id))).alias("match_name"),
+        (match_name(F.lower(col(label))) if ready_id is None else col(ready_id)).alias("id"),
         col(label).alias("label"),
         col(url).cast("string").alias("url"),
         (F.lit(same_frame) if isinstance(same_frame, bool) else same_frame).alias("same_frame"),
         col(scope).cast("string").alias("scope"),
     )
-    return rows.select(*COLUMNS)
+    name = F.col("id") if ready_id is None else ready_match_name(F.col("id"))
+    return rows.select(*[name.alias(c) if c == "match_name" else c for c in COLUMNS])
 
 
 def nested_entries(df: DataFrame) -> DataFrame:

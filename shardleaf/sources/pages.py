@@ -14,13 +14,8 @@ _LINK = r"(?is)<a\s[^>]*/>|<a\s[^>]*>.*?(?=</a\s*>|<a\s|\z)"
 
 def _attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of one start tag, null if absent."""
-    start = rf"(?is)^<[a-z][^>]*?\s{name}\s*=\s*"
-    double, single, bare = r'"([^"]*)"', r"'([^']*)'", r"([^\s\"'>]+)"
-    return (
-        F.when(tag.rlike(start + double), F.regexp_extract(tag, start + double, 1))
-        .when(tag.rlike(start + single), F.regexp_extract(tag, start + single, 1))
-        .when(tag.rlike(start + bare), F.regexp_extract(tag, start + bare, 1))
-    )
+    quoted = F.regexp_extract(tag, rf"""(?is)^<[a-z][^>]*?\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return F.when(quoted != "", F.regexp_replace(quoted, r"""(?s)^(["'])(.*)\1$""", "$2"))
 
 
 def extract_links(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -34,11 +29,13 @@ def extract_links(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         lambda e: e.rlike(r"(?is)^<a\s(?:[^>]*\s)?href\s*="),
     )
     rows = pages.select("page_id", *keep, F.posexplode(links).alias("pos", "element"))
-    text = F.regexp_replace("element", r"(?s)^<[^>]*>", "")
-    return rows.select(
+    rows = rows.select(
         "page_id", *keep, "pos",
-        F.coalesce(decode_entities(_attribute(F.col("element"), "href")), F.lit("")).alias("href"),
-        decode_entities(without_tags(text)).alias("anchor"),
+        F.coalesce(_attribute(F.col("element"), "href"), F.lit("")).alias("href"),
+        without_tags(F.regexp_replace("element", r"(?s)^<[^>]*>", "")).alias("anchor"),
+    )
+    return rows.select(
+        "page_id", *keep, "pos", decode_entities("href").alias("href"), decode_entities("anchor").alias("anchor")
     )
 
 
@@ -63,7 +60,7 @@ def page_meta(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1).alias("title"),
     ).select(
         "page_id", *keep,
-        filled(decode_entities(F.col("title"))).alias("title"),
+        filled(decode_entities("title")).alias("title"),
         filled(F.coalesce(_attribute(F.col("root"), "lang"), F.lit(""))).alias("lang"),
         F.coalesce(
             filled(_attribute(meta(r"(?is)\scharset\s*="), "charset")),

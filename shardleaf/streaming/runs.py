@@ -22,7 +22,7 @@ def as_local(instant: Column) -> Column:
     return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
 
 
-def read_events(spark: SparkSession, path: str, schema: StructType | str, bytes_per_batch: str = "1g") -> DataFrame:
+def read_events(spark: SparkSession, path: str, schema: StructType | str, bytes_per_batch: int = 1 << 30) -> DataFrame:
     """Parquet files as a stream, a bounded number of bytes per batch; zone-less times become instants."""
     raw = spark.readStream.schema(schema).option("maxBytesPerTrigger", bytes_per_batch).parquet(path)
     local = [f.name for f in raw.schema.fields if f.dataType.typeName() == "timestamp_ntz"]

@@ -27,7 +27,7 @@ class _Settings(StatefulProcessor):
         best = before
         for pdf in rows:
             row = pdf.sort_values(["us", "seq"]).iloc[-1]
-            new = (int(row["us"]), int(row["seq"]), plain(row["value"]), int(row["days"]))
+            new = (int(row["us"]), int(row["seq"]), plain(row["value"], "string"), int(row["days"]))
             if best is None or new[:2] > best[:2]:
                 best = new
         if best == before:

@@ -35,37 +35,40 @@ class InOrder(StatefulProcessor):
         raise NotImplementedError
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = None
+        first = None
         for pdf in rows:
             us = pdf["us"].astype("int64")
-            columns = [us, pdf["seq"].astype("int64"), *[pdf[c] for c in self.PAYLOAD]]
-            self.waiting.appendList([tuple(plain(v) for v in row) for row in zip(*columns)])
-            top = int((-((-us) // 1000)).max())
-            last = top if last is None else max(last, top)
-        if last is not None:
-            self.handle.registerTimer(last)
+            columns = [[plain(v, t) for v in pdf[c]] for c, t in self.PAYLOAD.items()]
+            self.waiting.appendList(list(zip(us.tolist(), pdf["seq"].astype("int64").tolist(), *columns)))
+            first = int(us.min()) if first is None else min(first, int(us.min()))
+        if first is not None:
+            self._wake(first)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentWatermarkInMs()
+        covered = timerValues.getCurrentWatermarkInMs() * 1000
         held = [tuple(r) for r in self.waiting.get()]
-        ready = sorted((r for r in held if r[0] <= now * 1000), key=lambda r: r[:2])
-        later = [r for r in held if r[0] > now * 1000]
+        later = [r for r in held if r[0] > covered]
         if later:
             self.waiting.put(later)
+            self._wake(min(r[0] for r in later))
         else:
             self.waiting.clear()
-        out = self.on_rows(key, ready)
+        out = self.on_rows(key, sorted((r for r in held if r[0] <= covered), key=lambda r: r[:2]))
         if out:
             yield pd.DataFrame(out, columns=self.OUTPUT)
 
+    def _wake(self, us: int) -> None:
+        """A timer for the earliest waiting row: when it fires, all rows up to the watermark go."""
+        self.handle.registerTimer(-(-us // 1000))
+
     def close(self) -> None:
         pass
 
 
-def plain(value):
-    """State rows hold Python values: NaN and NaT of pandas become None, numpy numbers plain ones."""
-    if value is None or (not isinstance(value, str) and pd.isna(value)):
-        return None
-    return value.item() if hasattr(value, "item") else value
+PYTHON = {"string": str, "int": int, "long": int, "boolean": bool}
+
 
+def plain(value, kind: str):
+    """State takes Python values of the declared type. pandas turns null into NaN and then int into float."""
+    return None if value is None or value != value else PYTHON[kind](value)

@@ -29,7 +29,7 @@ def facet_events(events):
 
 
 def live(spark, sf):
-    return st.read_events(spark, f"{sf}/events.parquet", table(spark, sf, "events").schema)
+    return st.read_events(spark, f"{sf}/events.parquet*", table(spark, sf, "events").schema)
 
 
 def q_debounce_stream(spark, sf):
@@ -75,7 +75,11 @@ def q_toggle_all_stream(spark, sf):
         F.col("user_id").alias("page_id"), F.when(~is_all, F.col("k").cast("string")).alias("id"), is_all.alias("is_all"),
         "ts", F.col("event_id").alias("seq"),
     )
-    return st.drain(st.toggle_all_stream(clicks)).drop("batch_id")
+    told = st.drain(st.toggle_all_stream(clicks))
+    # What holds now: the last word on the whole page, and the last on each block since then.
+    told = told.groupBy("page_id", "id").agg(F.max_by("is_open", "batch_id").alias("is_open"), F.max("batch_id").alias("b"))
+    whole = told.where("id is null").select("page_id", F.col("b").alias("reset"))
+    return told.join(whole, "page_id", "left").where("reset is null or b >= reset").select("page_id", "id", "is_open")
 
 
 def q_facet_stream(spark, sf):
@@ -136,5 +140,13 @@ last AS (SELECT user_id AS scope_id, event_type AS key, CASE WHEN k > 0 THEN CAS
 ops AS (SELECT *, CASE WHEN days < 0 THEN 'delete' WHEN days > 0 AND ts + to_days(CAST(days AS INTEGER)) <= t THEN 'expire' ELSE 'set' END AS op FROM last, wm)
 SELECT scope_id, key, CASE WHEN op = 'set' THEN value END AS value, op FROM ops""",
     "toggle_stream": "SELECT CAST(user_id AS VARCHAR) AS id, count(*) % 2 = 1 AS is_open FROM events WHERE event_type = 'click' GROUP BY 1",
+    "toggle_all_stream": f"""WITH {EVENTS_K},
+rows AS (SELECT user_id AS page_id, event_type = 'signup' AS is_all, CAST(k AS VARCHAR) AS id, ts, event_id FROM ev WHERE event_type IN ('click', 'signup')),
+wm AS (SELECT make_timestamp(epoch_us(max(ts)) // 1000 * 1000) AS t FROM rows),
+past AS (SELECT rows.* FROM rows, wm WHERE ts <= t),
+whole AS (SELECT page_id, max((ts, event_id)) AS last_all, count(*) % 2 = 0 AS base FROM past WHERE is_all GROUP BY 1)
+SELECT page_id, NULL AS id, base AS is_open FROM whole
+UNION ALL SELECT page_id, id, (coalesce(any_value(base), TRUE) <> (count(*) % 2 = 1)) FROM past LEFT JOIN whole USING (page_id)
+  WHERE NOT is_all AND (last_all IS NULL OR (ts, event_id) > last_all) GROUP BY 1, 2""",
     "facet_stream": f"WITH {_FACETS} SELECT f.* FROM facets f, (SELECT make_timestamp(epoch_us(max(ts)) // 1000 * 1000) AS t FROM f) w WHERE f.ts <= w.t",
 }

@@ -54,8 +54,8 @@ def ready_match_name(row_id: Column) -> Column:
     return F.regexp_replace(F.lower(row_id), r"^sr\d*_", "")
 
 
-# Names of HTML 4 as one SQL literal, folded to a constant. Named references beyond it stay as they are.
-_NAMED = "map(" + ", ".join(rf"'{name}', '\u{code:04X}'" for name, code in name2codepoint.items()) + ")"
+# Names of HTML 4, as one literal that is folded to a constant map. Other names stay as they are.
+_NAMED = "str_to_map('" + ";".join(rf"{name}=\u{code:04X}" for name, code in name2codepoint.items()) + "', ';', '=')"
 # Steps per piece of text after an ampersand: its reference name, the code point or character it means.
 _DECODE = r"""
 CASE WHEN contains({c}, '&') THEN array_join(transform(transform(transform(
@@ -85,30 +85,36 @@ def decode_entities(column: str) -> Column:
     return F.expr(_DECODE.format(c=f"`{column}`", named=_NAMED))
 
 
+RAW = ("script", "style")  # their text is not markup and ends at the first end tag
+
+
 def _element_pattern(selector: str) -> str:
     """Pattern of a whole element. `tag`, `.class` or `tag.class`; same-tag children are balanced."""
     tag, _, cls = selector.partition(".")
-    if tag.lower() in ("script", "style"):  # raw text: ends at the first end tag
-        return rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>"
-    name = tag or r"\w+"
     attrs = rf'(?=[^>]*\sclass\s*=\s*["\'](?:[^"\'>]*\s)?{cls}(?:\s[^"\'>]*)?["\'])' if cls else ""
     body = r"[^<]*+(?:<(?!/?\1\b)[^<]*+)*+"
     for _ in range(NESTING):
         body = rf"[^<]*+(?:(?:<\1\b[^>]*+>{body}</\1\s*+>|<(?!/?\1\b))[^<]*+)*+"
-    return rf"(?is)<({name})\b{attrs}[^>]*+>{body}</\1\s*+>"
+    return rf"(?is)<({tag or '[a-z][a-z0-9]*+'})\b{attrs}[^>]*+>{body}</\1\s*+>"
 
 
 def without_elements(html: Column, selectors: Sequence[str]) -> Column:
-    """Remove the selected elements with all they hold. Loops are possessive: linear, no deep stack."""
+    """Remove comments and the selected elements with all they hold.
+
+    Comments and raw elements go in one pass, since either may hold what looks like the other. All
+    loops are possessive: linear time, no deep stack.
+    """
+    raw = [s.lower() for s in selectors if s.lower() in RAW]
+    hidden = r"(?is)<!--.*?-->"
+    if raw:
+        hidden += rf"|<({'|'.join(raw)})\b[^>]*+>.*?</\1\s*+>"
+    html = F.regexp_replace(html, hidden, "")
     for s in selectors:
-        html = F.regexp_replace(html, _element_pattern(s), "")
+        if s.lower() not in RAW:
+            html = F.regexp_replace(html, _element_pattern(s), "")
     return html
 
 
-def without_comments(html: Column) -> Column:
-    return F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-
-
 def without_tags(html: Column) -> Column:
     return F.regexp_replace(html, r"</?[A-Za-z!][^>]*>", "")
 

@@ -22,7 +22,7 @@ def next_prev_visible(
     The index is unique in its group, as item_index is.
     """
     i = F.col(index).cast("long")
-    rows = items.withColumns({"_chunk": F.floor(i / F.lit(chunk)), "_shown": F.when(F.col(visible), i)})
+    rows = items.withColumns({"_chunk": i - F.pmod(i, F.lit(chunk)), "_shown": F.when(F.col(visible), i)})
     inside = Window.partitionBy(*keys, "_chunk").orderBy(index)
     across = Window.partitionBy(*keys).orderBy("_chunk")
     carry = rows.groupBy(*keys, "_chunk").agg(F.min("_shown").alias("_first"), F.max("_shown").alias("_last")).select(

@@ -61,11 +61,11 @@ def section_search(entries: DataFrame, section: str, q: str) -> DataFrame:
 
 
 def _prepared(queries: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Add shard and the encoded text; empty queries search nothing and are left out."""
+    """Add shard and the encoded text; an empty query has no shard."""
     keys = (["section"] if "section" in queries.columns else []) + ["shard", "q_enc"]
     text = F.col("q")
     ready = queries.withColumns({"shard": first_char(text), "q_enc": match_name(normal_query(text))})
-    return ready.where("shard is not null"), keys
+    return ready, keys
 
 
 def _looked_up(wanted: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:
@@ -102,7 +102,7 @@ def batch_prefix_join(queries: DataFrame, entries: DataFrame) -> DataFrame:
     With a `section` column each query stays in its section, otherwise it searches all of them.
     """
     ready, keys = _prepared(queries)
-    return _looked_up(ready.drop("q"), entries, keys).drop("q_enc")
+    return _looked_up(ready.where("shard is not null").drop("q"), entries, keys).drop("q_enc")
 
 
 def _matched(queries: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -111,7 +111,8 @@ def _matched(queries: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFra
     A popular query is looked up once, however many rows ask for it.
     """
     ready, keys = _prepared(queries)
-    return ready, _looked_up(ready.select(*keys).distinct(), entries, keys), keys
+    wanted = ready.where("shard is not null").select(*keys).distinct()
+    return ready, _looked_up(wanted, entries, keys), keys
 
 
 def match_counts(queries: DataFrame, entries: DataFrame) -> DataFrame:
@@ -124,16 +125,11 @@ def match_counts(queries: DataFrame, entries: DataFrame) -> DataFrame:
     counts = found.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_matches"), F.sum("_targets").alias("n_targets")
     )
-    per_query = ready.select("qid", *keys).join(counts, keys)
-    return (
-        queries.select("qid")
-        .join(per_query.select("qid", "n_matches", "n_targets"), "qid", "left")
-        .select(
-            "qid",
-            F.coalesce("n_matches", F.lit(0)).alias("n_matches"),
-            F.coalesce("n_targets", F.lit(0)).alias("n_targets"),
-            F.col("n_matches").isNull().alias("no_match"),
-        )
+    return ready.select("qid", *keys).join(counts, keys, "left").select(
+        "qid",
+        F.coalesce("n_matches", F.lit(0)).alias("n_matches"),
+        F.coalesce("n_targets", F.lit(0)).alias("n_targets"),
+        F.col("n_matches").isNull().alias("no_match"),
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.text import decode_entities, fold_line, without_comments, without_elements, without_tags
+from ..functions.text import decode_entities, fold_line, without_elements, without_tags
 from ..functions.text import tidy_blank_lines as tidy
 
 # Parts of a listing that are not part of its text.
@@ -16,7 +16,7 @@ PAGE_EXTRAS = ("script", "style")
 
 def page_text(pages: DataFrame, drop: Sequence[str] = (*PAGE_EXTRAS, *LISTING_EXTRAS)) -> DataFrame:
     """(page_id, text) without the dropped elements (`tag`, `.class` or `tag.class`) and without tags."""
-    bare = without_tags(without_elements(without_comments(F.col("html")), drop))
+    bare = without_tags(without_elements(F.col("html"), drop))
     return pages.select("page_id", bare.alias("bare")).select("page_id", tidy(decode_entities("bare")).alias("text"))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import decode_entities, without_comments, without_elements, without_tags
+from ..functions.text import RAW, decode_entities, without_elements, without_tags
 
 # A link element ends with its own slash, at its end tag, or where the next link begins.
 _LINK = r"(?is)<a\s[^>]*/>|<a\s[^>]*>.*?(?=</a\s*>|<a\s|\z)"
@@ -23,7 +23,7 @@ def extract_links(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
     Keep `url` to resolve the links later without joining the pages again.
     """
-    html = without_elements(without_comments(F.col("html")), ["script", "style"])
+    html = without_elements(F.col("html"), RAW)
     links = F.filter(
         F.regexp_extract_all(html, F.lit(_LINK), F.lit(0)),
         lambda e: e.rlike(r"(?is)^<a\s(?:[^>]*\s)?href\s*="),
@@ -41,7 +41,10 @@ def extract_links(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def page_meta(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """(page_id, kept columns, title, lang, charset, generator, refresh_url); null where the page says nothing."""
-    html = without_comments(F.col("html"))
+    # Exploding one value keeps filters on the result above it, so a page is cleaned once.
+    cleaned = F.explode(F.array(without_elements(F.col("html"), RAW))).alias("html")
+    pages = pages.select("page_id", *keep, cleaned)
+    html = F.col("html")
     metas = F.regexp_extract_all(html, F.lit(r"(?is)<meta\b[^>]*>"), F.lit(0))
 
     def meta(pattern: str) -> Column:

@@ -199,8 +199,12 @@ def all_section(entries: DataFrame, name: str = "all") -> DataFrame:
 
 
 def catalog_audit(catalog: DataFrame, name: str = "all") -> DataFrame:
-    """(char, side): characters that only "all" has, and those that only a named section has."""
-    chars = catalog.select("section", F.explode(F.split("shard_chars", "")).alias("char"))
+    """(char, side): characters that only "all" has, and those that only a named section has.
+
+    Takes section_catalog (with `name`) or build_catalog (with `section`).
+    """
+    section = "name" if "name" in catalog.columns else "section"
+    chars = catalog.select(F.col(section).alias("section"), F.explode(F.split("shard_chars", "")).alias("char"))
     everything = chars.where(F.col("section") == name).select("char")
     named = chars.where(F.col("section") != name).select("char")
     return everything.subtract(named).withColumn("side", F.lit("all_only")).unionByName(

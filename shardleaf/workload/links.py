@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import links as op
+from ..plans import neighbours
 from ..sources import page_meta
 from .inputs import LINKS, RESOLVED, TITLES, links, resolved, table
 
@@ -19,11 +20,14 @@ def known_pages(spark, sf):
 
 
 def first_redirects(spark, sf):
-    """Redirects for the pages' words: the first link of a page leads to the second."""
-    two = links(spark, sf).where("pos < 2").groupBy("page_id").agg(
-        F.min_by("href", "pos").alias("src"), F.max_by("href", "pos").alias("dst"), F.count(F.lit(1)).alias("n")
-    )
-    return two.where("n = 2").select("src", "dst")
+    """Redirects among the pages' words: each link of a page leads to the next one there."""
+    rows = neighbours(links(spark, sf), ["page_id"], ["pos"], {"href": F.col("href")}, after="next")
+    return rows.select(F.col("href").alias("src"), F.col("next.href").alias("dst"))
+
+
+def q_redirects(spark, sf):
+    found = op.resolve_redirects(first_redirects(spark, sf))
+    return found.withColumn("hops", F.coalesce("hops", F.lit(-1)))
 
 
 def definitions(spark, sf):
@@ -49,7 +53,7 @@ QUERIES = {
     "distinct_links": lambda s, sf: op.distinct_links(links(s, sf)),
     "tooltip_join": lambda s, sf: op.tooltip_join(links(s, sf).select("page_id", "pos", "href"), definitions(s, sf)),
     "dangling_links": lambda s, sf: op.dangling_links(resolved(s, sf), known_pages(s, sf)),
-    "resolve_redirects": lambda s, sf: op.resolve_redirects(first_redirects(s, sf)),
+    "resolve_redirects": q_redirects,
 }
 
 SQL = {
@@ -71,11 +75,11 @@ SELECT page_id, pos, href, tip_key, tip FROM uses LEFT JOIN first_def USING (tip
 known AS (SELECT regexp_replace(url, '#.*$', '') AS url FROM pages UNION SELECT arg_max(url, pos) FROM resolved GROUP BY page_id)
 SELECT page_id, href, url FROM resolved WHERE url NOT IN (SELECT url FROM known)""",
     "resolve_redirects": f"""WITH RECURSIVE {LINKS},
-two AS (SELECT page_id, arg_min(href, pos) AS src, arg_max(href, pos) AS dst, count(*) AS n FROM links WHERE pos < 2 GROUP BY 1),
-e AS (SELECT src, min(dst) AS dst FROM two WHERE n = 2 GROUP BY 1),
+two AS (SELECT href AS src, lead(href) OVER (PARTITION BY page_id ORDER BY pos) AS dst FROM links),
+e AS (SELECT src, min(dst) AS dst FROM two WHERE dst IS NOT NULL GROUP BY 1),
 w AS (SELECT src, dst AS cur, CAST(1 AS BIGINT) AS hops, [src, dst] AS path, src = dst AS is_cycle FROM e
   UNION ALL SELECT w.src, e.dst, hops + 1, list_append(path, e.dst), list_contains(path, e.dst)
   FROM w JOIN e ON e.src = w.cur WHERE NOT is_cycle)
-SELECT src, CASE WHEN NOT is_cycle THEN cur END AS final, CASE WHEN NOT is_cycle THEN hops END AS hops, is_cycle
+SELECT src, CASE WHEN NOT is_cycle THEN cur END AS final, CASE WHEN NOT is_cycle THEN hops ELSE -1 END AS hops, is_cycle
 FROM w WHERE is_cycle OR cur NOT IN (SELECT src FROM e)""",
 }

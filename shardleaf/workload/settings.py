@@ -46,13 +46,13 @@ def q_nearest(spark, sf):
     ev = with_k(table(spark, sf, "events"))
     asked = ev.where("event_type = 'view'").select("user_id", F.col("k").alias("pos"))
     items = ev.where("event_type = 'purchase'").select("user_id", F.col("k").alias("item_index"))
-    return nearest.nearest_visible(asked, items, ["user_id"])
+    return nearest.nearest_visible(asked, items, ["user_id"]).fillna(-1, ["next", "prev"])
 
 
 def q_next_prev(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "user_id", "ts", (F.col("event_type") == "click").alias("visible"))
     rows = numbered(ev, ["user_id"], ["ts", "event_id"], "item_index")
-    return nearest.next_prev_visible(rows, ["user_id"]).drop("ts")
+    return nearest.next_prev_visible(rows, ["user_id"]).drop("ts").fillna(-1, ["next_visible", "prev_visible"])
 
 
 QUERIES = {
@@ -87,10 +87,10 @@ LEFT JOIN v s ON s.scope_id = c_custkey AND s.key = 'view' AND s.kind = 'session
     "nearest_visible": f"""WITH {EVENTS_K},
 asked AS (SELECT DISTINCT user_id, CAST(k AS BIGINT) AS pos FROM ev WHERE event_type = 'view'),
 items AS (SELECT DISTINCT user_id, CAST(k AS BIGINT) AS i FROM ev WHERE event_type = 'purchase')
-SELECT a.user_id, pos, min(i) FILTER (i >= pos) AS next, max(i) FILTER (i <= pos) AS prev
+SELECT a.user_id, pos, coalesce(min(i) FILTER (i >= pos), -1) AS next, coalesce(max(i) FILTER (i <= pos), -1) AS prev
 FROM asked a LEFT JOIN items USING (user_id) GROUP BY 1, 2""",
     "next_prev_visible": """WITH items AS (SELECT event_id, user_id, event_type = 'click' AS visible,
   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS item_index FROM events)
-SELECT *, min(CASE WHEN visible THEN item_index END) OVER (PARTITION BY user_id ORDER BY item_index ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS next_visible,
-  max(CASE WHEN visible THEN item_index END) OVER (PARTITION BY user_id ORDER BY item_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prev_visible FROM items""",
+SELECT *, coalesce(min(CASE WHEN visible THEN item_index END) OVER (PARTITION BY user_id ORDER BY item_index ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), -1) AS next_visible,
+  coalesce(max(CASE WHEN visible THEN item_index END) OVER (PARTITION BY user_id ORDER BY item_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), -1) AS prev_visible FROM items""",
 }

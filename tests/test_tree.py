@@ -1,0 +1,58 @@
+from shardleaf.functions.tree import path_order
+from shardleaf.operators import tree as op
+from pyspark.sql import functions as F
+
+from conftest import rows
+
+IDS = ["row_0_", "row_0_0_", "row_0_1_", "row_0_1_0_", "row_1_", "row_1_2_", "row_1_10_", "row_10_", "row_10_0_", "row_7_7_"]
+
+
+def tree(spark):
+    return spark.createDataFrame([(i, n) for n, i in enumerate(IDS)], "id string, n int")
+
+
+def test_paths(spark):
+    got = {r["id"]: (r["depth"], r["parent"], r["ancestors"]) for r in op.tree_paths(tree(spark)).collect()}
+    assert got["row_0_"] == (1, None, [])
+    assert got["row_0_1_0_"] == (3, "row_0_1_", ["row_0_", "row_0_1_"])
+
+
+def test_page_order(spark):
+    ordered = [r["id"] for r in tree(spark).orderBy(path_order(F.col("id"))).collect()]
+    assert ordered == ["row_0_", "row_0_0_", "row_0_1_", "row_0_1_0_", "row_1_", "row_1_2_", "row_1_10_", "row_7_7_", "row_10_", "row_10_0_"]
+
+
+def test_levels(spark):
+    state = dict(rows(op.level_filter(tree(spark), 2, keep_hidden=True)))
+    assert (state["row_0_"], state["row_0_1_"], state["row_0_1_0_"]) == ("open", "closed", "hidden")
+    assert op.level_filter(tree(spark), 2).count() == 9
+
+
+def test_children_and_descendants(spark):
+    paths = op.tree_paths(tree(spark))
+    children = rows(op.tree_children(paths))
+    assert ("row_1_", "row_1_2_") in children and ("row_1_", "row_10_0_") not in children and ("row_7_", "row_7_7_") not in children
+    brute = sorted((a, b) for a in IDS for b in IDS if a != b and b.startswith(a))
+    assert rows(op.tree_descendants(paths)) == brute
+
+
+def test_rollup(spark):
+    assert rows(op.subtree_rollup(tree(spark), ["n"])) == [("row_0_", 3, 6), ("row_0_1_", 1, 3), ("row_10_", 1, 8), ("row_1_", 2, 11)]
+
+
+def test_toggles(spark):
+    ids = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
+    clicks = spark.createDataFrame([("a", 1, 0), ("a", 3, 0), ("b", 2, 0), ("c", 5, 1), ("c", 5, 2), ("a", 5, 3), ("z", 9, 9)], "id string, ts int, seq int")
+    assert rows(op.toggle_state(ids, clicks)) == [("a", True), ("b", True), ("c", False)]
+    assert rows(op.toggle_state(ids, clicks, True)) == [("a", False), ("b", False), ("c", True)]
+    resets = spark.createDataFrame([(5, 1)], "ts int, seq int")  # after it: c once, a once
+    assert rows(op.toggle_all_state(ids, clicks, resets)) == [("a", True), ("b", False), ("c", True)]
+    assert rows(op.toggle_all_state(ids, clicks, resets.limit(0))) == [("a", False), ("b", False), ("c", True)]
+    assert rows(op.toggle_all_state(ids, clicks, resets.union(resets.selectExpr("0", "0")))) == [("a", False), ("b", True), ("c", False)]
+
+
+def test_toggle_all_reaches_its_page_only(spark):
+    blocks = spark.createDataFrame([("p", "a"), ("q", "a")], "page_id string, id string")
+    clicks = spark.createDataFrame([("p", "a", 1, 0), ("q", "a", 1, 0)], "page_id string, id string, ts int, seq int")
+    resets = spark.createDataFrame([("p", 2, 0)], "page_id string, ts int, seq int")
+    assert rows(op.toggle_all_state(blocks, clicks, resets, ["page_id"])) == [("p", "a", False), ("q", "a", False)]

@@ -108,9 +108,12 @@ def without_elements(html: Column, selectors: Sequence[str]) -> Column:
     hidden = r"(?is)<!--.*?-->"
     if raw:
         hidden += rf"|<({'|'.join(raw)})\b[^>]*+>.*?</\1\s*+>"
-    html = F.regexp_replace(html, hidden, "")
+    source, html = html, F.regexp_replace(html, hidden, "")
     for s in selectors:
-        if s.lower() not in RAW:
+        cls = s.partition(".")[2]
+        if cls:  # most pages do not even hold the word
+            html = F.when(F.contains(source, F.lit(cls)), F.regexp_replace(html, _element_pattern(s), "")).otherwise(html)
+        elif s.lower() not in RAW:
             html = F.regexp_replace(html, _element_pattern(s), "")
     return html
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, functions as F
 
 
 def depth(row_id: Column) -> Column:
-    return F.size(F.split(row_id, "_")) - 2
+    """Number of path parts: the underscores but one."""
+    return F.length(row_id) - F.length(F.replace(row_id, F.lit("_"), F.lit(""))) - 1
 
 
 def parent(row_id: Column) -> Column:
@@ -14,14 +15,19 @@ def parent(row_id: Column) -> Column:
     return F.when(depth(row_id) > 1, F.regexp_replace(row_id, r"[0-9]+_$", ""))
 
 
+def at_level(row_id: Column, level: Column) -> Column:
+    """Id of the row's ancestor on a level, counted from 1."""
+    return F.concat(F.call_function("substring_index", row_id, F.lit("_"), level + 1), F.lit("_"))
+
+
+def levels_above(row_id: Column) -> Column:
+    """Levels of the row's ancestors, top first."""
+    return F.when(depth(row_id) > 1, F.sequence(F.lit(1), depth(row_id) - 1)).otherwise(F.array().cast("array<int>"))
+
+
 def ancestors(row_id: Column) -> Column:
     """Ids of all levels above, top first."""
-    parts = F.split(row_id, "_")
-    above = F.transform(
-        F.sequence(F.lit(2), F.size(parts) - 2),
-        lambda n: F.concat(F.array_join(F.slice(parts, F.lit(1), n), "_"), F.lit("_")),
-    )
-    return F.when(depth(row_id) > 1, above).otherwise(F.array().cast("array<string>"))
+    return F.transform(levels_above(row_id), lambda level: at_level(row_id, level))
 
 
 def path_order(row_id: Column) -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import first_char, match_name, normal_query, squeezed
 from ..plans import broadcast_if_small, numbered
 from ..plans.bounds import MAX_BYTES, MAX_ROWS
+from ..plans.ordered import fits
 
 ITEM = ["section", "shard", "id", "label"]
 TARGET = ["url", "same_frame", "scope"]
@@ -177,13 +178,21 @@ def group_results(matches: DataFrame, per_part: int = TARGETS_PER_PART) -> DataF
 
 
 def item_index(entries: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Add item_index (0-based, per section and shard) and child_index (0-based, per item)."""
-    items = entries.select(*ITEM, "match_name").distinct()
-    items = numbered(items, ["section", "shard"], ["match_name", "label", "id"], "item_index", max_rows)
-    children = numbered(entries, ITEM, ["scope", "url", "same_frame", "match_name"], "child_index", max_rows)
-    # Null-safe: an entry without a shard or label keeps its place too.
+    """Add item_index (0-based, per section and shard) and child_index (0-based, per item).
+
+    One shuffle and one sort give both numbers, unless a shard is too big for a task. Then items and
+    targets are numbered apart, in split groups, and joined.
+    """
+    shard, item, target = ["section", "shard"], ["match_name", "label", "id"], ["scope", "url", "same_frame"]
+    if fits(entries, shard, max_rows):
+        child = Window.partitionBy(*shard, *item).orderBy(*target)
+        rows = entries.withColumn("child_index", F.row_number().over(child).cast("long") - 1)
+        place = Window.partitionBy(*shard).orderBy(*item)
+        return rows.withColumn("item_index", F.dense_rank().over(place).cast("long") - 1)
+    items = numbered(entries.select(*shard, *item).distinct(), shard, item, "item_index", max_rows)
+    children = numbered(entries, [*shard, *item], target, "child_index", max_rows)
     left, right = children.alias("c"), items.alias("i")
-    on = [F.col(f"c.{k}").eqNullSafe(F.col(f"i.{k}")) for k in [*ITEM, "match_name"]]
+    on = [F.col(f"c.{k}").eqNullSafe(F.col(f"i.{k}")) for k in [*shard, *item]]
     return left.join(right, on).select("c.*", "i.item_index")
 
 

@@ -40,7 +40,9 @@ def tree_descendants(paths: DataFrame) -> DataFrame:
 
 def subtree_rollup(tree: DataFrame, measures: Sequence[str] = ()) -> DataFrame:
     """(id, n_hidden, sum_<measure>..) of everything below each folder; combined before the shuffle."""
-    below = tree.select(F.explode(t.ancestors(F.col("id"))).alias("id"), *measures)
+    i = F.col("id")
+    levels = tree.select("id", *measures, F.explode(t.levels_above(i)).alias("level"))
+    below = levels.select(t.at_level(i, F.col("level")).alias("id"), *measures)
     sums = below.groupBy("id").agg(
         F.count(F.lit(1)).alias("n_hidden"), *[F.sum(m).alias(f"sum_{m}") for m in measures]
     )

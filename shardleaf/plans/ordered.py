@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from .durable import cut_lineage
 
@@ -23,6 +23,15 @@ MAX_CHUNKS = 10_000
 CHUNK = "_chunk"
 
 
+def _sizes(df: DataFrame, keys: Sequence[str]) -> Row:
+    return df.groupBy(*keys).count().agg(F.max("count").alias("top"), F.sum("count").alias("total")).first()
+
+
+def fits(df: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> bool:
+    """True when no group is too big for a task."""
+    return (_sizes(df, keys)["top"] or 0) <= (MAX_GROUP_ROWS if max_rows is None else max_rows)
+
+
 def split_groups(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int | None = None
 ) -> tuple[DataFrame, bool]:
@@ -32,7 +41,7 @@ def split_groups(
     later reader has to see the same ones.
     """
     limit = MAX_GROUP_ROWS if max_rows is None else max_rows
-    sizes = df.groupBy(*keys).count().agg(F.max("count").alias("top"), F.sum("count").alias("total")).first()
+    sizes = _sizes(df, keys)
     if not sizes["top"] or sizes["top"] <= limit:
         return df.withColumn(CHUNK, F.lit(0)), False
     chunks = min(MAX_CHUNKS, max(2, math.ceil(sizes["total"] / limit)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import first_char
+from ..plans import shared_dir
 
 # Partition values such as 2 look like numbers, so the reader is told the types.
 SCHEMA = (
@@ -13,18 +14,25 @@ SCHEMA = (
 )
 
 
-def write_index(entries: DataFrame, path: str, files: int | None = None, mode: str = "overwrite") -> None:
+def write_index(entries: DataFrame, path: str, files: int | None = None, mode: str = "overwrite", stage: bool = True) -> None:
     """Write entries that have a shard (a non-blank label), sorted by match name within files.
 
     Rows are range-partitioned on (section, shard, match_name, target): a popular first letter is
     cut into several files instead of one task, and each file holds a narrow range of match names,
-    so a prefix filter skips row groups.
+    so a prefix filter skips row groups. The range bounds come from a sample, which would compute
+    the entries twice; entries that come out of a long job are staged in the shared folder instead.
+    Pass stage=False for entries that are read from a table.
     """
     order = ["section", "shard", "match_name", "label", "url", "scope"]
-    rows = entries.where("shard is not null").select(
-        "section", "shard", "id", "match_name", "label", "url", "same_frame", "scope", F.rand(5).alias("_salt")
-    )
-    spread = rows.repartitionByRange(files, *order, "_salt") if files else rows.repartitionByRange(*order, "_salt")
+    rows = entries.where("shard is not null").select("section", "shard", "id", "match_name", "label", "url", "same_frame", "scope")
+    if stage:
+        spark = entries.sparkSession
+        folder = shared_dir(spark, "entries")
+        rows.write.parquet(folder)
+        rows = spark.read.schema(rows.schema).parquet(folder)
+    rows = rows.withColumn("_salt", F.rand(5))
+    keys = [*order, "_salt"]
+    spread = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
     (
         spread.drop("_salt")
         .sortWithinPartitions(*order)

@@ -124,8 +124,9 @@ def without_tags(html: Column) -> Column:
 
 def tidy_blank_lines(text: Column) -> Column:
     """A run of blank lines becomes one; line ends at the end of the text go."""
-    collapsed = F.regexp_replace(text, rf"(?:\A|(?<={LINE_END})){BLANK}*\n", "\n")
-    return F.rtrim(collapsed, F.lit("\n"))
+    # With a line end put before it, the start of the text is a line start like any other.
+    led = F.regexp_replace(F.concat(F.lit("\n"), text), rf"({LINE_END}){BLANK}*\n", "$1\n")
+    return F.rtrim(F.substr(led, F.lit(2)), F.lit("\n"))
 
 
 def fold_line(start: Column, end: Column, text: Column) -> Column:

@@ -56,13 +56,13 @@ def tooltip_join(links: DataFrame, defs: DataFrame, href: str = "href") -> DataF
         .groupBy("tip_key")
         .agg(F.min_by("tip", F.struct("def_id", "tip")).alias("tip"))
     )
-    return links.withColumn("tip_key", tip_key(F.col(href))).join(first, "tip_key", "left")
+    return links.withColumn("tip_key", tip_key(F.col(href))).join(cut_lineage(first), "tip_key", "left")
 
 
 def dangling_links(resolved: DataFrame, pages: DataFrame) -> DataFrame:
     """(page_id, href, url) of resolved links that no page answers. Fragments do not count."""
     bare = lambda c: F.regexp_replace(c, "#.*$", "")
-    known = pages.select(bare(F.col("url")).alias("_page")).distinct()
+    known = cut_lineage(pages.select(bare(F.col("url")).alias("_page")).distinct())
     links = resolved.select("page_id", "href", "url", bare(F.col("url")).alias("_page"))
     return links.join(known, "_page", "left_anti").drop("_page")
 
@@ -77,6 +77,7 @@ def resolve_redirects(redirects: DataFrame, max_rounds: int = 64) -> DataFrame:
     Of several targets of one source the least holds.
     """
     edges = redirects.where("src is not null and dst is not null").groupBy("src").agg(F.min("dst").alias("cur"))
+    edges = cut_lineage(edges)
     sources = edges.select(F.col("src").alias("cur"), F.lit(True).alias("_more"))
     state = edges.join(sources, "cur", "left").select(
         "src", "cur", F.lit(1).cast("long").alias("hops"), F.col("_more").isNull().alias("done")

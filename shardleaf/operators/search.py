@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import first_char, match_name, normal_query, squeezed
-from ..plans import broadcast_if_small, numbered
+from ..plans import broadcast_if_small, cut_lineage, numbered
 from ..plans.bounds import MAX_BYTES, MAX_ROWS
 from ..plans.ordered import fits
 
@@ -69,8 +69,8 @@ def _prepared(queries: DataFrame) -> tuple[DataFrame, list[str]]:
     return ready, keys
 
 
-def _looked_up(wanted: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:
-    """wanted joined with the entries it finds, the prefix test made an equi-join.
+def _candidates(wanted: DataFrame, entries: DataFrame) -> tuple[DataFrame, bool]:
+    """Entries with a q_enc column that makes the prefix test an equi-join; and whether wanted is small.
 
     An entry gets one row per query length that occurs (not per query), so no query is compared with
     a whole shard. One pass over the queries gives the lengths, the shards that prune the index
@@ -81,8 +81,6 @@ def _looked_up(wanted: DataFrame, entries: DataFrame, keys: list[str]) -> DataFr
         F.collect_set("length").alias("lengths"), F.collect_set("shard").alias("shards"),
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
     ).first()
-    if seen["rows"] <= MAX_ROWS and seen["bytes"] <= MAX_BYTES:
-        wanted = F.broadcast(wanted)
     if len(seen["shards"]) <= PRUNE_SHARDS:
         entries = entries.where(F.col("shard").isin(seen["shards"]))
     size = F.length("match_name")
@@ -94,7 +92,7 @@ def _looked_up(wanted: DataFrame, entries: DataFrame, keys: list[str]) -> DataFr
     rows = entries.withColumn("_cut", F.explode(cuts)).withColumn(
         "q_enc", F.substring("match_name", F.lit(1), F.col("_cut"))
     )
-    return wanted.join(rows.drop("_cut"), keys)
+    return rows.drop("_cut"), seen["rows"] <= MAX_ROWS and seen["bytes"] <= MAX_BYTES
 
 
 def batch_prefix_join(queries: DataFrame, entries: DataFrame) -> DataFrame:
@@ -103,17 +101,23 @@ def batch_prefix_join(queries: DataFrame, entries: DataFrame) -> DataFrame:
     With a `section` column each query stays in its section, otherwise it searches all of them.
     """
     ready, keys = _prepared(queries)
-    return _looked_up(ready.where("shard is not null").drop("q"), entries, keys).drop("q_enc")
+    wanted = ready.where("shard is not null").drop("q")
+    rows, small = _candidates(wanted, entries)
+    return (F.broadcast(wanted) if small else wanted).join(rows, keys).drop("q_enc")
 
 
-def _matched(queries: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Prepared queries, and the join of their distinct texts with the entries.
+def _per_query(queries: DataFrame, entries: DataFrame, *aggregates: Column) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Prepared queries, and the aggregates of what each distinct query finds, as a written table.
 
-    A popular query is looked up once, however many rows ask for it.
+    Few distinct queries are broadcast and filter the candidates first. Many are not joined with the
+    candidates at all: these are combined per prefix on the map side, and the queries pick theirs.
+    Either way a popular query or prefix is one row by the time the queries are joined.
     """
     ready, keys = _prepared(queries)
     wanted = ready.where("shard is not null").select(*keys).distinct()
-    return ready, _looked_up(wanted, entries, keys), keys
+    rows, small = _candidates(wanted, entries)
+    found = F.broadcast(wanted).join(rows, keys) if small else rows
+    return ready, cut_lineage(found.groupBy(*keys).agg(*aggregates)), keys
 
 
 def match_counts(queries: DataFrame, entries: DataFrame) -> DataFrame:
@@ -122,11 +126,10 @@ def match_counts(queries: DataFrame, entries: DataFrame) -> DataFrame:
     n_matches counts results (symbols), n_targets the entries under them.
     """
     items = entries.groupBy(*ITEM, "match_name").agg(F.count(F.lit(1)).alias("_targets"))
-    ready, found, keys = _matched(queries, items)
-    counts = found.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_matches"), F.sum("_targets").alias("n_targets")
+    ready, counts, keys = _per_query(
+        queries, items, F.count(F.lit(1)).alias("n_matches"), F.sum("_targets").alias("n_targets")
     )
-    return ready.select("qid", *keys).join(counts, keys, "left").select(
+    return ready.select("qid", *keys).join(broadcast_if_small(counts), keys, "left").select(
         "qid",
         F.coalesce("n_matches", F.lit(0)).alias("n_matches"),
         F.coalesce("n_targets", F.lit(0)).alias("n_targets"),
@@ -139,11 +142,10 @@ def first_match(queries: DataFrame, entries: DataFrame) -> DataFrame:
 
     The minimum is taken with map-side combine per distinct query; nothing is ranked or sorted.
     """
-    ready, found, keys = _matched(queries, entries)
-    order = F.struct(*INDEX_ORDER, *[c for c in found.columns if c not in INDEX_ORDER and c not in keys])
-    best = found.groupBy(*keys).agg(F.min(order).alias("best"))
-    rows = ready.select("qid", *keys).join(best, keys)
-    return rows.select("qid", F.col("shard"), "best.*").drop("q_enc")
+    rest = [c for c in entries.columns if c not in INDEX_ORDER]
+    first = F.min(F.struct(*INDEX_ORDER, *rest)).alias("best")
+    ready, best, keys = _per_query(queries, entries, first)
+    return ready.select("qid", *keys).join(broadcast_if_small(best), keys).select("qid", "best.*")
 
 
 def group_results(matches: DataFrame, per_part: int = TARGETS_PER_PART) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import tree as t
+from ..plans import cut_lineage
 
 
 def tree_paths(tree: DataFrame) -> DataFrame:
@@ -72,6 +73,8 @@ def toggle_all_state(
         F.max(F.struct("ts", "seq")).alias("_last"), (F.count(F.lit(1)) % 2 == 1).alias("_flipped")
     )
 
+    last = cut_lineage(last) if keys else last
+
     def with_last(df: DataFrame) -> DataFrame:
         return df.join(last, keys, "left") if keys else df.join(F.broadcast(last))
 

@@ -18,8 +18,6 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise RuntimeError(f"set {CONF} to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="shardleaf-")
         spark.conf.set(CONF, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
@@ -29,6 +27,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and go on from there: survives the loss of any executor."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write df as a table in the shared folder and go on from there: survives the loss of any executor.
+
+    It also gives later stages a plain scan. Its size is known, so broadcasts are decided on facts.
+    Its rows come in the same order when a task is run again. And a join on it has an exchange of its
+    own on either side, which AQE needs to split a skewed key; a side that was just grouped on the
+    join key has none.
+    """
+    path = shared_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

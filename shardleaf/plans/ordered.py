@@ -37,8 +37,8 @@ def split_groups(
 ) -> tuple[DataFrame, bool]:
     """Add CHUNK; also say whether any group had to be split.
 
-    The chunked rows are written to the shared folder: range bounds come from a sample, so every
-    later reader has to see the same ones.
+    The rows are written to the shared folder before, so that a task run again draws the same salt,
+    and after: range bounds come from a sample, and every later reader has to see the same ones.
     """
     limit = MAX_GROUP_ROWS if max_rows is None else max_rows
     sizes = _sizes(df, keys)
@@ -47,7 +47,7 @@ def split_groups(
     chunks = min(MAX_CHUNKS, max(2, math.ceil(sizes["total"] / limit)))
     # Exact copies are interchangeable, so a random last sort column may spread them.
     ranged = (
-        df.withColumn("_salt", F.rand(17))
+        cut_lineage(df).withColumn("_salt", F.rand(17))
         .repartitionByRange(chunks, *keys, *order, "_salt")
         .drop("_salt")
         .withColumn(CHUNK, F.spark_partition_id())

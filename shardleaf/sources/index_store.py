@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import first_char
-from ..plans import shared_dir
+from ..plans import cut_lineage
 
 # Partition values such as 2 look like numbers, so the reader is told the types.
 SCHEMA = (
@@ -14,6 +16,10 @@ SCHEMA = (
 )
 
 
+ROWS_PER_FILE = 2_000_000
+MAX_FILES = 10_000  # the driver holds a sample of so many rows per range partition
+
+
 def write_index(entries: DataFrame, path: str, files: int | None = None, mode: str = "overwrite", stage: bool = True) -> None:
     """Write entries that have a shard (a non-blank label), sorted by match name within files.
 
@@ -21,20 +27,19 @@ def write_index(entries: DataFrame, path: str, files: int | None = None, mode: s
     cut into several files instead of one task, and each file holds a narrow range of match names,
     so a prefix filter skips row groups. The range bounds come from a sample, which would compute
     the entries twice; entries that come out of a long job are staged in the shared folder instead.
-    Pass stage=False for entries that are read from a table.
+    Pass stage=False for entries that are read from a table. Without `files`, the rows decide how
+    many range partitions there are.
     """
     order = ["section", "shard", "match_name", "label", "url", "scope"]
     rows = entries.where("shard is not null").select("section", "shard", "id", "match_name", "label", "url", "same_frame", "scope")
     if stage:
-        spark = entries.sparkSession
-        folder = shared_dir(spark, "entries")
-        rows.write.parquet(folder)
-        rows = spark.read.schema(rows.schema).parquet(folder)
+        rows = cut_lineage(rows)
+    keys = [*order, "_salt"]  # the salt spreads copies of one entry
     rows = rows.withColumn("_salt", F.rand(5))
-    keys = [*order, "_salt"]
-    spread = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
+    files = files or min(MAX_FILES, max(1, math.ceil(rows.count() / ROWS_PER_FILE)))
     (
-        spread.drop("_salt")
+        rows.repartitionByRange(files, *keys)
+        .drop("_salt")
         .sortWithinPartitions(*order)
         .write.mode(mode)
         .partitionBy("section", "shard")

@@ -73,30 +73,32 @@ def resolve_redirects(redirects: DataFrame, max_rounds: int = 64) -> DataFrame:
     Pointer doubling: each round joins the unfinished rows with the table itself and doubles the
     distance covered, so a chain of n hops takes about log2(n) rounds, without a hop limit. After
     k rounds every source within 2^k hops of its end is finished; if a round finishes no row, what
-    is left runs into a cycle and gets no final address. Each round is written to the shared folder.
+    is left runs into a cycle and gets no final address. Each round writes its unfinished rows to
+    the shared folder.
     Of several targets of one source the least holds.
     """
     edges = redirects.where("src is not null and dst is not null").groupBy("src").agg(F.min("dst").alias("cur"))
     edges = cut_lineage(edges)
     sources = edges.select(F.col("src").alias("cur"), F.lit(True).alias("_more"))
-    state = edges.join(sources, "cur", "left").select(
+    table = cut_lineage(edges.join(sources, "cur", "left").select(
         "src", "cur", F.lit(1).cast("long").alias("hops"), F.col("_more").isNull().alias("done")
-    )
-    state = cut_lineage(state)
-    left = state.where("not done").count()
+    ))
+    finished, active = table.where("done"), table.where("not done")
+    left = active.count()
     for _ in range(max_rounds):
         if not left:
             break
-        jump = state.select(
+        jump = finished.unionByName(active).select(
             F.col("src").alias("cur"), F.col("cur").alias("_cur"), F.col("hops").alias("_hops"), F.col("done").alias("_done")
         )
-        moved = state.where("not done").join(jump, "cur").select(
+        table = cut_lineage(active.join(jump, "cur").select(
             "src", F.col("_cur").alias("cur"), (F.col("hops") + F.col("_hops")).alias("hops"), F.col("_done").alias("done")
-        )
-        state = cut_lineage(state.where("done").unionByName(moved))
-        before, left = left, state.where("not done").count()
+        ))
+        finished, active = finished.unionByName(table.where("done")), table.where("not done")
+        before, left = left, active.count()
         if left == before:
             break
+    state = finished.unionByName(active)
     return state.select(
         "src", F.when(F.col("done"), F.col("cur")).alias("final"), F.when(F.col("done"), F.col("hops")).alias("hops"),
         (~F.col("done")).alias("is_cycle"),

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..plans import shared_dir
 
@@ -22,41 +24,50 @@ def as_local(instant: Column) -> Column:
     return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
 
 
-def read_events(spark: SparkSession, path: str, schema: StructType | str, bytes_per_batch: int = 1 << 30) -> DataFrame:
+def read_events(spark: SparkSession, path: str, schema: StructType | str, bytes_per_batch: int = 128 << 20) -> DataFrame:
     """Parquet files as a stream, a bounded number of bytes per batch; zone-less times become instants."""
     raw = spark.readStream.schema(schema).option("maxBytesPerTrigger", bytes_per_batch).parquet(path)
     local = [f.name for f in raw.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
     return raw.withColumns({c: as_instant(F.col(c)) for c in local})
 
 
-def drain(
-    stream: DataFrame, mode: str = "append", each_batch: Callable[[DataFrame, int], DataFrame] | None = None
-) -> DataFrame:
-    """Run a stream over all data present and return what it wrote, with a batch_id column.
+EachBatch = Callable[[DataFrame, int], DataFrame]
+
+
+def start(stream: DataFrame, target: str, mode: str = "append", each_batch: EachBatch | None = None, **trigger) -> StreamingQuery:
+    """Run a stream into parquet folders target/out/batch_id=N, one per batch.
 
-    Every batch is written to its own folder, overwritten when a batch is run again, so a restart
-    neither loses nor repeats rows. `each_batch` turns a batch into what is written.
+    A batch that is run again replaces its folder, so a restart neither loses nor repeats rows.
+    `each_batch` turns a batch into what is written; `trigger` is passed on, such as
+    availableNow=True or processingTime="10 seconds".
     """
-    spark = stream.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    target = shared_dir(spark, "stream")
-    written = {}
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = each_batch(batch, batch_id) if each_batch else batch
         rows.write.mode("overwrite").parquet(f"{target}/out/batch_id={batch_id}")
-        written["schema"] = rows.schema
 
-    query = (
+    return (
         stream.writeStream.outputMode(mode)
         .foreachBatch(write)
         .option("checkpointLocation", f"{target}/progress")
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
-    query.awaitTermination()
-    schema = written.get("schema", stream.schema)
-    schema = StructType(list(schema.fields)).add("batch_id", "long")
-    if not written:
+
+
+def drain(stream: DataFrame, mode: str = "append", each_batch: EachBatch | None = None, schema: StructType | None = None) -> DataFrame:
+    """Run a stream over all data present and return what it wrote, with a batch_id column.
+
+    `schema` is that of the rows of each_batch.
+    """
+    spark = stream.sparkSession
+    target = shared_dir(spark, "stream")
+    start(stream, target, mode, each_batch, availableNow=True).awaitTermination()
+    schema = StructType([*(schema or stream.schema).fields, StructField("batch_id", LongType())])
+    try:
+        return spark.read.schema(schema).parquet(f"{target}/out")
+    except AnalysisException as e:  # no data, so no batch
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{target}/out")

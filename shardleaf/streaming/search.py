@@ -2,23 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.events import GAP_SECONDS
 from ..operators.search import batch_prefix_join
 from .debounce import debounce_stream
-from .runs import drain
+from .runs import EachBatch, drain
 
 
-def search_stream(events: DataFrame, index: DataFrame, gap: float = GAP_SECONDS, delay: float = 0, seq: str = "seq") -> DataFrame:
-    """(user_id, q, ts, entry columns) of every settled, non-empty query, over all data present.
+def find_settled(index: DataFrame) -> EachBatch:
+    """What to do with each batch of settled queries: search the index for all of them at once.
 
-    Each batch of settled queries is joined as a batch: its size is checked before it is broadcast,
-    and its shards prune the index folders that are read.
+    The batch's size is checked before it is broadcast, and its shards prune the index folders that
+    are read.
     """
 
     def find(batch: DataFrame, _: int) -> DataFrame:
-        settled = batch.select("user_id", "ts", batch["value"].alias("q"), batch["value"].alias("text"))
-        return batch_prefix_join(settled, index).withColumnRenamed("text", "q")
+        settled = batch.select("user_id", "ts", F.col("value").alias("q"), F.col("value").alias("text"))
+        found = batch_prefix_join(settled, index).withColumnRenamed("text", "q")
+        return found.select("user_id", "q", "ts", *index.columns)
+
+    return find
+
 
-    return drain(debounce_stream(events, gap, delay, seq), "append", find)
+def search_stream(events: DataFrame, index: DataFrame, gap: float = GAP_SECONDS, delay: float = 0, seq: str = "seq") -> DataFrame:
+    """(user_id, q, ts, entry columns) of every settled, non-empty query, over all data present.
+
+    For a stream that goes on, pass find_settled(index) to runs.start with debounce_stream.
+    """
+    settled = debounce_stream(events, gap, delay, seq)
+    user, ts = settled.schema["user_id"], settled.schema["ts"]
+    schema = StructType([user, StructField("q", StringType()), ts, *index.schema.fields])
+    return drain(settled, "append", find_settled(index), schema)

@@ -147,6 +147,16 @@ def test_number_like_shards_stay_text(spark):
     assert rows(read_shard(spark, path, "numbers", "2"), "shard", "label") == [("2", "2d"), ("2", "2e")]
 
 
+def test_shards_that_are_not_plain_folder_names(spark):
+    labels = ["/x", "%y", "=z", "*w", ".v", ":u", "\\t", "\"s", "#r", "é"]
+    df = spark.createDataFrame([(x,) for x in labels], "label string")
+    path = shared_dir(spark, "index-test")
+    write_index(symbol_entries(df, "label", "label", F.lit("s"), "odd"), path)
+    assert rows(read_index(spark, path), "label") == sorted(((x,) for x in labels), key=repr)
+    for x in labels:
+        assert rows(op.section_search(read_index(spark, path), "odd", x), "label") == [(x,)]
+
+
 def test_search_reads_one_folder_and_pushes_the_prefix(spark, stored):
     plan = op.section_search(read_index(spark, stored), "functions", "get")._jdf.queryExecution().executedPlan().toString()
     scan = op.section_search(read_index(spark, stored), "functions", "get").inputFiles()

@@ -12,9 +12,6 @@ from pyspark.sql import Column, functions as F
 BLANK = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
 LINE_END = r"[\n\r\u2028\u2029]"
 
-# Characters that match_name replaces first. The underscore leads, as the replacements hold one.
-FREQUENT = "_ .,-:'\n"
-
 # Levels of same-tag nesting inside a dropped element that are followed exactly.
 NESTING = 8
 
@@ -42,20 +39,20 @@ def first_char(text: Column) -> Column:
 def match_name(text: Column) -> Column:
     """Keep a-z, 0-9 and everything from U+0080 up; any other character becomes _ and two hex digits.
 
-    Frequent characters are replaced one by one, which needs no lambda; only texts that hold another
-    one are taken apart into runs.
+    Lower-cased text, the usual case, goes through percent-encoding: once the characters that it
+    spares are encoded too, escapes below 80 get an underscore, and the rest is decoded again. So it
+    stays in generated code. Only text with capitals is taken apart into characters.
     """
-    for c in FREQUENT:
-        text = F.replace(text, F.lit(c), F.lit(f"_{ord(c):02x}"))
+    escaped = F.url_encode(text)
+    for spared, escape in (("_", "%5F"), ("+", "%20"), (".", "%2E"), ("-", "%2D"), ("*", "%2A")):
+        escaped = F.replace(escaped, F.lit(spared), F.lit(escape))
+    name = F.url_decode(F.lower(F.regexp_replace(escaped, "%([0-7][0-9A-F])", "_$1")))
 
-    def one(run: Column) -> Column:
-        code = F.ascii(run)
-        kept = code.between(97, 122) | code.between(48, 57) | (code == 95) | (code >= 128)
-        return F.when(kept, run).otherwise(F.concat(F.lit("_"), F.lpad(F.lower(F.hex(code)), 2, "0")))
+    def one(c: Column) -> Column:
+        kept = c.between("a", "z") | c.between("0", "9") | (c >= "\u0080")
+        return F.when(kept, c).otherwise(F.concat(F.lit("_"), F.lpad(F.lower(F.hex(F.ascii(c))), 2, "0")))
 
-    rare = r"[\x00-\x2F\x3A-\x5E\x60\x7B-\x7F]"
-    runs = F.regexp_extract_all(text, F.lit(rf"[^{rare[1:-1]}]+|{rare}"), F.lit(0))
-    return F.when(text.rlike(rare), F.array_join(F.transform(runs, one), "")).otherwise(text)
+    return F.when(text.rlike("[A-Z]"), F.array_join(F.transform(F.split(text, ""), one), "")).otherwise(name)
 
 
 def ready_match_name(row_id: Column) -> Column:

@@ -73,8 +73,9 @@ def _candidates(wanted: DataFrame, entries: DataFrame) -> tuple[DataFrame, bool]
     """Entries with a q_enc column that makes the prefix test an equi-join; and whether wanted is small.
 
     An entry gets one row per query length that occurs (not per query), so no query is compared with
-    a whole shard. One pass over the queries gives the lengths, the shards that prune the index
-    folders, and the size that decides about a broadcast.
+    a whole shard. One pass over the queries gives the lengths (at most as many as the longest query
+    has characters), the shards that prune the index folders (at most one per character in use), and
+    the size that decides about a broadcast.
     """
     row_bytes = F.octet_length(F.to_json(F.struct("*"))).cast("long")
     seen = wanted.select("shard", F.length("q_enc").alias("length"), row_bytes.alias("bytes")).agg(
@@ -101,19 +102,21 @@ def batch_prefix_join(queries: DataFrame, entries: DataFrame) -> DataFrame:
     With a `section` column each query stays in its section, otherwise it searches all of them.
     """
     ready, keys = _prepared(queries)
-    wanted = ready.where("shard is not null").drop("q")
+    wanted = cut_lineage(ready.where("shard is not null").drop("q"))
     rows, small = _candidates(wanted, entries)
     return (F.broadcast(wanted) if small else wanted).join(rows, keys).drop("q_enc")
 
 
 def _per_query(queries: DataFrame, entries: DataFrame, *aggregates: Column) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Prepared queries, and the aggregates of what each distinct query finds, as a written table.
+    """Prepared queries, and the aggregates of what each distinct query finds, as written tables.
 
+    The queries are measured, joined and answered, so they are prepared once and written.
     Few distinct queries are broadcast and filter the candidates first. Many are not joined with the
     candidates at all: these are combined per prefix on the map side, and the queries pick theirs.
     Either way a popular query or prefix is one row by the time the queries are joined.
     """
     ready, keys = _prepared(queries)
+    ready = cut_lineage(ready.select("qid", *keys))
     wanted = ready.where("shard is not null").select(*keys).distinct()
     rows, small = _candidates(wanted, entries)
     found = F.broadcast(wanted).join(rows, keys) if small else rows
@@ -129,7 +132,7 @@ def match_counts(queries: DataFrame, entries: DataFrame) -> DataFrame:
     ready, counts, keys = _per_query(
         queries, items, F.count(F.lit(1)).alias("n_matches"), F.sum("_targets").alias("n_targets")
     )
-    return ready.select("qid", *keys).join(broadcast_if_small(counts), keys, "left").select(
+    return ready.join(broadcast_if_small(counts), keys, "left").select(
         "qid",
         F.coalesce("n_matches", F.lit(0)).alias("n_matches"),
         F.coalesce("n_targets", F.lit(0)).alias("n_targets"),
@@ -145,7 +148,7 @@ def first_match(queries: DataFrame, entries: DataFrame) -> DataFrame:
     rest = [c for c in entries.columns if c not in INDEX_ORDER]
     first = F.min(F.struct(*INDEX_ORDER, *rest)).alias("best")
     ready, best, keys = _per_query(queries, entries, first)
-    return ready.select("qid", *keys).join(broadcast_if_small(best), keys).select("qid", "best.*")
+    return ready.join(broadcast_if_small(best), keys).select("qid", "best.*")
 
 
 def group_results(matches: DataFrame, per_part: int = TARGETS_PER_PART) -> DataFrame:

@@ -65,21 +65,23 @@ def toggle_all_state(
     """(keys, id, is_open): a "toggle all" sets every block, clicks after the last one flip single blocks.
 
     clicks is (keys, id, ts, seq), resets is (keys, ts, seq); seq orders events of the same instant.
-    The keys name what a "toggle all" reaches, such as a page. Without keys it reaches everything and
-    the reset side is a global aggregate of one row, which makes its broadcast safe.
+    The keys name what a "toggle all" reaches, such as a page. Without keys it reaches everything, and
+    its last instant is one row, which becomes a filter that the scan of the clicks gets.
     """
     keys = list(keys)
     last = resets.groupBy(*keys).agg(
         F.max(F.struct("ts", "seq")).alias("_last"), (F.count(F.lit(1)) % 2 == 1).alias("_flipped")
     )
-
-    last = cut_lineage(last) if keys else last
-
-    def with_last(df: DataFrame) -> DataFrame:
-        return df.join(last, keys, "left") if keys else df.join(F.broadcast(last))
-
-    later = with_last(clicks).where(F.col("_last").isNull() | (F.struct("ts", "seq") > F.col("_last")))
+    if keys:
+        last = cut_lineage(last)
+        later = clicks.join(last, keys, "left").where(F.col("_last").isNull() | (F.struct("ts", "seq") > F.col("_last")))
+        blocks = ids.select(*keys, "id").join(last, keys, "left")
+    else:
+        end = last.select(F.col("_last.ts").cast("string").alias("ts"), F.col("_last.seq").alias("seq"), "_flipped").first()
+        later, blocks = clicks, ids.select("id").withColumn("_flipped", F.lit(end["_flipped"]))
+        if end["seq"] is not None:
+            ts = F.lit(end["ts"]).cast(clicks.schema["ts"].dataType)
+            later = clicks.where((F.col("ts") > ts) | ((F.col("ts") == ts) & (F.col("seq") > end["seq"])))
     odd = later.groupBy(*keys, "id").agg((F.count(F.lit(1)) % 2 == 1).alias("_odd"))
     flips = F.coalesce("_flipped", F.lit(False)) != F.coalesce("_odd", F.lit(False))
-    rows = with_last(ids.select(*keys, "id")).join(odd, [*keys, "id"], "left")
-    return rows.select(*keys, "id", (F.lit(initially_open) != flips).alias("is_open"))
+    return blocks.join(odd, [*keys, "id"], "left").select(*keys, "id", (F.lit(initially_open) != flips).alias("is_open"))

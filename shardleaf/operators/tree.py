@@ -35,7 +35,8 @@ def tree_children(paths: DataFrame) -> DataFrame:
 
 def tree_descendants(paths: DataFrame) -> DataFrame:
     """(id, descendant_id): each row exploded to its ancestors, not a prefix join."""
-    pairs = paths.select(F.explode("ancestors").alias("id"), F.col("id").alias("descendant_id"))
+    levels = paths.select(F.col("id").alias("descendant_id"), F.explode(t.levels_above(F.col("id"))).alias("level"))
+    pairs = levels.select(t.at_level(F.col("descendant_id"), F.col("level")).alias("id"), "descendant_id")
     return pairs.join(paths.select("id"), "id", "left_semi")
 
 

@@ -16,8 +16,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CONF} to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="shardleaf-")
-        spark.conf.set(CONF, root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shardleaf-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root
 
 

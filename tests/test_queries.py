@@ -7,8 +7,9 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
+from shardleaf import workload
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = workload.queries(), workload.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +40,7 @@ def test_query_equals_sql(spark, db, sf, name):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

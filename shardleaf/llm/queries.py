@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .lattice import embedding_groups
+from .mixing import mix, taken_words
+from .packing import pack
 from .simhash import simhash_groups
+from .sizes import word_count
+from .substrings import remove_repeats
+from .toxicity import fit_toxicity, score_toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -18,8 +24,64 @@ def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_groups(table(spark, sf, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents in batches of 16,384 words at most, padded to 8 optimal lengths."""
+    return pack(table(spark, sf, "documents").select("doc_id", word_count("text").alias("n_words")), "n_words")
+
+
+def severity_grade() -> Column:
+    """Grade 0: not toxic. 1: toxic. 2: toxic in a text of low quality."""
+    return F.when(F.col("toxic") == 1, F.when(F.col("quality") == 0, 2).otherwise(1)).when(F.col("toxic") == 0, 0)
+
+
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Severity of all documents."""
+    docs = table(spark, sf, "documents")
+    model = fit_toxicity(docs, table(spark, sf, "labels"), severity_grade())
+    return score_toxicity(docs.select("doc_id", "text"), model).drop("text")
+
+
+def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    rows = taken_words(mix(table(spark, sf, "documents")))
+    return rows.select(rows["id"].alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op9_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents without the passages that earlier documents hold."""
+    return remove_repeats(table(spark, sf, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op10_lattice(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate groups of all embeddings."""
+    return embedding_groups(table(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_packing": op2_packing,
+    "op3_toxicity": op3_toxicity,
+    "op8_mixing": op8_mixing,
+    "op9_substrings": op9_substrings,
+    "op10_lattice": op10_lattice,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_mixing": r"""
+WITH sized AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS src
+  FROM sized GROUP BY source),
+weighed AS (SELECT *, CAST([5, 2, 1][src % 3 + 1] AS BIGINT) AS weight, 2 * source_size AS cap FROM per),
+filled AS (SELECT *, CAST(sum(weight) OVER () - coalesce(sum(weight) OVER f, 0) AS DOUBLE) AS open_weight,
+    CAST(1.5 AS DOUBLE) * CAST(sum(source_size) OVER () AS DOUBLE) - CAST(coalesce(sum(cap) OVER f, 0) AS DOUBLE) AS rest
+  FROM weighed WINDOW f AS (ORDER BY cap / weight, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT rest, open_weight FROM filled WHERE cap * open_weight > weight * rest ORDER BY cap / weight, src LIMIT 1),
+targets AS (SELECT source, source_size, CASE WHEN cap * open_weight <= weight * rest THEN CAST(cap AS DOUBLE)
+    ELSE weight * (SELECT rest FROM level) / (SELECT open_weight FROM level) END AS target FROM filled),
+keyed AS (SELECT *, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS k FROM sized),
+placed AS (SELECT *, CAST(sum(size) OVER (PARTITION BY source ORDER BY k, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS pos FROM keyed),
+both_ AS (SELECT p.*, t.source_size, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS goal
+  FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  greatest(0, least(size, goal - pos)) + greatest(0, least(size, goal - source_size - pos)) AS taken FROM both_""",
+}

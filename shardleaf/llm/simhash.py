@@ -116,10 +116,29 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     an empty table gives an empty one. Other columns are not read, whatever their names.
     """
     rows = cut_lineage(docs.select(F.col(id_col).alias("id"), simhash(text_col).alias("fp")))
-    classes = cut_lineage(rows.groupBy("fp").agg(F.min("id").alias("first")))
+    named = _named(rows)
+    return rows.join(named, "fp").select(F.col("id").alias(id_col), as_hex("fp").alias("fingerprint"), F.col("name").alias("component_id"))
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """(fp, id) rows to (fp, name): name is the smallest id over all rows of the fingerprint's group."""
+    classes = cut_lineage(rows.groupBy("fp").agg(F.min("id").alias("id")))
     roots = cut_lineage(components(link_stars(classes)))
     placed = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     placed = cut_lineage(placed)
-    names = cut_lineage(placed.groupBy("root").agg(F.min("first").alias("component_id")))
-    named = cut_lineage(placed.join(names, "root").select("fp", "component_id"))
-    return rows.join(named, "fp").select(F.col("id").alias(id_col), as_hex("fp").alias("fingerprint"), "component_id")
+    names = cut_lineage(placed.groupBy("root").agg(F.min("id").alias("name")))
+    return cut_lineage(placed.join(names, "root").select("fp", "name"))
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs without near-duplicates: of each group the row with the smallest id (null last, then
+    the smallest hash of the text); of exact copies of that row one. All columns stay as they are."""
+    rows = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key")).alias("id"), simhash(text_col).alias("fp"))
+    rows = cut_lineage(rows)
+    first = _named(rows).select("name").distinct()
+    first = cut_lineage(first.select(F.col("name.id").alias("_first_id"), F.col("name.key").alias("_first_key")))
+    kept = docs.join(first, docs[id_col].eqNullSafe(F.col("_first_id")) & (F.xxhash64(docs[text_col]) == F.col("_first_key")), "left_semi")
+    copies = rows.groupBy("id").count().where("count > 1")
+    if copies.isEmpty():
+        return kept
+    return kept.withColumn("_key", F.xxhash64(text_col)).dropDuplicates([id_col, "_key"]).drop("_key")

@@ -18,6 +18,11 @@ BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes other than ASCII letters, digits and parts of longer characters.
+PUNCTUATION = np.ones(256, bool)
+PUNCTUATION[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -98,14 +103,14 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     return mix(out + mix(np.array([seed + 1], np.uint64)))
 
 
-def block(texts: Sequence[bytes | None]) -> Block:
-    """Texts as one block; null counts as a text without words."""
+def block(texts: Sequence[bytes | None], space: np.ndarray = SPACE) -> Block:
+    """Texts as one block; null counts as a text without words. space says which bytes separate words."""
     data = b"\n".join(t or b"" for t in texts)
     sizes = np.fromiter((len(t or b"") + 1 for t in texts), np.int64, len(texts))
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     buf = np.frombuffer(data, np.uint8)
     inside = np.zeros(len(buf) + 2, np.int8)
-    inside[1:-1] = ~SPACE[buf]
+    inside[1:-1] = ~space[buf]
     edges = np.flatnonzero(np.diff(inside))
     starts, ends = edges[0::2], edges[1::2]
     first = np.searchsorted(starts, offsets)

@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..plans import shared_dir
+
+from .backoff import backoff_scores
 from .lattice import embedding_groups
 from .mixing import mix, taken_words
+from .outliers import quality_rules
 from .packing import pack
+from .quality import fit_quality, score_quality
 from .simhash import simhash_groups
 from .sizes import word_count
 from .substrings import remove_repeats
 from .toxicity import fit_toxicity, score_toxicity
+from .warc import read_pages, records, write_warc
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -41,6 +47,36 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return score_toxicity(docs.select("doc_id", "text"), model).drop("text")
 
 
+def held_out() -> Column:
+    """Rows that are never learned from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of all documents, as labels mark it."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, sf, "labels"), F.col("quality"), where=~held_out())
+    return score_quality(docs, model).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op5_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    path = shared_dir(spark, "warc")
+    write_warc(records(table(spark, sf, "pages")), path)
+    return read_pages(spark, path)
+
+
+def op6_backoff(spark: SparkSession, sf: str) -> DataFrame:
+    """Stupid-backoff scores of all documents under the word and pair counts of all documents."""
+    return backoff_scores(table(spark, sf, "documents"))
+
+
+def op7_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    """Base rules and robust outliers over all documents."""
+    rows = quality_rules(table(spark, sf, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
     """Words that the mix takes of every document."""
     rows = taken_words(mix(table(spark, sf, "documents")))
@@ -61,12 +97,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
+    "op4_quality": op4_quality,
+    "op5_warc": op5_warc,
+    "op6_backoff": op6_backoff,
+    "op7_outliers": op7_outliers,
     "op8_mixing": op8_mixing,
     "op9_substrings": op9_substrings,
     "op10_lattice": op10_lattice,
 }
 
 SQL: dict[str, str] = {
+    "op5_warc": """
+WITH sized AS (SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
+firsts AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY html) END AS first_id FROM sized)
+SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+  CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to FROM firsts""",
     "op8_mixing": r"""
 WITH sized AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS src

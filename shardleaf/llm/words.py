@@ -66,7 +66,7 @@ def window_hashes(tokens: np.ndarray, width: int) -> np.ndarray:
 
 @dataclass
 class Block:
-    """Texts side by side. starts and ends are byte positions of words in buf; first[i] : first[i + 1] are the words of text i."""
+    """Texts side by side, each with a line end after it. starts and ends are byte positions of words in buf; first[i] : first[i + 1] are the words of text i."""
 
     buf: np.ndarray
     offsets: np.ndarray
@@ -83,6 +83,10 @@ class Block:
         """Index of the text of each word."""
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
+    def per_text(self, flags: np.ndarray) -> np.ndarray:
+        """How many flagged bytes each text has."""
+        return np.add.reduceat(flags, self.offsets[:-1], dtype=np.int64) if len(self.offsets) > 1 else np.zeros(0, np.int64)
+
     def hashes(self, seed: int = 0, table: np.ndarray | None = None) -> np.ndarray:
         """A 64-bit hash of each word, of its bytes as given or as `table` maps them."""
         return span_hashes(self.buf, self.starts, self.ends, seed, table)
@@ -105,7 +109,7 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
 
 def block(texts: Sequence[bytes | None], space: np.ndarray = SPACE) -> Block:
     """Texts as one block; null counts as a text without words. space says which bytes separate words."""
-    data = b"\n".join(t or b"" for t in texts)
+    data = b"".join((t or b"") + b"\n" for t in texts)
     sizes = np.fromiter((len(t or b"") + 1 for t in texts), np.int64, len(texts))
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     buf = np.frombuffer(data, np.uint8)

@@ -82,9 +82,12 @@ def _distance() -> Column:
     return F.greatest(out, F.lit(0.0))
 
 
-_MOMENTS = [F.count(F.lit(1)).alias("n")] + [F.sum(c).alias(f"s{i}") for i, c in enumerate(NAMES)] + [
-    F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"p{i}_{j}") for i in range(DIM) for j in range(i, DIM)
-]
+def _moments() -> list[Column]:
+    sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(NAMES)]
+    products = [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"p{i}_{j}") for i in range(DIM) for j in range(i, DIM)]
+    return [F.count(F.lit(1)).alias("n"), *sums, *products]
+
+
 _SUMS = ["n"] + [f"s{i}" for i in range(DIM)] + [f"p{i}_{j}" for i in range(DIM) for j in range(i, DIM)]
 _ESTIMATE = StructType([StructField("centre", ArrayType(DoubleType())), StructField("inverse", ArrayType(DoubleType())), StructField("logdet", DoubleType())])
 
@@ -142,13 +145,13 @@ def fit_mcd(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFr
     variances = [F.pow(1.4826 * F.col(f"d_{c}"), 2) + FLOORS[c] ** 2 for c in NAMES]
     inverse = F.array(*[(1 / variances[i]) if i == j else F.lit(0.0) for i in range(DIM) for j in range(DIM)])
     robust = spread.select("cell", F.lit(0).alias("start"), F.array(*[f"m_{c}" for c in NAMES]).alias("centre"), inverse.alias("inverse"), F.lit(0.0).alias("logdet"))
-    plain = _estimates(rows.groupBy("cell").agg(*_MOMENTS), ["cell"], 1.0).select("cell", F.lit(1).alias("start"), "centre", "inverse", "logdet")
+    plain = _estimates(rows.groupBy("cell").agg(*_moments()), ["cell"], 1.0).select("cell", F.lit(1).alias("start"), "centre", "inverse", "logdet")
     found = cut_lineage(robust.unionByName(plain))
     inflate = share / _kept_variance(share, DIM)
     for _ in range(steps):
         near = rows.join(broadcast_if_small(found.drop("logdet")), "cell").withColumn("_d", _distance())
         near = near.withColumn("_bin", F.when(F.col("_d") < 1e-6, -240).otherwise(F.floor(12 * F.log2("_d"))).cast("int"))
-        bins = cut_lineage(near.groupBy("cell", "start", "_bin").agg(*_MOMENTS))
+        bins = cut_lineage(near.groupBy("cell", "start", "_bin").agg(*_moments()))
         upto = Window.partitionBy("cell", "start").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
         all_ = Window.partitionBy("cell", "start")
         inner = bins.withColumns({"_before": F.coalesce(F.sum("n").over(upto), F.lit(0)), "_all": F.sum("n").over(all_)})

@@ -1,0 +1,69 @@
+import hashlib
+import re
+
+import pytest
+
+from shardleaf.llm.queries import QUERIES, table
+from shardleaf.llm.substrings import remove_repeats
+
+WORD = re.compile("[^\x20\x09-\x0D]+")
+
+
+def plain(rows, window=50):
+    """(id, words, removed, digest) per row, from sets of word windows."""
+    first, cut = {}, []
+    split = [(i, WORD.findall(t or "")) for i, t in rows]
+    for i, w in split:
+        if i is not None:
+            for s in range(len(w) - window + 1):
+                key = tuple(w[s : s + window])
+                first[key] = min(first.get(key, i), i)
+    for i, w in split:
+        gone = [False] * len(w)
+        for s in range(len(w) - window + 1):
+            if i is not None and first[tuple(w[s : s + window])] < i:
+                gone[s : s + window] = [True] * window
+        kept = " ".join(x for x, g in zip(w, gone) if not g)
+        cut.append((i, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(cut, key=repr)
+
+
+def ours(df):
+    return sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in df.collect()), key=repr)
+
+
+def test_query_equals_brute_force(spark, sf):
+    rows = [(r.doc_id, r.text) for r in table(spark, sf, "documents").collect()]
+    want = plain(rows)
+    assert ours(QUERIES["op9_substrings"](spark, sf)) == want
+    assert sum(n for _, _, n, _ in want) > 0
+
+
+def w(a, b, mark=""):
+    return " ".join(f"w{i}{mark}" for i in range(a, b))
+
+
+@pytest.mark.parametrize("window", [2, 3, 7, 50])
+def test_planted_repeats(spark, window):
+    """Passages of exactly the window, one word short, at the ends, overlapping, chained, and shifted copies."""
+    p = window
+    rows = [
+        (1, w(0, 3 * p)), (2, "x " + w(p, 2 * p) + " y"), (3, "x " + w(p, 2 * p - 1) + " y"), (4, w(0, 3 * p)), (4, w(0, p) + " other"),
+        (5, w(p // 2, 2 * p) + " z " + w(0, p)), (6, w(5 * p, 7 * p)), (7, w(6 * p, 8 * p) + "\n" + w(5 * p, 6 * p + 1)),
+        (0, w(7 * p, 8 * p)), (8, ("a " * 4 * p)), (9, "a " * 3 * p + "b"), (10, w(0, 3 * p).replace(" ", "\t\n")), (None, w(0, 3 * p)), (11, None),
+        (12, ""), (13, "é   " + w(0, p)), (13, "é   " + w(0, p)),
+    ]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_words int")
+    cut = remove_repeats(docs, window=window)
+    assert ours(cut) == plain(rows, window)
+    texts = {r.doc_id: r.text for r in cut.collect()}
+    assert texts[1] == rows[0][1] and texts[11] is None and texts[12] == "" and texts[None] == rows[0][1]
+    assert texts[2] == "x y"
+
+
+def test_long_text_and_empty_table(spark):
+    body = " ".join(f"v{i * i % 10007}" for i in range(300_000))
+    rows = [(1, body), (2, "start " + body[len(body) // 2 :])]
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == (300_000, 0) and got[2][1] >= got[2][0] - 2
+    assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -33,7 +33,11 @@ def _without_dots(path: Column) -> Column:
 
 
 def resolve(base: Column, href: Column) -> Column:
-    """Absolute form of href on a page at base: absolute, `//host`, `/x`, `./x`, `x`, `?q` and `#part`."""
+    """Absolute form of href on a page at base: absolute, `//host`, `/x`, `./x`, `x`, `?q` and `#part`.
+
+    White space round an href does not count, nor do tabs and line ends inside.
+    """
+    href = F.regexp_replace(href, r"^[\t\n\f\r ]+|[\t\n\f\r ]+$|[\t\n\r]", "")
     site = origin(base)
     bare = F.regexp_replace(base, r"#.*$", "")
     page = F.regexp_replace(bare, r"\?.*$", "")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from html.entities import name2codepoint
+from functools import lru_cache
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
@@ -12,8 +13,9 @@ from pyspark.sql import Column, functions as F
 BLANK = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
 LINE_END = r"[\n\r\u2028\u2029]"
 
-# Levels of same-tag nesting inside a dropped element that are followed exactly.
-NESTING = 8
+# What follows the name in a tag, up to but without its `>`: only quotes right after an equals sign enclose one.
+VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
+ATTRIBUTES = rf"(?:=\s*+{VALUE}?+|[^>=])*+"
 
 
 def trim_spaces(text: Column) -> Column:
@@ -32,10 +34,15 @@ def squeezed(text: Column) -> Column:
 
 def first_char(text: Column) -> Column:
     """Shard character: first character after leading spaces, lower-cased; null for empty text."""
-    c = F.lower(F.substring(F.ltrim(text, F.lit(" ")), 1, 1))
+    c = F.substring(F.lower(F.ltrim(text, F.lit(" "))), 1, 1)
     return F.when(c != "", c)
 
 
+def one_line(text: Column) -> Column:
+    """Runs of white space as one space, none at the ends: a label as it shows."""
+    return trim_spaces(F.regexp_replace(text, rf"{BLANK}+", " "))
+
+
 def match_name(text: Column) -> Column:
     """Keep a-z, 0-9 and everything from U+0080 up; any other character becomes _ and two hex digits.
 
@@ -60,72 +67,144 @@ def ready_match_name(row_id: Column) -> Column:
     return F.regexp_replace(F.lower(row_id), r"^sr\d*_", "")
 
 
-# Names of HTML 4, as one literal that is folded to a constant map. Other names stay as they are.
-_NAMED = "str_to_map('" + ";".join(rf"{name}=\u{code:04X}" for name, code in name2codepoint.items()) + "', ';', '=')"
-# Steps per piece of text after an ampersand: its reference name, the code point or character it means.
-_DECODE = r"""
-CASE WHEN contains({c}, '&') THEN array_join(transform(transform(transform(
-  split({c}, '&'),
-  (piece, i) -> struct(piece, if(i = 0, '', regexp_extract(piece, r'^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);', 1)) AS name, i)),
-  s -> struct(s.piece, s.name, s.i,
-    CASE WHEN s.name NOT LIKE '#%' THEN NULL
-      WHEN s.name RLIKE '^#0*[0-9]{{1,9}}$' THEN try_cast(substr(s.name, 2) AS BIGINT)
-      WHEN s.name RLIKE '^#[xX]0*[0-9a-fA-F]{{1,8}}$' THEN try_cast(conv(substr(s.name, 3), 16, 10) AS BIGINT)
+def _escaped(text: str) -> str:
+    return "".join(rf"\U{ord(c):08X}" for c in text)
+
+
+@lru_cache
+def _reference_sql(attribute: bool) -> str:
+    """Steps per piece of text after an ampersand: what its reference is written like, how long that is, what it means.
+
+    Names are those of HTML, as one literal that is folded to a constant map. Older names need no semicolon:
+    in text the longest one that the piece starts with counts, in an attribute only if neither a letter or digit
+    nor `=` follows. Numbers need none either; 128 to 159 mean what they do in Windows-1252.
+    """
+    names = {n[:-1]: v for n, v in html5.items() if n.endswith(";")}
+    older = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+    named = "str_to_map('" + "~".join(f"{n}^{_escaped(v)}" for n, v in sorted(names.items())) + "', '~', '[\\\\^]')"
+    windows = {n: bytes([n]).decode("cp1252", "replace") for n in range(128, 160)}
+    windows = "map(" + ", ".join(f"{n}, '{_escaped(c)}'" for n, c in windows.items() if c != "�") + ")"
+    after = "(?![A-Za-z0-9=])" if attribute else ""
+    written = rf"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;|(?:{'|'.join(older)}){after})"
+    short = rf"^((?:{'|'.join(older)}){after})"
+    return rf"""
+CASE WHEN contains({{c}}, '&') THEN array_join(transform(transform(transform(transform(
+  split({{c}}, '&'),
+  (piece, i) -> struct(piece, i, if(i = 0, '', regexp_extract(piece, r'{written}', 1)) AS found)),
+  s -> struct(s.piece, s.i, if(s.found LIKE '%;' AND s.found NOT LIKE '#%' AND try_element_at({named}, rtrim(';', s.found)) IS NULL,
+    regexp_extract(s.piece, r'{short}', 1), s.found) AS found)),
+  s -> struct(s.piece, s.i, s.found, rtrim(';', s.found) AS name,
+    CASE WHEN s.found NOT LIKE '#%' THEN NULL
+      WHEN s.found RLIKE '^#0*[0-9]{{{{1,9}}}};?$' THEN try_cast(rtrim(';', substr(s.found, 2)) AS BIGINT)
+      WHEN s.found RLIKE '^#[xX]0*[0-9a-fA-F]{{{{1,8}}}};?$' THEN try_cast(conv(rtrim(';', substr(s.found, 3)), 16, 10) AS BIGINT)
       ELSE 0 END AS code)),
   s -> CASE WHEN s.i = 0 THEN s.piece
-    WHEN s.name = '' THEN concat('&', s.piece)
+    WHEN s.found = '' THEN concat('&', s.piece)
     ELSE coalesce(concat(
       CASE s.name WHEN 'amp' THEN '&' WHEN 'lt' THEN '<' WHEN 'gt' THEN '>' WHEN 'quot' THEN '"' WHEN 'apos' THEN chr(39)
         ELSE CASE WHEN s.code IS NULL THEN try_element_at({named}, s.name)
+          WHEN s.code BETWEEN 128 AND 159 THEN coalesce(try_element_at({windows}, CAST(s.code AS INT)), chr(s.code))
           WHEN s.code BETWEEN 1 AND 55295 OR s.code BETWEEN 57344 AND 1114111 THEN decode(unhex(lpad(hex(s.code), 8, '0')), 'UTF-32')
-          ELSE '\uFFFD' END END,
-      substr(s.piece, length(s.name) + 2)), concat('&', s.piece)) END), '')
-ELSE {c} END"""
+          ELSE '�' END END,
+      substr(s.piece, length(s.found) + 1)), concat('&', s.piece)) END), '')
+ELSE {{c}} END"""
 
 
-def decode_entities(column: str) -> Column:
+def decode_entities(column: str, attribute: bool = False) -> Column:
     """Decode the character references of a named column once: `&amp;lt;` becomes `&lt;`.
 
     Written as SQL text: as Column calls it would cost hundreds of round trips to the JVM per use.
     """
-    return F.expr(_DECODE.format(c=f"`{column}`", named=_NAMED))
+    return F.expr(_reference_sql(attribute).format(c=f"`{column}`"))
 
 
 RAW = ("script", "style")  # their text is not markup and ends at the first end tag
 
 
-def _element_pattern(selector: str) -> str:
-    """Pattern of a whole element. `tag`, `.class` or `tag.class`; same-tag children are balanced."""
+# Elements without an end tag.
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+
+
+def _start_pattern(selector: str) -> str:
+    """Pattern of the start tag of `tag`, `.class` or `tag.class`; group 1 is the tag name."""
     tag, _, cls = selector.partition(".")
-    attrs = rf'(?=[^>]*\sclass\s*=\s*["\'](?:[^"\'>]*\s)?{cls}(?:\s[^"\'>]*)?["\'])' if cls else ""
-    body = r"[^<]*+(?:<(?!/?\1\b)[^<]*+)*+"
-    for _ in range(NESTING):
-        body = rf"[^<]*+(?:(?:<\1\b[^>]*+>{body}</\1\s*+>|<(?!/?\1\b))[^<]*+)*+"
-    return rf"(?is)<({tag or '[a-z][a-z0-9]*+'})\b{attrs}[^>]*+>{body}</\1\s*+>"
+    name = tag or rf"(?!(?:{'|'.join(VOID)})\b)[a-z][a-z0-9]*+"
+    value = rf"""(?:"(?:[^"]*\s)?{cls}(?:\s[^"]*)?"|'(?:[^']*\s)?{cls}(?:\s[^']*)?'|{cls}(?=[\s>]))"""
+    attrs = rf"(?=(?:=\s*+{VALUE}?+|[^>=])*?\sclass\s*=\s*{value})" if cls else ""
+    return rf"<({name})\b{attrs}{ATTRIBUTES}>"
+
+
+def _walk(html: Column, start: str) -> Column:
+    """Remove elements tag by tag, with a running depth of the open elements of the kind that the dropped one is of.
+
+    Only places are kept on the way: `since` where the open one began, `cuts` of those that ended. Their end
+    tags stay; they go with all other tags.
+    """
+    pieces = F.regexp_extract_all(html, F.lit(rf"(?is)</?[a-z]{ATTRIBUTES}(?:>|\z)[^<]*+|<?[^<]*+"), F.lit(0))
+    tags = F.transform(pieces, lambda p: F.struct(
+        F.lower(F.regexp_extract(p, r"^(</?[A-Za-z][A-Za-z0-9]*)", 1)).alias("t"), p.rlike(rf"(?is)^{start}").alias("first")
+    ))
+
+    def state(depth: Column, tag: Column, at: Column, since: Column, cuts: Column) -> Column:
+        return F.struct(
+            depth.cast("int").alias("depth"), tag.alias("tag"), at.cast("int").alias("at"), since.cast("int").alias("since"), cuts.alias("cuts")
+        )
+
+    def step(s: Column, x: Column) -> Column:
+        opens, ends = x.t == F.concat(F.lit("<"), s.tag), x.t == F.concat(F.lit("</"), s.tag)
+        cut = F.struct(s.since.alias("a"), s.at.alias("b"))
+        deeper = s.depth + F.when(opens, 1).when(ends, -1).otherwise(0)
+        return (
+            F.when((s.depth == 0) & x.first, state(F.lit(1), F.substr(x.t, F.lit(2)), s.at + 1, s.at, s.cuts))
+            .when(s.depth == 0, state(s.depth, s.tag, s.at + 1, s.since, s.cuts))
+            .when(ends & (s.depth == 1), state(F.lit(0), F.lit(""), s.at + 1, s.since, F.concat(s.cuts, F.array(cut))))
+            .otherwise(state(deeper, s.tag, s.at + 1, s.since, s.cuts))
+        )
+
+    none = F.array().cast("array<struct<a:int,b:int>>")
+    cuts = F.aggregate(tags, state(F.lit(0), F.lit(""), F.lit(0), F.lit(0), none), step, lambda s: s.cuts)
+
+    def kept(p: Column, c: Column) -> Column:
+        return F.array_join(F.filter(p, lambda _, i: ~F.exists(c, lambda x: (i >= x.a) & (i < x.b))), "")
+
+    return F.transform(F.array(F.struct(pieces.alias("p"), cuts.alias("c"))), lambda y: kept(y.p, y.c))[0]
+
+
+def _without(html: Column, selector: str) -> Column:
+    """html without the selected elements, however deep they nest.
+
+    Elements that hold none of their own kind, nearly all, go by one pattern. Only a page with others is
+    walked.
+    """
+    start = _start_pattern(selector)
+    flat = F.regexp_replace(html, rf"(?is){start}[^<]*+(?:<(?!/?\1\b)[^<]*+)*+</\1\b[^>]*+>", "")
+    # A transform over one value names the text, so that it is computed once.
+    return F.transform(F.array(flat), lambda h: F.when(h.rlike(rf"(?is){start}"), _walk(h, start)).otherwise(h))[0]
 
 
 def without_elements(html: Column, selectors: Sequence[str]) -> Column:
     """Remove comments and the selected elements with all they hold.
 
-    Comments and raw elements go in one pass, since either may hold what looks like the other. All
-    loops are possessive: linear time, no deep stack.
+    Comments and raw elements go in one pass, since either may hold what looks like the other; one that
+    is not closed runs to the end of the page. All loops are possessive: linear time, no deep stack.
     """
     raw = [s.lower() for s in selectors if s.lower() in RAW]
-    hidden = r"(?is)<!--.*?-->"
+    hidden = r"(?is)<!--.*?(?:-->|\z)"
     if raw:
-        hidden += rf"|<({'|'.join(raw)})\b[^>]*+>.*?</\1\s*+>"
+        hidden += rf"|<({'|'.join(raw)})\b{ATTRIBUTES}>.*?(?:</\1\s*+>|\z)"
     source, html = html, F.regexp_replace(html, hidden, "")
     for s in selectors:
         cls = s.partition(".")[2]
         if cls:  # most pages do not even hold the word
-            html = F.when(F.contains(source, F.lit(cls)), F.regexp_replace(html, _element_pattern(s), "")).otherwise(html)
+            html = F.when(F.contains(source, F.lit(cls)), _without(html, s)).otherwise(html)
         elif s.lower() not in RAW:
-            html = F.regexp_replace(html, _element_pattern(s), "")
+            html = _without(html, s)
     return html
 
 
 def without_tags(html: Column) -> Column:
-    return F.regexp_replace(html, r"</?[A-Za-z!][^>]*>", "")
+    """Tags go, one that the text breaks off in too."""
+    return F.regexp_replace(html, rf"</?[A-Za-z!]{ATTRIBUTES}(?:>|\z)", "")
 
 
 def tidy_blank_lines(text: Column) -> Column:

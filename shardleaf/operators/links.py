@@ -13,7 +13,8 @@ from ..plans import cut_lineage
 def resolve_links(links: DataFrame, pages: DataFrame | None = None, base: str = "url") -> DataFrame:
     """Add `url`, the absolute form of href.
 
-    Links that already carry their page's URL (extract_links(pages, keep=["url"])) need no join.
+    Links that already carry their page's URL (extract_links(pages, keep=["url"])) need no join. Pages may
+    name another base; sources.page_base makes a column of what they name.
     """
     if pages is None:
         return links.withColumn("url", resolve(F.col(base), F.col("href")))
@@ -67,7 +68,7 @@ def dangling_links(resolved: DataFrame, pages: DataFrame) -> DataFrame:
     return links.join(known, "_page", "left_anti").drop("_page")
 
 
-def resolve_redirects(redirects: DataFrame, max_rounds: int = 64) -> DataFrame:
+def resolve_redirects(redirects: DataFrame) -> DataFrame:
     """(src, final, hops, is_cycle) for every redirecting address (src, dst).
 
     Pointer doubling: each round joins the unfinished rows with the table itself and doubles the
@@ -85,9 +86,7 @@ def resolve_redirects(redirects: DataFrame, max_rounds: int = 64) -> DataFrame:
     ))
     finished, active = table.where("done"), table.where("not done")
     left = active.count()
-    for _ in range(max_rounds):
-        if not left:
-            break
+    while left:
         jump = finished.unionByName(active).select(
             F.col("src").alias("cur"), F.col("cur").alias("_cur"), F.col("hops").alias("_hops"), F.col("done").alias("_done")
         )

@@ -9,15 +9,15 @@ from ..plans import broadcast_if_small, cut_lineage, numbered
 from ..plans.bounds import MAX_BYTES, MAX_ROWS
 from ..plans.ordered import fits
 
+EVERY = "all"
 ITEM = ["section", "shard", "id", "label"]
 TARGET = ["url", "same_frame", "scope"]
 # Index order: by match name, then label, then target.
 INDEX_ORDER = ["match_name", "label", "section", "id", "scope", "url", "same_frame"]
 
-# Up to this many shards are named in the filter that prunes the index folders, and up to this many
-# query lengths are listed; beyond that the join alone decides, with the same result.
+# Up to this many shards are named in the filter that prunes the index folders; beyond that the join alone
+# decides, with the same result.
 PRUNE_SHARDS = 500
-LIST_LENGTHS = 64
 TARGETS_PER_PART = 100_000
 
 
@@ -57,7 +57,9 @@ def prefix_search(entries: DataFrame, q: str) -> DataFrame:
 
 
 def section_search(entries: DataFrame, section: str, q: str) -> DataFrame:
-    """Prefix search within one section."""
+    """Prefix search within one section; "all" is every section, each entry once."""
+    if section == EVERY:
+        return all_section(prefix_search(entries, q), EVERY)
     return prefix_search(entries.where(F.col("section") == section), q)
 
 
@@ -78,18 +80,18 @@ def _candidates(wanted: DataFrame, entries: DataFrame) -> tuple[DataFrame, bool]
     the size that decides about a broadcast.
     """
     row_bytes = F.octet_length(F.to_json(F.struct("*"))).cast("long")
-    seen = wanted.select("shard", F.length("q_enc").alias("length"), row_bytes.alias("bytes")).agg(
+    every = (F.col("section") == EVERY) if "section" in wanted.columns else F.lit(False)
+    seen = wanted.select("shard", F.length("q_enc").alias("length"), row_bytes.alias("bytes"), every.alias("every")).agg(
         F.collect_set("length").alias("lengths"), F.collect_set("shard").alias("shards"),
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.max("every").alias("every"),
     ).first()
     if len(seen["shards"]) <= PRUNE_SHARDS:
         entries = entries.where(F.col("shard").isin(seen["shards"]))
-    size = F.length("match_name")
-    if len(seen["lengths"]) <= LIST_LENGTHS:
-        lengths = F.array(*[F.lit(n) for n in sorted(seen["lengths"])]).cast("array<int>")
-        cuts = F.filter(lengths, lambda n: n <= size)
-    else:
-        cuts = F.when(size > 0, F.sequence(F.lit(1), size))
+    if seen["every"]:
+        named = entries.where(~F.col("section").eqNullSafe(F.lit(EVERY)))
+        entries = named.unionByName(all_section(entries))
+    lengths = F.split(F.lit(",".join(map(str, sorted(seen["lengths"]))) or "0"), ",").cast("array<int>")
+    cuts = F.filter(lengths, lambda n: n <= F.length("match_name"))
     rows = entries.withColumn("_cut", F.explode(cuts)).withColumn(
         "q_enc", F.substring("match_name", F.lit(1), F.col("_cut"))
     )
@@ -99,7 +101,8 @@ def _candidates(wanted: DataFrame, entries: DataFrame) -> tuple[DataFrame, bool]
 def batch_prefix_join(queries: DataFrame, entries: DataFrame) -> DataFrame:
     """(query columns but q, entry columns) for every query and every entry that it finds.
 
-    With a `section` column each query stays in its section, otherwise it searches all of them.
+    With a `section` column each query stays in its section ("all": every section, each entry once), otherwise it
+    searches all of them.
     """
     ready, keys = _prepared(queries)
     wanted = cut_lineage(ready.where("shard is not null").drop("q"))
@@ -111,15 +114,14 @@ def _per_query(queries: DataFrame, entries: DataFrame, *aggregates: Column) -> t
     """Prepared queries, and the aggregates of what each distinct query finds, as written tables.
 
     The queries are measured, joined and answered, so they are prepared once and written.
-    Few distinct queries are broadcast and filter the candidates first. Many are not joined with the
-    candidates at all: these are combined per prefix on the map side, and the queries pick theirs.
-    Either way a popular query or prefix is one row by the time the queries are joined.
+    The distinct queries filter the candidates, broadcast if they are few, and a popular query is one row
+    by then.
     """
     ready, keys = _prepared(queries)
     ready = cut_lineage(ready.select("qid", *keys))
-    wanted = ready.where("shard is not null").select(*keys).distinct()
+    wanted = cut_lineage(ready.where("shard is not null").select(*keys).distinct())
     rows, small = _candidates(wanted, entries)
-    found = F.broadcast(wanted).join(rows, keys) if small else rows
+    found = rows.join(F.broadcast(wanted) if small else wanted, keys)
     return ready, cut_lineage(found.groupBy(*keys).agg(*aggregates)), keys
 
 
@@ -143,7 +145,7 @@ def match_counts(queries: DataFrame, entries: DataFrame) -> DataFrame:
 def first_match(queries: DataFrame, entries: DataFrame) -> DataFrame:
     """(qid, first entry in index order) for each query that finds something.
 
-    The minimum is taken with map-side combine per distinct query; nothing is ranked or sorted.
+    The minimum is taken with map-side combine per distinct query (a sort aggregate, as it is over strings).
     """
     rest = [c for c in entries.columns if c not in INDEX_ORDER]
     first = F.min(F.struct(*INDEX_ORDER, *rest)).alias("best")
@@ -154,31 +156,22 @@ def first_match(queries: DataFrame, entries: DataFrame) -> DataFrame:
 def group_results(matches: DataFrame, per_part: int = TARGETS_PER_PART) -> DataFrame:
     """(section, id, label, part, targets, n_targets, is_group): targets nested under their symbol.
 
-    Copies of a target are combined before the shuffle and kept as a count in the struct. A symbol
-    with more than per_part distinct targets comes in several rows (part 0, 1, ..) that together
-    hold all of them; n_targets is always the total of the symbol. A count per symbol, combined on
-    the map side, tells first whether there is any such symbol.
+    Copies of a target are combined before the shuffle and kept as a count in the struct. The distinct
+    targets of a symbol are numbered in target order, and every per_part of them are a row: part 0, 1, ..
+    n_targets is the total of the symbol.
     """
     key = ["section", "id", "label"]
-    distinct = matches.groupBy(*key, *TARGET).agg(F.count(F.lit(1)).alias("copies"))
-    largest = matches.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
-    if largest > per_part:
-        sizes = distinct.groupBy(*key).agg(F.count(F.lit(1)).alias("_distinct"), F.sum("copies").alias("_total"))
-        big = broadcast_if_small(sizes.where(F.col("_distinct") > per_part))
-        parts = F.ceil(F.col("_distinct") / F.lit(per_part)).cast("long")
-        same = [distinct[k].eqNullSafe(big[k]) for k in key]
-        distinct = distinct.join(big, same, "left").select(
-            distinct["*"], "_total", F.coalesce(F.pmod(F.xxhash64(*[distinct[c] for c in TARGET]), parts), F.lit(0)).cast("int").alias("part")
-        )
-    else:
-        distinct = distinct.withColumns({"_total": F.lit(None).cast("long"), "part": F.lit(0)})
-    rows = distinct.groupBy(*key, "part").agg(
+    order = ["scope", "url", "same_frame"]
+    distinct = cut_lineage(matches.groupBy(*key, *TARGET).agg(F.count(F.lit(1)).alias("copies")))
+    placed = numbered(distinct, key, order, "_child").withColumn("part", F.floor(F.col("_child") / per_part).cast("int"))
+    rows = placed.groupBy(*key, "part").agg(
         F.transform(
-            F.sort_array(F.collect_list(F.struct("scope", "url", "same_frame", "copies"))),
+            F.sort_array(F.collect_list(F.struct(*order, "copies"))),
             lambda t: F.struct(t["url"].alias("url"), t["same_frame"].alias("same_frame"), t["scope"].alias("scope"), t["copies"].alias("copies")),
         ).alias("targets"),
-        F.coalesce(F.max("_total"), F.sum("copies")).alias("n_targets"),
+        F.sum("copies").alias("_copies"),
     )
+    rows = rows.withColumn("n_targets", F.sum("_copies").over(Window.partitionBy(*key))).drop("_copies")
     return rows.withColumn("is_group", F.col("n_targets") > 1)
 
 
@@ -207,12 +200,12 @@ def build_catalog(entries: DataFrame) -> DataFrame:
     return chars.groupBy("section").agg(F.array_join(F.sort_array(F.collect_list("shard")), "").alias("shard_chars"))
 
 
-def all_section(entries: DataFrame, name: str = "all") -> DataFrame:
+def all_section(entries: DataFrame, name: str = EVERY) -> DataFrame:
     """Entries of the section "all": the union of the named sections, each entry once."""
-    return entries.where(F.col("section") != name).withColumn("section", F.lit(name)).dropDuplicates()
+    return entries.withColumn("section", F.lit(name)).dropDuplicates()
 
 
-def catalog_audit(catalog: DataFrame, name: str = "all") -> DataFrame:
+def catalog_audit(catalog: DataFrame, name: str = EVERY) -> DataFrame:
     """(char, side): characters that only "all" has, and those that only a named section has.
 
     Takes section_catalog (with `name`) or build_catalog (with `section`).

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..plans import broadcast_if_small
+from ..plans import broadcast_if_small, cut_lineage
 
 DEFAULT_DAYS = 3650
 NAMESPACE = "site_"
@@ -48,7 +48,7 @@ def setting_default(keys: DataFrame, settings: DataFrame, default: Column | str)
 def chosen_section(settings: DataFrame, catalog: DataFrame) -> DataFrame:
     """Add section_id of the section whose label is the setting's value; 0 for an unknown label."""
     known = catalog.groupBy(F.col("label").alias("value")).agg(F.min("section_id").alias("section_id"))
-    return settings.join(broadcast_if_small(known), "value", "left").withColumn("section_id", F.coalesce("section_id", F.lit(0)))
+    return settings.join(broadcast_if_small(cut_lineage(known)), "value", "left").withColumn("section_id", F.coalesce("section_id", F.lit(0)))
 
 
 def setting_fallback(keys: DataFrame, persistent: DataFrame, session: DataFrame, default: str) -> DataFrame:

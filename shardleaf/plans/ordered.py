@@ -6,7 +6,10 @@ If not, the rows are range-partitioned on (key, order), so that a hot group spre
 range partitions as it needs, and the range partition becomes the chunk. The window then runs per
 (key, chunk), and what crosses a chunk border comes from a table with one row per chunk of the keys
 that span a border. Such a key must start a chunk or end one, so the table has at most two rows per
-chunk: the broadcast has a proven bound of 2 * MAX_CHUNKS rows.
+chunk; what they carry may be long, so it is measured before it is broadcast.
+
+Ties in the order are broken by a hash of the whole row, in the plain window as in the split one, so
+that both see one total order and give the same rows.
 """
 
 from __future__ import annotations
@@ -16,11 +19,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
+from .bounds import broadcast_if_small
 from .durable import cut_lineage
 
 MAX_GROUP_ROWS = 5_000_000
 MAX_CHUNKS = 10_000
 CHUNK = "_chunk"
+TIE = "_tie"
+
+
+def _total(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The frame and the order with a last column that tells different rows apart; exact copies are interchangeable."""
+    return df.withColumn(TIE, F.xxhash64(*[F.to_json(c) if t.startswith("map") else F.col(c) for c, t in df.dtypes])), [*order, TIE]
 
 
 def _sizes(df: DataFrame, keys: Sequence[str]) -> Row:
@@ -64,7 +74,7 @@ def _carry(rows: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     on = rows[CHUNK] == renamed["_k_chunk"]
     for k in keys:
         on = on & rows[k].eqNullSafe(renamed[f"_k_{k}"])
-    return rows.join(F.broadcast(renamed), on, "left").drop("_k_chunk", *[f"_k_{k}" for k in keys])
+    return rows.join(broadcast_if_small(renamed), on, "left").drop("_k_chunk", *[f"_k_{k}" for k in keys])
 
 
 def _spanning(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -75,6 +85,7 @@ def numbered(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, max_rows: int | None = None
 ) -> DataFrame:
     """0-based position of each row in its group."""
+    df, order = _total(df, order)
     rows, split = split_groups(df, keys, order, max_rows)
     w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     result = rows.withColumn(out, F.row_number().over(w).cast("long") - 1)
@@ -84,7 +95,7 @@ def numbered(
         edges = edges.select(*keys, CHUNK, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
         result = _carry(result, edges, keys).withColumn(out, F.col(out) + F.coalesce("_offset", F.lit(0)))
         result = result.drop("_offset")
-    return result.drop(CHUNK)
+    return result.drop(CHUNK, TIE)
 
 
 def neighbours(
@@ -98,6 +109,7 @@ def neighbours(
 ) -> DataFrame:
     """Add a struct of the fields of the row before and/or after in the group; null at the ends."""
     record = F.struct(*[c.alias(n) for n, c in fields.items()])
+    df, order = _total(df, order)
     rows, split = split_groups(df.withColumn("_rec", record), keys, order, max_rows)
     w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     result = rows
@@ -121,13 +133,14 @@ def neighbours(
         if after:
             result = result.withColumn(after, F.coalesce(after, "_from_right"))
         result = result.drop("_from_left", "_from_right")
-    return result.drop("_rec", CHUNK)
+    return result.drop("_rec", CHUNK, TIE)
 
 
 def last_known(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], max_rows: int | None = None
 ) -> DataFrame:
     """Replace each column by its last non-null value up to and including the row."""
+    df, order = _total(df, order)
     rows, split = split_groups(df, keys, order, max_rows)
     w = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     result = rows.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
@@ -143,4 +156,4 @@ def last_known(
         result = _carry(result, edges, keys)
         result = result.withColumns({c: F.coalesce(c, f"_left_{c}") for c in cols})
         result = result.drop(*[f"_left_{c}" for c in cols])
-    return result.drop(CHUNK)
+    return result.drop(CHUNK, TIE)

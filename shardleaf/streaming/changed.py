@@ -33,7 +33,7 @@ def changed_stream(values: DataFrame, delay: float = 0, reset: str | None = None
     values is (user_id, value, ts, seq); an empty value or a true `reset` flag clears the memory.
     """
     rows = values.withWatermark("ts", _interval(delay)).select(
-        "user_id", "ts", F.unix_micros("ts").alias("us"), F.col("seq").cast("long").alias("seq"), "value",
+        "user_id", "ts", F.unix_micros("ts").alias("us"), F.coalesce(F.col("seq").cast("long"), F.lit(0)).alias("seq"), "value",
         (F.coalesce(F.col(reset), F.lit(False)) if reset else F.lit(False)).alias("reset"),
     )
     user = values.schema["user_id"].dataType.simpleString()

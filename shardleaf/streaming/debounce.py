@@ -18,7 +18,6 @@ def debounce_stream(events: DataFrame, gap: float = GAP_SECONDS, delay: float =
     partial aggregates, so a busy user costs no memory, and rows of one user are combined on the map
     side first. Rows later than the delay are dropped.
     """
-    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     place = F.struct(F.col("ts"), F.col(seq))
     empty = F.coalesce(F.trim(F.col("value")), F.lit("")) == ""
     return (

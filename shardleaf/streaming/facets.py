@@ -39,7 +39,7 @@ def facet_stream(queries: DataFrame, choices: DataFrame, delay: float = 0, defau
         choices.select("user_id", "ts", "seq", F.lit(None).cast("string").alias("q"), F.col("section_id").cast("int").alias("section_id"))
     )
     rows = both.withWatermark("ts", _interval(delay)).withColumns({
-        "us": F.unix_micros("ts"), "seq": F.col("seq").cast("long"),
+        "us": F.unix_micros("ts"), "seq": F.coalesce(F.col("seq").cast("long"), F.lit(0)),
     })
     user = queries.schema["user_id"].dataType.simpleString()
     return rows.groupBy("user_id").transformWithStateInPandas(

@@ -11,7 +11,13 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ..plans import shared_dir
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: The session settings that start() makes: state on disk, which the stateful operators need, and bursts of one user combined
+#: before the shuffle.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+END_OF_TIME = "2262-01-01 00:00:00"  # the latest year that fits nanoseconds
 
 
 def as_instant(local: Column) -> Column:
@@ -41,7 +47,8 @@ def start(stream: DataFrame, target: str, mode: str = "append", each_batch: Each
     `each_batch` turns a batch into what is written; `trigger` is passed on, such as
     availableNow=True or processingTime="10 seconds".
     """
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for key, value in SETTINGS.items():
+        stream.sparkSession.conf.set(key, value)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = each_batch(batch, batch_id) if each_batch else batch
@@ -56,17 +63,42 @@ def start(stream: DataFrame, target: str, mode: str = "append", each_batch: Each
     )
 
 
-def drain(stream: DataFrame, mode: str = "append", each_batch: EachBatch | None = None, schema: StructType | None = None) -> DataFrame:
+def with_clock(stream: DataFrame, ts: str = "ts") -> tuple[DataFrame, Callable[[], None]]:
+    """The stream with a clock beside it, and what strikes it: one row at the end of time, null in all other columns.
+
+    Operators hold rows until the watermark passes them. Once the data has ended, the struck clock moves the
+    watermark past all of it. Its row has null keys; drain() leaves out what it may cause.
+    """
+    spark, folder = stream.sparkSession, shared_dir(stream.sparkSession, "clock")
+    schema = StructType([StructField(f.name, f.dataType) for f in stream.schema.fields])
+    spark.createDataFrame([], schema).write.parquet(folder)
+
+    def strike() -> None:
+        row = [(F.lit(END_OF_TIME) if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+        spark.range(1).select(*row).write.mode("append").parquet(folder)
+
+    return stream.unionByName(spark.readStream.schema(schema).parquet(folder)), strike
+
+
+def drain(
+    stream: DataFrame, mode: str = "append", each_batch: EachBatch | None = None, schema: StructType | None = None,
+    strike: Callable[[], None] | None = None, key: str = "user_id",
+) -> DataFrame:
     """Run a stream over all data present and return what it wrote, with a batch_id column.
 
-    `schema` is that of the rows of each_batch.
+    `schema` is that of the rows of each_batch. With `strike`, from with_clock, the stream goes on after the data
+    until everything open is closed, and rows with a null `key` are left out.
     """
     spark = stream.sparkSession
     target = shared_dir(spark, "stream")
     start(stream, target, mode, each_batch, availableNow=True).awaitTermination()
+    if strike:
+        strike()
+        start(stream, target, mode, each_batch, availableNow=True).awaitTermination()
     schema = StructType([*(schema or stream.schema).fields, StructField("batch_id", LongType())])
     try:
-        return spark.read.schema(schema).parquet(f"{target}/out")
+        rows = spark.read.schema(schema).parquet(f"{target}/out")
+        return rows.where(F.col(key).isNotNull()) if strike else rows
     except AnalysisException as e:  # no data, so no batch
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

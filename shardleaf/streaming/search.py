@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..operators.events import GAP_SECONDS
 from ..operators.search import batch_prefix_join
 from .debounce import debounce_stream
-from .runs import EachBatch, drain
+from .runs import EachBatch, drain, with_clock
 
 
 def find_settled(index: DataFrame) -> EachBatch:
@@ -31,7 +31,8 @@ def search_stream(events: DataFrame, index: DataFrame, gap: float = GAP_SECONDS,
 
     For a stream that goes on, pass find_settled(index) to runs.start with debounce_stream.
     """
+    events, strike = with_clock(events)
     settled = debounce_stream(events, gap, delay, seq)
     user, ts = settled.schema["user_id"], settled.schema["ts"]
     schema = StructType([user, StructField("q", StringType()), ts, *index.schema.fields])
-    return drain(settled, "append", find_settled(index), schema)
+    return drain(settled, "append", find_settled(index), schema, strike)

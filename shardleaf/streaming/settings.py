@@ -34,6 +34,8 @@ class _Settings(StatefulProcessor):
             return
         self.latest.update(best)
         us, _, value, days = best
+        if days < 0:  # kept until no earlier write can come any more
+            self.handle.registerTimer(-(-us // 1000))
         if days > 0:
             self.handle.registerTimer(-(-(us + days * DAY_US) // 1000))
         yield self._op(key, None if days < 0 else value, "delete" if days < 0 else "set")
@@ -42,6 +44,9 @@ class _Settings(StatefulProcessor):
         if not self.latest.exists():
             return
         us, _, _, days = self.latest.get()
+        if days < 0 and us <= timerValues.getCurrentWatermarkInMs() * 1000:
+            self.latest.clear()
+            return
         # A timer of an older write says nothing about the latest one.
         if days > 0 and us + days * DAY_US <= timerValues.getCurrentWatermarkInMs() * 1000:
             self.latest.clear()

@@ -48,7 +48,7 @@ def toggle_all_stream(clicks: DataFrame, delay: float = 0, initially_open: bool
     clicks is (page_id, id, is_all, ts, seq): single clicks, and "toggle all" clicks whose id is null.
     """
     rows = clicks.withWatermark("ts", _interval(delay)).select(
-        "page_id", "ts", F.unix_micros("ts").alias("us"), F.col("seq").cast("long").alias("seq"),
+        "page_id", "ts", F.unix_micros("ts").alias("us"), F.coalesce(F.col("seq").cast("long"), F.lit(0)).alias("seq"),
         F.col("id").cast("string").alias("id"), "is_all",
     )
     page = clicks.schema["page_id"].dataType.simpleString()

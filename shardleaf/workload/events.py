@@ -19,11 +19,12 @@ def changes(spark, sf):
 
 
 def facet_events(events):
-    """Views and clicks are queries, purchases choose a section, the rest does neither."""
-    ev = with_k(events).where("event_type in ('view', 'click', 'purchase')")
+    """Purchases choose a section, signups empty the query, other events are queries."""
+    ev = with_k(events)
     choice = F.col("event_type") == "purchase"
+    query = F.when(F.col("event_type") == "signup", F.lit("")).otherwise(F.col("event_type"))
     return ev.select(
-        "user_id", F.when(~choice, F.col("event_type")).alias("q"), F.when(choice, F.col("k") % 4).cast("int").alias("section_id"),
+        "user_id", F.when(~choice, query).alias("q"), F.when(choice, F.col("k") % 4).cast("int").alias("section_id"),
         "ts", F.col("event_id").alias("seq"),
     )
 
@@ -33,16 +34,16 @@ def live(spark, sf):
 
 
 def q_debounce_stream(spark, sf):
-    rows = st.drain(st.debounce_stream(field_changes(live(spark, sf)), GAP))
+    events, strike = st.with_clock(field_changes(live(spark, sf)))
+    rows = st.drain(st.debounce_stream(events, GAP), strike=strike)
     return rows.select("user_id", "value", as_local(F.col("ts")).alias("ts"), "had_reset")
 
 
 def q_search_stream(spark, sf):
-    """Users type the first word of the part that their event names; the index holds the part names."""
+    """Users type names of parts, all of them in turn; the index holds the part names."""
     part = table(spark, sf, "part")
-    typed = with_k(live(spark, sf)).join(part, F.col("k") == F.col("p_partkey")).select(
-        "user_id", F.split_part("p_name", F.lit(" "), F.lit(1)).alias("value"), "ts", F.col("event_id").alias("seq")
-    )
+    named = F.col("event_id") % part.count() == F.col("p_partkey")
+    typed = live(spark, sf).join(part, named).select("user_id", F.col("p_name").alias("value"), "ts", F.col("event_id").alias("seq"))
     names = part.select("p_name").distinct()
     index = symbol_entries(names, "p_name", "p_name", F.lit(""), "names")
     rows = st.search_stream(typed, index, GAP)
@@ -50,7 +51,8 @@ def q_search_stream(spark, sf):
 
 
 def q_changed_stream(spark, sf):
-    rows = st.drain(st.changed_stream(field_changes(live(spark, sf))))
+    events, strike = st.with_clock(field_changes(live(spark, sf)))
+    rows = st.drain(st.changed_stream(events), strike=strike)
     return rows.select("user_id", "value", as_local(F.col("ts")).alias("ts"), "seq")
 
 
@@ -75,7 +77,8 @@ def q_toggle_all_stream(spark, sf):
         F.col("user_id").alias("page_id"), F.when(~is_all, F.col("k").cast("string")).alias("id"), is_all.alias("is_all"),
         "ts", F.col("event_id").alias("seq"),
     )
-    told = st.drain(st.toggle_all_stream(clicks))
+    clicks, strike = st.with_clock(clicks)
+    told = st.drain(st.toggle_all_stream(clicks), strike=strike, key="page_id")
     # What holds now: the last word on the whole page, and the last on each block since then.
     told = told.groupBy("page_id", "id").agg(F.max_by("is_open", "batch_id").alias("is_open"), F.max("batch_id").alias("b"))
     whole = told.where("id is null").select("page_id", F.col("b").alias("reset"))
@@ -84,9 +87,9 @@ def q_toggle_all_stream(spark, sf):
 
 def q_facet_stream(spark, sf):
     both = facet_events(live(spark, sf))
-    queries = both.where("q is not null").select("user_id", "q", "ts", "seq")
+    queries, strike = st.with_clock(both.where("q is not null").select("user_id", "q", "ts", "seq"))
     choices = facet_events(live(spark, sf)).where("section_id is not null").select("user_id", "section_id", "ts", "seq")
-    rows = st.drain(st.facet_stream(queries, choices))
+    rows = st.drain(st.facet_stream(queries, choices), strike=strike)
     return rows.select("user_id", "q", "section_id", as_local(F.col("ts")).alias("ts"), "seq")
 
 
@@ -114,25 +117,24 @@ bursts AS (SELECT user_id, arg_max(value, (ts, seq)) AS value, max(ts) AS ts, bo
 _CHANGED = f"""{CHANGES},
 changed AS (SELECT * FROM (SELECT *, lag(value) {_W} AS before FROM changes) WHERE value <> '' AND value IS DISTINCT FROM before)"""
 _FACETS = f"""{EVENTS_K},{CHANGES},
-f AS (SELECT user_id, CASE WHEN event_type <> 'purchase' THEN event_type END AS q,
-  CASE WHEN event_type = 'purchase' THEN k % 4 END AS s, ts, event_id AS seq FROM ev WHERE event_type IN ('view', 'click', 'purchase')),
+f AS (SELECT user_id, CASE event_type WHEN 'purchase' THEN NULL WHEN 'signup' THEN '' ELSE event_type END AS q,
+  CASE WHEN event_type = 'purchase' THEN k % 4 END AS s, ts, event_id AS seq FROM ev),
 facets AS (SELECT * FROM (SELECT user_id, last_value(q IGNORE NULLS) {_W} AS q,
-  CAST(coalesce(last_value(s IGNORE NULLS) {_W}, 0) AS INTEGER) AS section_id, ts, seq FROM f) WHERE q IS NOT NULL)"""
+  CAST(coalesce(last_value(s IGNORE NULLS) {_W}, 0) AS INTEGER) AS section_id, ts, seq FROM f) WHERE q <> '')"""
 
 SQL = {
     "changed_only": f"WITH {_CHANGED} SELECT user_id, value, ts, seq FROM changed",
     "debounce_batch": f"WITH {_BURSTS} SELECT user_id, value, ts, seq FROM marked WHERE nxt IS NULL OR nxt >= ts + {_GAP}",
     "settled_bursts": f"WITH {_BURSTS} SELECT * FROM bursts",
     "facet_batch": f"WITH {_FACETS} SELECT * FROM facets",
-    "debounce_stream": f"WITH {_BURSTS} SELECT b.* FROM bursts b, wm WHERE b.ts + {_GAP} <= wm.t",
+    "debounce_stream": f"WITH {_BURSTS} SELECT * FROM bursts",
     "search_stream": f"""WITH {EVENTS_K},{CHANGES},
-typed AS (SELECT user_id, split_part(p_name, ' ', 1) AS q, ts, event_id AS seq FROM ev JOIN part ON k = p_partkey),
-settled AS (SELECT * FROM (SELECT *, lead(ts) {_W} AS nxt FROM typed) WHERE nxt IS NULL OR nxt >= ts + {_GAP}),
-closed AS (SELECT s.* FROM settled s, (SELECT make_timestamp(epoch_us(max(ts)) // 1000 * 1000) AS t FROM typed) w WHERE s.ts + {_GAP} <= w.t),
+typed AS (SELECT user_id, p_name AS q, ts, event_id AS seq FROM ev JOIN part ON event_id % (SELECT count(*) FROM part) = p_partkey),
+closed AS (SELECT * FROM (SELECT *, lead(ts) {_W} AS nxt FROM typed) WHERE nxt IS NULL OR nxt >= ts + {_GAP}),
 names AS (SELECT DISTINCT p_name AS label, {sql_shard('p_name')} AS shard, {sql_match_name('lower(p_name)')} AS match_name FROM part)
 SELECT user_id, q, ts, 'names' AS section, match_name, label FROM closed
 JOIN names ON shard = {sql_shard('q')} AND starts_with(match_name, {sql_match_name('lower(q)')})""",
-    "changed_stream": f"WITH {_CHANGED} SELECT c.user_id, c.value, c.ts, c.seq FROM changed c, wm WHERE c.ts <= wm.t",
+    "changed_stream": f"WITH {_CHANGED} SELECT user_id, value, ts, seq FROM changed",
     "settings_stream": """WITH wm AS (SELECT make_timestamp(epoch_us(max(ts)) // 1000 * 1000) AS t FROM events),
 ev AS (SELECT *, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k FROM events),
 last AS (SELECT user_id AS scope_id, event_type AS key, CASE WHEN k > 0 THEN CAST(k AS VARCHAR) ELSE '' END AS value, k % 5 - 1 AS days, ts
@@ -142,11 +144,9 @@ SELECT scope_id, key, CASE WHEN op = 'set' THEN value END AS value, op FROM ops"
     "toggle_stream": "SELECT CAST(user_id AS VARCHAR) AS id, count(*) % 2 = 1 AS is_open FROM events WHERE event_type = 'click' GROUP BY 1",
     "toggle_all_stream": f"""WITH {EVENTS_K},
 rows AS (SELECT user_id AS page_id, event_type = 'signup' AS is_all, CAST(k AS VARCHAR) AS id, ts, event_id FROM ev WHERE event_type IN ('click', 'signup')),
-wm AS (SELECT make_timestamp(epoch_us(max(ts)) // 1000 * 1000) AS t FROM rows),
-past AS (SELECT rows.* FROM rows, wm WHERE ts <= t),
-whole AS (SELECT page_id, max((ts, event_id)) AS last_all, count(*) % 2 = 0 AS base FROM past WHERE is_all GROUP BY 1)
+whole AS (SELECT page_id, max((ts, event_id)) AS last_all, count(*) % 2 = 0 AS base FROM rows WHERE is_all GROUP BY 1)
 SELECT page_id, NULL AS id, base AS is_open FROM whole
-UNION ALL SELECT page_id, id, (coalesce(any_value(base), TRUE) <> (count(*) % 2 = 1)) FROM past LEFT JOIN whole USING (page_id)
+UNION ALL SELECT page_id, id, (coalesce(any_value(base), TRUE) <> (count(*) % 2 = 1)) FROM rows LEFT JOIN whole USING (page_id)
   WHERE NOT is_all AND (last_all IS NULL OR (ts, event_id) > last_all) GROUP BY 1, 2""",
-    "facet_stream": f"WITH {_FACETS} SELECT f.* FROM facets f, (SELECT make_timestamp(epoch_us(max(ts)) // 1000 * 1000) AS t FROM f) w WHERE f.ts <= w.t",
+    "facet_stream": f"WITH {_FACETS} SELECT * FROM facets",
 }

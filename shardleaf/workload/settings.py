@@ -20,7 +20,9 @@ def current(spark, sf):
 
 
 def wanted(spark, sf):
-    return table(spark, sf, "customer").select(F.col("c_custkey").alias("scope_id"), F.lit("view").alias("key"))
+    """Every key that a user ever wrote, and one that every customer is asked for."""
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("scope_id"), F.lit("view").alias("key"))
+    return customers.unionByName(log(spark, sf).select("scope_id", "key")).distinct()
 
 
 def last_of(rows, kind):
@@ -70,20 +72,23 @@ _CURRENT = f"""{LOG},
 last AS (SELECT * FROM expiry WHERE ts <= TIMESTAMP '{AS_OF}' QUALIFY row_number() OVER (PARTITION BY scope_id, key ORDER BY ts DESC, seq DESC) = 1),
 current_values AS (SELECT scope_id, key, value FROM last WHERE kind = 'session' OR expires_at > TIMESTAMP '{AS_OF}')"""
 
+_WANTED = """
+wanted AS (SELECT c_custkey AS scope_id, 'view' AS key FROM customer UNION SELECT scope_id, key FROM log)"""
+
 SQL = {
     "setting_log": f"WITH {LOG} SELECT * FROM log",
     "setting_expiry": f"WITH {LOG} SELECT * FROM expiry",
     "settings_asof": f"WITH {_CURRENT} SELECT * FROM current_values",
-    "setting_default": f"""WITH {_CURRENT} SELECT c_custkey AS scope_id, 'view' AS key, coalesce(value, 'none') AS value
-FROM customer LEFT JOIN current_values ON scope_id = c_custkey AND key = 'view'""",
+    "setting_default": f"""WITH {_CURRENT},{_WANTED}
+SELECT scope_id, key, coalesce(value, 'none') AS value FROM wanted LEFT JOIN current_values USING (scope_id, key)""",
     "chosen_section": """WITH labels AS (SELECT c_mktsegment AS value, min(c_custkey) + 1 AS section_id FROM customer WHERE c_mktsegment <> 'MACHINERY' GROUP BY 1)
 SELECT c_custkey AS scope_id, 'section' AS key, c_mktsegment AS value, coalesce(section_id, 0) AS section_id
 FROM customer LEFT JOIN labels ON value = c_mktsegment""",
-    "setting_fallback": f"""WITH {LOG},
+    "setting_fallback": f"""WITH {LOG},{_WANTED},
 v AS (SELECT scope_id, key, kind, arg_max(value, (ts, seq)) AS value FROM expiry GROUP BY 1, 2, 3)
-SELECT c_custkey AS scope_id, 'view' AS key, coalesce(nullif(p.value, ''), nullif(s.value, ''), 'none') AS value FROM customer
-LEFT JOIN v p ON p.scope_id = c_custkey AND p.key = 'view' AND p.kind = 'persistent'
-LEFT JOIN v s ON s.scope_id = c_custkey AND s.key = 'view' AND s.kind = 'session'""",
+SELECT w.scope_id, w.key, coalesce(nullif(p.value, ''), nullif(s.value, ''), 'none') AS value FROM wanted w
+LEFT JOIN v p ON p.scope_id = w.scope_id AND p.key = w.key AND p.kind = 'persistent'
+LEFT JOIN v s ON s.scope_id = w.scope_id AND s.key = w.key AND s.kind = 'session'""",
     "nearest_visible": f"""WITH {EVENTS_K},
 asked AS (SELECT DISTINCT user_id, CAST(k AS BIGINT) AS pos FROM ev WHERE event_type = 'view'),
 items AS (SELECT DISTINCT user_id, CAST(k AS BIGINT) AS i FROM ev WHERE event_type = 'purchase')

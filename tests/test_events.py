@@ -81,3 +81,15 @@ def test_split_groups_give_the_same_rows(spark):
 def test_numbering_copies(spark):
     copies = spark.range(500).select(F.lit("k").alias("k"), F.lit(1).alias("v"))
     assert rows(numbered(copies, ["k"], ["v"], "n", 60), "n") == sorted(((i,) for i in range(500)), key=repr)
+
+
+def test_neighbours_see_one_order_whether_split_or_not(spark):
+    """400 rows, 20 to a position: every row but the last has a successor of its own, whichever plan runs."""
+    from shardleaf.plans import last_known, neighbours, numbered
+
+    df = spark.createDataFrame([("k", i // 20, i) for i in range(400)], "k string, pos int, id int")
+    plain, split = (rows(neighbours(df, ["k"], ["pos"], {"id": F.col("id")}, before="b", after="a", max_rows=n), "id", "b.id", "a.id") for n in (None, 40))
+    assert plain == split and len({a for _, _, a in plain}) == 400
+    assert rows(numbered(df, ["k"], ["pos"], "n", 40)) == rows(numbered(df, ["k"], ["pos"], "n"))
+    holes = df.withColumn("v", F.when(F.col("id") % 7 == 0, F.col("id")))
+    assert rows(last_known(holes, ["k"], ["pos"], ["v"], 40)) == rows(last_known(holes, ["k"], ["pos"], ["v"]))

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from shardleaf.functions.links import resolve
 from shardleaf.operators import links as op
-from shardleaf.sources import extract_links, page_meta
+from shardleaf.sources import extract_links, page_base, page_meta
 
 from conftest import rows
 
@@ -43,19 +43,36 @@ def test_extract_links(spark):
     ]
 
 
+@pytest.mark.parametrize("html, links", [
+    ('<a title="a>b" href="/w">W</a>', [("/w", "W")]), ("<a href=/foo/>Foo</a>", [("/foo/", "Foo")]), ("<a data-href=no>x</a>", []),
+    ("<a title='href=no' href=yes>x</a>", [("yes", "x")]), ("<a title=it's href='u v'>t</a>", [("u v", "t")]), ('<a href="" >e</a>', [("", "e")]),
+    ('<a href="x.html"/><a href=y.html />z', [("x.html", ""), ("y.html", "")]), ("a<script><a href=no>x</a>", []), ('<a href="?a&copy=1&lt;">q</a>', [("?a&copy=1<", "q")]),
+])
+def test_links_as_browsers_read_them(spark, html, links):
+    found = extract_links(spark.createDataFrame([(1, html)], "page_id int, html string"))
+    assert [(r.href, r.anchor) for r in found.orderBy("pos").collect()] == links
+
+
+def test_a_page_may_name_its_base(spark):
+    data = [(1, "https://h.org/a/", "<base target=x href='https://cdn.org/x/'><a href=y>Y</a><a href=' /z\n'>Z</a>"), (2, "https://h.org/b/", "<base href=sub/><a href=y>Y</a>"), (3, "https://h.org/c/", "<a href=y>Y</a>")]
+    pages = page_base(spark.createDataFrame(data, "page_id int, page_url string, html string"), "page_url")
+    found = op.resolve_links(extract_links(pages, keep=["base_url"]), base="base_url")
+    assert rows(found, "page_id", "url") == [(1, "https://cdn.org/x/y"), (1, "https://cdn.org/z"), (2, "https://h.org/b/sub/y"), (3, "https://h.org/c/y")]
+
+
 def test_page_meta(spark):
     redirect = (
-        '<!DOCTYPE html>\n<html lang="ja">\n<head>\n  <meta charset="UTF-8">\n\n  <meta http-equiv="refresh" content="0; url=./Home.html">\n'
-        '  <script>\n    window.location.replace("./Home.html");\n  </script>\n\n  <title>Redirecting...</title>\n</head></html>'
+        '<html lang="pt"><title>Moved away</title><meta charset=ISO-8859-15>'
+        '<meta content="3;URL=\'next/start.htm\'" http-equiv=Refresh><script>document.title = "<title>no</title>"</script></html>'
     )
     listing = (
-        '<html xmlns="x" lang="en-US"><head><title>Helper &amp; more</title>'
-        '<meta http-equiv="Content-Type" content="text/xhtml;charset=UTF-8"/><meta name="generator" content="Tool 1.0"/></head></html>'
+        '<html data-x="a>b" lang="nl-BE"><head><title dir=ltr>Tea &amp; cake</title>'
+        '<meta content="text/html; charset=koi8-r" http-equiv="content-type"><meta title="name=x" name=generator content="Loom > 2"></head></html>'
     )
     pages = spark.createDataFrame([(1, redirect), (2, listing), (3, "plain")], "page_id int, html string")
     assert rows(page_meta(pages)) == [
-        (1, "Redirecting...", "ja", "UTF-8", None, "./Home.html"),
-        (2, "Helper & more", "en-US", "UTF-8", "Tool 1.0", None),
+        (1, "Moved away", "pt", "ISO-8859-15", None, "next/start.htm"),
+        (2, "Tea & cake", "nl-BE", "koi8-r", "Loom > 2", None),
         (3, None, None, None, None, None),
     ]
 
@@ -75,9 +92,8 @@ def test_counts_of_a_link_list(spark):
 
 
 @pytest.mark.parametrize("href, kind", [
-    ("field__class_8cpp_source.html", "source"), ("field__class_8hpp.html", "file"), ("class_field.html", "class"),
-    ("class_field-members.html", "members"), ("structlg__params__t.html", "struct"), ("namespace_matrix.html", "namespace"),
-    ("namespacemembers_func.html", "index"), ("classes.html", "index"), ("more_info1.html", "other"),
+    ("kite_8cc_source.html", "source"), ("kite_8h.html", "file"), ("class_kite.html", "class"), ("class_kite-members.html", "members"),
+    ("structtail__t.html", "struct"), ("namespace_wind.html", "namespace"), ("functions_k.html", "index"), ("annotated.html", "index"), ("about.html", "other"),
 ])
 def test_link_kinds(spark, href, kind):
     assert op.classify_link(spark.createDataFrame([(href,)], "href string")).first()["kind"] == kind

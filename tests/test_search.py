@@ -1,4 +1,5 @@
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from shardleaf.operators import search as op
@@ -48,7 +49,7 @@ def test_shards_by_first_character(spark, catalog):
 
 
 def test_prefix_search(entries):
-    assert rows(op.prefix_search(entries, " GET "), "label") == [("Get_all",), ("Getting started",), ("get",), ("get",)]
+    assert rows(op.prefix_search(entries, " GET "), "label") == [("Get_all",), ("Getting started",), ("get off",), ("get",), ("get",)]
     assert rows(op.prefix_search(entries, "get_"), "label") == [("Get_all",)]
     assert rows(op.prefix_search(entries, "getting s"), "label") == [("Getting started",)]
     assert rows(op.section_search(entries, "pages", "É"), "label") == [("éa",)]
@@ -67,7 +68,7 @@ def test_batch_join_equals_single_searches(spark, entries):
 def test_counts_and_first(spark, entries):
     counts = {r["qid"]: r for r in op.match_counts(q(spark, "get", "zzz", "", "get"), entries).collect()}
     assert [(counts[i]["n_matches"], counts[i]["n_targets"], counts[i]["no_match"]) for i in range(4)] == [
-        (3, 4, False), (0, 0, True), (0, 0, True), (3, 4, False)
+        (4, 5, False), (0, 0, True), (0, 0, True), (4, 5, False)
     ]
     assert rows(op.first_match(q(spark, "get", "zzz", "~a"), entries), "qid", "label", "url") == [(0, "get", "a.html#1"), (2, "~A", "a.html#9")]
 
@@ -75,9 +76,42 @@ def test_counts_and_first(spark, entries):
 def test_queries_stay_in_their_section(spark, entries):
     asked = q(spark, "get", "get").withColumn("section", F.when(F.col("qid") == 0, "pages").otherwise("functions"))
     assert rows(op.batch_prefix_join(asked, entries), "qid", "section", "label") == [
-        (0, "pages", "Getting started"), (1, "functions", "Get_all"), (1, "functions", "get"), (1, "functions", "get")
+        (0, "pages", "Getting started"), (0, "pages", "get off"), (1, "functions", "Get_all"), (1, "functions", "get"), (1, "functions", "get")
     ]
-    assert rows(op.match_counts(asked, entries), "qid", "n_matches") == [(0, 1), (1, 2)]
+    assert rows(op.match_counts(asked, entries), "qid", "n_matches") == [(0, 2), (1, 2)]
+
+
+def test_the_section_all_is_every_section(spark, entries):
+    twice = entries.unionByName(entries)
+    found = op.section_search(twice, "all", "get")
+    assert rows(found, "section", "label", "url") == rows(op.all_section(op.prefix_search(entries, "get")), "section", "label", "url") and found.count() == 5
+    asked = q(spark, "get", "get").withColumn("section", F.when(F.col("qid") == 0, "all").otherwise("functions"))
+    joined = op.batch_prefix_join(asked, twice)
+    assert rows(joined.where("qid = 0").select(entries.columns)) == rows(found)
+    assert joined.where("qid = 1").count() == 6
+    assert rows(op.match_counts(asked, entries), "qid", "n_matches") == [(0, 4), (1, 2)]
+
+
+def test_null_sections_count_in_all(spark):
+    df = spark.createDataFrame([(None, "x", "u"), ("s", "y", "u"), ("s", "y", "u")], "section string, label string, url string")
+    flat = symbol_entries(df, "label", "url", F.lit(""), F.col("section"))
+    assert rows(op.all_section(flat), "section", "label") == [("all", "x"), ("all", "y")]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.text(alphabet=" \n\t\u00a0aBÉİ_9%&\U0001F600", min_size=1, max_size=8), min_size=1, max_size=15))
+def test_every_label_is_found_by_its_prefixes(spark, labels):
+    df = spark.createDataFrame([*enumerate(labels)], "url int, label string")
+    flat = symbol_entries(df, "label", "url", F.lit(""), "s")
+    kept = {r.url: r.label for r in flat.collect()}
+    asked = [(f"{u}:{n}", u, text[:n]) for u, text in kept.items() for n in range(1, len(text) + 1) if text[:n].strip(" ")]
+    asked += [(f"{u}:raw", u, text.lower()) for u, text in kept.items() if text]
+    found = op.batch_prefix_join(spark.createDataFrame([(a, t) for a, _, t in asked], "qid string, q string"), flat) if asked else None
+    hits = {(r.qid, r.url) for r in found.collect()} if asked else set()
+    assert all((a, str(u)) in hits for a, u, _ in asked)
+    for u, text in list(kept.items())[:2]:
+        if text:
+            assert str(u) in {r.url for r in op.prefix_search(flat, text).collect()}
 
 
 def test_large_paths_give_the_same(spark, entries, monkeypatch):
@@ -85,7 +119,6 @@ def test_large_paths_give_the_same(spark, entries, monkeypatch):
     asked = q(spark, "get", "g", "ge", "gettin", "~", "none", "é")
     expected = [rows(f(asked, entries)) for f in (op.batch_prefix_join, op.match_counts, op.first_match)]
     monkeypatch.setattr(op, "MAX_ROWS", 0)
-    monkeypatch.setattr(op, "LIST_LENGTHS", 1)
     monkeypatch.setattr(op, "PRUNE_SHARDS", 1)
     assert [rows(f(asked, entries)) for f in (op.batch_prefix_join, op.match_counts, op.first_match)] == expected
 
@@ -107,6 +140,9 @@ def test_big_groups_come_in_parts(spark):
     assert sorted(t["url"] for g in hot for t in g["targets"]) == sorted({f"u{i}" for i in range(50)})
     assert sum(t["copies"] for g in hot for t in g["targets"]) == 200
     assert [(g["n_targets"], g["is_group"]) for g in groups if g["label"] != "hot"] == [(1, False), (1, False)]
+    parts = [[t["url"] for t in g["targets"]] for g in sorted(hot, key=lambda g: g["part"])]
+    assert sum(parts, []) == sorted(f"u{i}" for i in range(50)) and {len(p) for p in parts} == {10}, "parts go on in target order"
+    assert rows(nested_entries(op.group_results(flat, per_part=10))) == rows(flat)
 
 
 def test_item_index_with_split_groups(spark):

@@ -59,9 +59,16 @@ def test_nearest(spark):
         assert rows(nearest.nearest_visible(asked, items, ["g"], chunk)) == sorted(expected, key=repr)
 
 
+def test_nearest_with_far_apart_positions_in_one_hot_group(spark):
+    at = [i * 1_000_003 for i in range(300)]
+    asked = spark.createDataFrame([("g", p + 1) for p in at] + [("h", 5)], "g string, pos long")
+    items = spark.createDataFrame([("g", p) for p in at[::3]] + [("h", 5)], "g string, item_index long")
+    assert rows(nearest.nearest_visible(asked, items, ["g"], 40)) == rows(nearest.nearest_visible(asked, items, ["g"]))
+
+
 def test_next_and_previous_over_chunk_borders(spark):
     visible = {2, 3, 11, 17}
     items = spark.createDataFrame([("g", i, i in visible) for i in range(20)], "g string, item_index int, visible boolean")
     brute = [("g", i, i in visible, min((v for v in visible if v >= i), default=None), max((v for v in visible if v <= i), default=None)) for i in range(20)]
     for chunk in (1_000_000, 4):
-        assert rows(nearest.next_prev_visible(items, ["g"], chunk=chunk)) == sorted(brute, key=repr)
+        assert rows(nearest.next_prev_visible(items, ["g"], max_rows=chunk)) == sorted(brute, key=repr)

@@ -142,6 +142,18 @@ def test_toggle_all_live(spark):
     assert rows(state.where("page_id <> 'end'")) == [("p", "x", False), ("p", "y", True), ("q", "x", False)]
 
 
+def test_a_struck_clock_closes_everything(spark):
+    """What is open when the data ends comes out too: the streams equal their batch forms on all rows."""
+    batches = [[r for r in b if r[1] != "late"] for b in BATCHES]
+    whole = spark.createDataFrame([r for b in batches for r in b], DDL)
+    events, strike = st.with_clock(files(spark, DDL, *batches))
+    live = st.drain(st.debounce_stream(events), strike=strike)
+    assert rows(live, "user_id", "value", "had_reset") == rows(ev.settled_bursts(whole, ["user_id"], "value", ["ts", "seq"]), "user_id", "value", "had_reset")
+    events, strike = st.with_clock(files(spark, DDL, *batches))
+    live = st.drain(st.changed_stream(events), strike=strike)
+    assert rows(live, "user_id", "value", "seq") == rows(ev.changed_only(whole, ["user_id"], "value", ["ts", "seq"]), "user_id", "value", "seq")
+
+
 def test_an_empty_stream(spark):
     live = files(spark, DDL, [])
     assert st.drain(st.debounce_stream(live)).count() == 0

@@ -63,11 +63,16 @@ def test_runs_of_blank_lines(spark, text, out):
     ("&amp;lt;", "&lt;"), ("&#38;lt;", "&lt;"), ("a &lt;b&gt; &quot;&apos;", "a <b> \"'"), ("&#8230;&#x2026;&hellip;", "………"),
     ("&#128512;", "\U0001F600"), ("&nosuch; & &;", "&nosuch; & &;"), ("&#0;&#xD800;&#99999999999;", "���"), ("x", "x"),
     ("&eacute;&euro;&nbsp;", "é€ "), ("&Alpha;&alpha;", "Αα"),
+    ("&check;&hyphen;&AMP;", "✓‐&"), ("&nbsp x &copy2 &notit;", "\u00a0 x ©2 ¬it;"), ("&#150;&#146;&#39 &#x41", "–’' A"), ("&fjlig;&acE;", "fj∾̳"),
 ])
 def test_entities_are_decoded_once(spark, html, text):
     assert apply(spark, [html], T.decode_entities("x")) == [text]
 
 
+def test_references_in_attributes_need_an_end(spark):
+    assert apply(spark, ["?a=1&copy=2&lt=3&lt;&amp;&reg"], T.decode_entities("x", attribute=True)) == ["?a=1&copy=2&lt=3<&®"]
+
+
 def page_text(spark, html, *drop):
     df = spark.createDataFrame([(1, html)], "page_id int, html string")
     return (op.page_text(df, drop) if drop else op.page_text(df)).first()["text"]
@@ -90,6 +95,21 @@ def test_scripts_comments_and_chosen_elements(spark):
     assert page_text(spark, '<div class="adx">keep</div><div class="ad">x', "div.ad") == "keepx"
 
 
+@pytest.mark.parametrize("depth", [0, 1, 8, 9, 50, 1000])
+def test_dropped_elements_nest_to_any_depth(spark, depth):
+    inner = "<div>" * depth + "SECRET" + "</div>" * depth
+    assert page_text(spark, f'a<div class="ttc">{inner}</div>b<div>c</div><div class="ttc">{inner}</div>d') == "abcd"
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<span class=lineno>12</span>code", "code"), ("<i class='x lineno y'>1</i>code", "code"), ("a<script>var x=1;", "a"), ("a<!-- no end", "a"),
+    ('<b title="a>b">x</b>', "x"), ("<b title=it's>x</b> it's", "x it's"), ("a < b <i", "a < b "), ("<br class=ttc>kept", "kept"),
+    ('<div class="ttc">never closed <b>x</b>', "never closed x"), ('<p title="<div class=ttc>">x</p>', "x"),
+])
+def test_tags_as_browsers_read_them(spark, html, text):
+    assert page_text(spark, html) == text
+
+
 def test_long_pages_do_not_overflow(spark):
     inner = "<b>x</b> text " * 60_000
     assert page_text(spark, f'<div class="ttc">{inner}<div>{inner}</div></div>rest') == "rest"

@@ -81,6 +81,12 @@ class _Bytes:
         out, self.at = self.buf[self.at : end], end + 1
         return out.rstrip(b"\r")
 
+    def skip_line_ends(self) -> None:
+        while self.at < len(self.buf) or self._more():
+            if self.buf[self.at] not in b"\r\n":
+                return
+            self.at += 1
+
     def read(self, n: int) -> bytes:
         while len(self.buf) - self.at < n and self._more(max(1 << 16, n - len(self.buf) + self.at)):
             pass
@@ -101,10 +107,8 @@ class _Bytes:
 
 
 def _headers(data: _Bytes) -> dict[str, str] | None:
-    """Header fields, names in lower case, of the next record; None at the end. Raises ValueError where no record begins."""
-    while (line := data.line()) == b"":
-        pass
-    if line is None:
+    """Header fields, names in lower case, of the record that begins here; None at the end. Raises ValueError if none does."""
+    if (line := data.line()) is None:
         return None
     if not line.startswith(b"WARC/"):
         raise ValueError(f"no WARC record at byte {data.position - len(line)}")
@@ -176,7 +180,9 @@ class WarcReader(ds.DataSourceReader):
         found = fs.get_file_info(pafs.FileSelector(root, recursive=True))
         return [Piece(x.path, 0, -1) for x in found if x.type == pafs.FileType.File and x.path.endswith((".warc", ".warc.gz"))]
 
-    def read(self, partition: Piece) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Piece | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # what Spark asks for where there is no piece at all
+            return
         fs, _ = _store(self.path)
         schema = pa.schema([(c, pa.int64() if c in LONGS else pa.string()) for c in HEADERS] + [("payload", pa.binary())])
         rows, size = [], 0
@@ -184,7 +190,10 @@ class WarcReader(ds.DataSourceReader):
             packed = partition.path.endswith(".gz")
             raw.seek(partition.start)
             data = _Bytes(gzip.GzipFile(fileobj=raw) if packed else raw, not packed)
-            while partition.end < 0 or data.position < partition.end:
+            while True:
+                data.skip_line_ends()  # those that end the record before; a piece ends where the next record begins
+                if 0 <= partition.end <= data.position:
+                    break
                 fields = _headers(data)
                 if fields is None:
                     break

@@ -4,7 +4,7 @@ Each text gets counts, two fixed base rules, and a vector of transformed statist
 source the centre and covariance of the vectors are those of the subset with the smallest determinant
 that concentration steps reach: keep the SHARE of texts that are nearest by Mahalanobis distance, estimate
 again, repeat. Two starts run together (medians with median deviations, and plain moments); the one that ends
-with the smaller determinant counts. A text is rejected when its distance to the final estimate is beyond a
+with the smaller determinant counts, and is estimated once more from all texts that it takes for regular. A text is rejected when its distance to the final estimate is beyond a
 chi-square quantile.
 
 All texts take part in every step. A step is one aggregate: moments per group and distance bin (bins a
@@ -32,6 +32,7 @@ MAX_REPEAT_PERCENT = 30
 MIN_GROUP = 50
 SHARE = 0.75
 STEPS = 6
+REGULAR = 0.975
 TAIL = 1e-6
 #: Least standard deviation of each statistic: what differs by less is never told apart.
 FLOORS = {"word_length": 0.05, "symbols": 0.15, "distinct": 0.03, "echo": 0.08, "capitals": 0.04}
@@ -134,7 +135,7 @@ def _with_cells(rows: DataFrame) -> DataFrame:
 
 
 def fit_mcd(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFrame:
-    """(cell, centre, inverse) for rows with a cell and the statistics: scaled so that distances follow chi-square."""
+    """(cell, centre, inverse) for rows with a cell and the statistics: scaled so that distances in a normal cloud follow chi-square."""
     # Starts: medians with median deviations, and plain moments.
     middle = cut_lineage(rows.groupBy("cell").agg(*[F.percentile_approx(c, 0.5, 1000).alias(f"m_{c}") for c in NAMES]))
     off = rows.join(broadcast_if_small(middle), "cell")
@@ -159,10 +160,13 @@ def fit_mcd(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFr
         sums = inner.groupBy("cell", "start").agg(*[F.sum(c).alias(c) for c in _SUMS])
         found = cut_lineage(_estimates(sums, ["cell", "start"], inflate))
     best = cut_lineage(found.groupBy("cell").agg(F.min_by(F.struct("centre", "inverse"), F.struct("logdet", "start")).alias("_b")).select("cell", "_b.*"))
-    # Where the nearest share lies further out than under chi-square, widen the estimate; never narrow it below the floors.
-    reach = rows.join(broadcast_if_small(best), "cell").groupBy("cell").agg(F.percentile_approx(_distance(), share, 1000).alias("_q"))
-    scale = F.greatest(F.lit(1.0), F.col("_q") / chi2_quantile(share, DIM))
-    return cut_lineage(best.join(reach, "cell").select("cell", "centre", F.transform("inverse", lambda x: x / scale).alias("inverse")))
+    # One reweighting step: the moments of all texts that the raw estimate takes for regular.
+    regular = rows.join(broadcast_if_small(best), "cell").where(_distance() <= chi2_quantile(REGULAR, DIM))
+    final = _estimates(regular.groupBy("cell").agg(*_moments()), ["cell"], REGULAR / _kept_variance(REGULAR, DIM))
+    final = cut_lineage(final.select("cell", F.col("centre").alias("_centre"), F.col("inverse").alias("_inverse")))
+    return cut_lineage(best.join(final, "cell", "left").select(
+        "cell", F.coalesce("_centre", "centre").alias("centre"), F.coalesce("_inverse", "inverse").alias("inverse")
+    ))
 
 
 def _kept_variance(share: float, d: int) -> float:

@@ -1,9 +1,9 @@
 """How the work is laid out on a cluster: size-checked broadcasts, split groups, durable cuts."""
 
 from .bounds import broadcast_if_small
-from .durable import cut_lineage, shared_dir
+from .durable import cut_lineage, scratch, shared_dir
 from .ordered import last_known, neighbours, numbered
 
 __all__ = [
-    "broadcast_if_small", "cut_lineage", "last_known", "neighbours", "numbered", "shared_dir",
+    "broadcast_if_small", "cut_lineage", "last_known", "neighbours", "numbered", "scratch", "shared_dir",
 ]

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,9 +24,33 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder of its own under the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables that are written inside the block when it ends.
+
+    Frames that read them must not be used afterwards: write results elsewhere before the block ends.
+    """
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for made in _made.get() or []:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(made)
+            path.getFileSystem(conf).delete(path, True)
+        _made.reset(token)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -4,11 +4,11 @@ from .debounce import debounce_stream
 from .changed import changed_stream
 from .facets import facet_stream
 from .runs import drain, read_events, start, with_clock
-from .search import find_settled, search_stream
+from .search import count_settled, find_settled, search_stream, search_stream_counts
 from .settings import settings_stream
 from .toggles import toggle_all_stream, toggle_stream
 
 __all__ = [
-    "changed_stream", "debounce_stream", "drain", "facet_stream", "find_settled", "read_events", "search_stream", "settings_stream", "start",
+    "changed_stream", "count_settled", "debounce_stream", "drain", "facet_stream", "find_settled", "read_events", "search_stream", "search_stream_counts", "settings_stream", "start",
     "toggle_all_stream", "toggle_stream", "with_clock",
 ]

@@ -82,7 +82,7 @@ def with_clock(stream: DataFrame, ts: str = "ts") -> tuple[DataFrame, Callable[[
 
 def drain(
     stream: DataFrame, mode: str = "append", each_batch: EachBatch | None = None, schema: StructType | None = None,
-    strike: Callable[[], None] | None = None, key: str = "user_id",
+    strike: Callable[[], None] | None = None, key: str = "user_id", target: str | None = None,
 ) -> DataFrame:
     """Run a stream over all data present and return what it wrote, with a batch_id column.
 
@@ -90,7 +90,7 @@ def drain(
     until everything open is closed, and rows with a null `key` are left out.
     """
     spark = stream.sparkSession
-    target = shared_dir(spark, "stream")
+    target = target or shared_dir(spark, "stream")
     start(stream, target, mode, each_batch, availableNow=True).awaitTermination()
     if strike:
         strike()

@@ -1,18 +1,20 @@
-"""Each settled query of a stream runs against the index."""
+"""Each settled, changed query of a stream runs against the index."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from ..operators.events import GAP_SECONDS
-from ..operators.search import batch_prefix_join
+from ..operators.search import batch_prefix_join, match_counts
+from ..plans import shared_dir
+from .changed import changed_stream
 from .debounce import debounce_stream
 from .runs import EachBatch, drain, with_clock
 
 
 def find_settled(index: DataFrame) -> EachBatch:
-    """What to do with each batch of settled queries: search the index for all of them at once.
+    """What to do with each batch of queries: search the index for all of them at once.
 
     The batch's size is checked before it is broadcast, and its shards prune the index folders that
     are read.
@@ -26,13 +28,42 @@ def find_settled(index: DataFrame) -> EachBatch:
     return find
 
 
-def search_stream(events: DataFrame, index: DataFrame, gap: float = GAP_SECONDS, delay: float = 0, seq: str = "seq") -> DataFrame:
-    """(user_id, q, ts, entry columns) of every settled, non-empty query, over all data present.
+def count_settled(index: DataFrame) -> EachBatch:
+    """What to do with each batch of queries: count their matches, and say so where there are none."""
 
-    For a stream that goes on, pass find_settled(index) to runs.start with debounce_stream.
-    """
+    def count(batch: DataFrame, _: int) -> DataFrame:
+        asked = batch.select(F.struct("user_id", "value", "ts").alias("qid"), F.col("value").alias("q"))
+        return match_counts(asked, index).select(
+            "qid.user_id", F.col("qid.value").alias("q"), "qid.ts", "n_matches", "n_targets", "no_match"
+        )
+
+    return count
+
+
+def _searches(events: DataFrame, each: EachBatch, more: list[StructField], gap: float, delay: float, seq: str) -> DataFrame:
+    """Two streams in a row: bursts settle into files in the order of their end, and the changed ones among them run."""
+    spark, target = events.sparkSession, shared_dir(events.sparkSession, "settled")
     events, strike = with_clock(events)
-    settled = debounce_stream(events, gap, delay, seq)
+    settled = debounce_stream(events, gap, delay, seq).select("user_id", "value", "ts", "had_reset", F.lit(0).cast("long").alias("seq"))
+    drain(settled, strike=strike, target=target)
+    bursts = spark.readStream.schema(settled.schema).option("maxFilesPerTrigger", 1000).parquet(f"{target}/out/batch_id=*")
+    bursts, strike = with_clock(bursts.where("user_id IS NOT NULL"))
     user, ts = settled.schema["user_id"], settled.schema["ts"]
-    schema = StructType([user, StructField("q", StringType()), ts, *index.schema.fields])
-    return drain(settled, "append", find_settled(index), schema, strike)
+    schema = StructType([user, StructField("q", StringType()), ts, *more])
+    return drain(changed_stream(bursts, reset="had_reset"), "append", each, schema, strike)
+
+
+def search_stream(events: DataFrame, index: DataFrame, gap: float = GAP_SECONDS, delay: float = 0, seq: str = "seq") -> DataFrame:
+    """(user_id, q, ts, entry columns) of every settled, non-empty query that differs from the user's last one,
+    over all data present. An empty value, also inside a burst, clears that memory.
+
+    For a stream that goes on, run debounce_stream into files, and changed_stream over those with
+    runs.start and find_settled(index).
+    """
+    return _searches(events, find_settled(index), list(index.schema.fields), gap, delay, seq)
+
+
+def search_stream_counts(events: DataFrame, index: DataFrame, gap: float = GAP_SECONDS, delay: float = 0, seq: str = "seq") -> DataFrame:
+    """(user_id, q, ts, n_matches, n_targets, no_match) of the same queries, those without a match included."""
+    more = [StructField("n_matches", LongType()), StructField("n_targets", LongType()), StructField("no_match", BooleanType())]
+    return _searches(events, count_settled(index), more, gap, delay, seq)

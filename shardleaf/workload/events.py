@@ -39,17 +39,27 @@ def q_debounce_stream(spark, sf):
     return rows.select("user_id", "value", as_local(F.col("ts")).alias("ts"), "had_reset")
 
 
-def q_search_stream(spark, sf):
-    """Users type names of parts, all of them in turn; the index holds the part names."""
+def typed_and_index(spark, sf):
+    """Users type names of parts, all of them in turn, every other one misspelt; the index holds the part names."""
     part = table(spark, sf, "part")
     named = F.col("event_id") % part.count() == F.col("p_partkey")
-    typed = live(spark, sf).join(part, named).select("user_id", F.col("p_name").alias("value"), "ts", F.col("event_id").alias("seq"))
+    text = F.when(F.col("event_id") % 2 == 0, F.col("p_name")).otherwise(F.concat("p_name", F.lit(" x")))
+    typed = live(spark, sf).join(part, named).select("user_id", text.alias("value"), "ts", F.col("event_id").alias("seq"))
     names = part.select("p_name").distinct()
     index = symbol_entries(names, "p_name", "p_name", F.lit(""), "names")
-    rows = st.search_stream(typed, index, GAP)
+    return typed, index
+
+
+def q_search_stream(spark, sf):
+    rows = st.search_stream(*typed_and_index(spark, sf), GAP)
     return rows.select("user_id", "q", as_local(F.col("ts")).alias("ts"), "section", "match_name", "label")
 
 
+def q_search_counts(spark, sf):
+    rows = st.search_stream_counts(*typed_and_index(spark, sf), GAP)
+    return rows.select("user_id", "q", as_local(F.col("ts")).alias("ts"), "n_matches", "n_targets", "no_match")
+
+
 def q_changed_stream(spark, sf):
     events, strike = st.with_clock(field_changes(live(spark, sf)))
     rows = st.drain(st.changed_stream(events), strike=strike)
@@ -100,6 +110,7 @@ QUERIES = {
     "facet_batch": lambda s, sf: op.facet_batch(facet_events(table(s, sf, "events")), ["user_id"], ORDER),
     "debounce_stream": q_debounce_stream,
     "search_stream": q_search_stream,
+    "search_stream_counts": q_search_counts,
     "changed_stream": q_changed_stream,
     "settings_stream": q_settings_stream,
     "toggle_stream": q_toggle_stream,
@@ -122,18 +133,24 @@ f AS (SELECT user_id, CASE event_type WHEN 'purchase' THEN NULL WHEN 'signup' TH
 facets AS (SELECT * FROM (SELECT user_id, last_value(q IGNORE NULLS) {_W} AS q,
   CAST(coalesce(last_value(s IGNORE NULLS) {_W}, 0) AS INTEGER) AS section_id, ts, seq FROM f) WHERE q <> '')"""
 
+_SEARCHES = f"""{EVENTS_K},
+typed AS (SELECT user_id, CASE WHEN event_id % 2 = 0 THEN p_name ELSE p_name || ' x' END AS q, ts, event_id AS seq
+  FROM ev JOIN part ON event_id % (SELECT count(*) FROM part) = p_partkey),
+closed AS (SELECT * FROM (SELECT *, lead(ts) {_W} AS nxt FROM typed) WHERE nxt IS NULL OR nxt >= ts + {_GAP}),
+searched AS (SELECT * FROM (SELECT *, lag(replace(q, ' ', '')) {_W} AS before FROM closed) WHERE replace(q, ' ', '') IS DISTINCT FROM before),
+names AS (SELECT DISTINCT p_name AS label, {sql_shard('p_name')} AS shard, {sql_match_name('lower(p_name)')} AS match_name FROM part)"""
+
 SQL = {
     "changed_only": f"WITH {_CHANGED} SELECT user_id, value, ts, seq FROM changed",
     "debounce_batch": f"WITH {_BURSTS} SELECT user_id, value, ts, seq FROM marked WHERE nxt IS NULL OR nxt >= ts + {_GAP}",
     "settled_bursts": f"WITH {_BURSTS} SELECT * FROM bursts",
     "facet_batch": f"WITH {_FACETS} SELECT * FROM facets",
     "debounce_stream": f"WITH {_BURSTS} SELECT * FROM bursts",
-    "search_stream": f"""WITH {EVENTS_K},{CHANGES},
-typed AS (SELECT user_id, p_name AS q, ts, event_id AS seq FROM ev JOIN part ON event_id % (SELECT count(*) FROM part) = p_partkey),
-closed AS (SELECT * FROM (SELECT *, lead(ts) {_W} AS nxt FROM typed) WHERE nxt IS NULL OR nxt >= ts + {_GAP}),
-names AS (SELECT DISTINCT p_name AS label, {sql_shard('p_name')} AS shard, {sql_match_name('lower(p_name)')} AS match_name FROM part)
-SELECT user_id, q, ts, 'names' AS section, match_name, label FROM closed
+    "search_stream": f"""WITH {_SEARCHES} SELECT user_id, q, ts, 'names' AS section, match_name, label FROM searched
 JOIN names ON shard = {sql_shard('q')} AND starts_with(match_name, {sql_match_name('lower(q)')})""",
+    "search_stream_counts": f"""WITH {_SEARCHES}
+SELECT user_id, q, ts, count(label) AS n_matches, count(label) AS n_targets, count(label) = 0 AS no_match FROM searched
+LEFT JOIN names ON shard = {sql_shard('q')} AND starts_with(match_name, {sql_match_name('lower(q)')}) GROUP BY user_id, q, ts, seq""",
     "changed_stream": f"WITH {_CHANGED} SELECT user_id, value, ts, seq FROM changed",
     "settings_stream": """WITH wm AS (SELECT make_timestamp(epoch_us(max(ts)) // 1000 * 1000) AS t FROM events),
 ev AS (SELECT *, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k FROM events),

@@ -1,5 +1,7 @@
 """Plans that have to hold at scale: what is broadcast, what is split, what survives."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +91,17 @@ def test_intermediate_tables_go_to_the_shared_folder(spark):
     assert rows(table) == rows(spark.range(10))
 
 
+def test_scratch_tables_go_with_their_scope(spark, tmp_path):
+    kept = cut_lineage(spark.range(3))
+    with plans.scratch(spark):
+        gone = cut_lineage(spark.range(5))
+        files = [f.split(":", 1)[1] for f in gone.inputFiles()]
+        gone.write.parquet(str(tmp_path / "out"))
+        assert all(os.path.exists("/" + f.lstrip("/")) for f in files)
+    assert not any(os.path.exists("/" + f.lstrip("/")) for f in files)
+    assert kept.count() == 3 and spark.read.parquet(str(tmp_path / "out")).count() == 5
+
+
 def test_pages_are_read_by_column(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     plan = extract_links(pages).select("href")._jdf.queryExecution().executedPlan().toString()

@@ -74,11 +74,20 @@ def test_settled_queries_search_the_index(spark):
     index = symbol_entries(names, "label", "label", F.lit(""), "names")
     found = st.search_stream(files(spark, DDL, *BATCHES), index)
     assert rows(found, "user_id", "q", "label") == [
-        ("a", "go", "Go"), ("a", "go", "Go"), ("a", "go", "Go"), ("a", "go", "gone"), ("a", "go", "gone"), ("a", "go", "gone"),
+        ("a", "go", "Go"), ("a", "go", "Go"), ("a", "go", "gone"), ("a", "go", "gone"),
         ("a", "gone", "gone"), ("b", "x", "xy"), ("b", "xy", "xy"), ("c", "go", "Go"), ("c", "go", "gone"),
     ]
 
 
+def test_unchanged_queries_do_not_run_again_and_misses_are_told(spark):
+    """`go` settles three times; the second time nothing has changed, before the third the field was emptied."""
+    index = symbol_entries(spark.createDataFrame([("Go",), ("gone",)], "label string"), "label", "label", F.lit(""), "names")
+    told = st.search_stream_counts(files(spark, DDL, *BATCHES), index)
+    assert rows(told, "user_id", "q", "n_matches", "no_match") == [
+        ("a", "go", 2, False), ("a", "go", 2, False), ("a", "gone", 1, False), ("b", "x", 0, True), ("b", "xy", 0, True), ("c", "go", 2, False),
+    ]
+
+
 def test_facets_remember_over_batches(spark):
     def both(*events):
         return [(u, q, s, T0 + timedelta(seconds=t), n) for n, (u, q, s, t) in events]

@@ -1,0 +1,83 @@
+"""Every stage of the pipeline on what the one before kept, against plain forms of its rule."""
+
+import math
+import os
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(__file__))
+
+import corpus_pipeline as cp
+from shardleaf.llm.mixing import mix, taken_words
+from shardleaf.llm.queries import severity_grade, table
+from shardleaf.llm.toxicity import fit_toxicity, score_toxicity
+from shardleaf.plans import cut_lineage
+from test_simhash import plain_fingerprint, plain_groups
+from test_substrings import plain
+
+DDL = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def steps(spark, sf):
+    docs, out = table(spark, sf, "documents"), []
+    for name, stage in cp.STAGES:
+        after = cut_lineage(stage(spark, docs, sf))
+        out.append((name, docs, after))
+        docs = after
+    return out
+
+
+def test_order_and_columns(steps, spark, sf):
+    assert [n for n, _, _ in steps] == ["toxicity", "simhash_near_dedup", "substring_dedup", "mixing", "packing"]
+    for _, before, after in steps[:-1]:
+        assert after.columns == before.columns == table(spark, sf, "documents").columns and 0 < after.count()
+
+
+def test_toxicity(steps, spark, sf):
+    _, before, after = steps[0]
+    model = fit_toxicity(before, table(spark, sf, "labels"), severity_grade())
+    rejected = {r.doc_id for r in score_toxicity(before, model).where("rejected").collect()}
+    assert {r.doc_id for r in before.collect()} - {r.doc_id for r in after.collect()} == rejected and rejected
+
+
+def test_near_duplicates(steps):
+    _, before, after = steps[1]
+    rows = sorted((r.doc_id, r.text) for r in before.collect())
+    roots = plain_groups([plain_fingerprint(t) for _, t in rows])
+    assert sorted(tuple(r)[:2] for r in after.collect()) == [row for i, row in enumerate(rows) if roots[i] == i]
+
+
+def test_substrings(steps):
+    _, before, after = steps[2]
+    want = plain([(r.doc_id, r.text) for r in before.collect()])
+    left = {r.doc_id: r for r in after.collect()}
+    assert len(left) == len(want) and sum(n for _, _, n, _ in want) > 0
+    for i, words, removed, _ in want:
+        assert len(left[i].text.split()) == words - removed and left[i].n_chars == len(left[i].text)
+
+
+def test_mixing(steps):
+    _, before, after = steps[3]
+    want = {r["id"]: math.ceil(r["taken"] / r["size"]) for r in taken_words(mix(before)).collect() if r["taken"]}
+    got = {r.doc_id: r["count"] for r in after.groupBy("doc_id").count().collect()}
+    assert got == want and max(got.values()) == 2
+
+
+def test_packing(steps):
+    _, before, after = steps[4]
+    assert after.count() == before.count()
+    full = after.groupBy("bucket", "batch").agg((F.count("*") * F.max("bucket_length")).alias("n"), F.count("*").alias("rows"))
+    assert full.where("n > 16384 AND rows > 1").count() == 0
+
+
+def test_nulls_repeats_and_empty_tables(spark, sf):
+    rows = [(None, None, None, None, None), (None, None, None, None, None), (-5, "", "en", None, 0), (-6, "two words", None, "s", 9), (-6, "two words", None, "s", 9), (-7, "z " * 40_000, "de", "s", 80_000)]
+    odd = spark.createDataFrame(rows, DDL).unionByName(table(spark, sf, "documents"))
+    for docs in (odd, odd.limit(0)):
+        for _, stage in cp.STAGES:
+            docs = cut_lineage(stage(spark, docs, sf))
+        ids = [r.doc_id for r in docs.collect()]
+        assert -6 in ids and None not in ids and -5 not in ids if ids else True

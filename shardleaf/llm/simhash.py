@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
 from ..plans import cut_lineage
+from . import near
 from .components import components
 
 WORDS = 3
@@ -130,15 +131,37 @@ def _named(rows: DataFrame) -> DataFrame:
     return cut_lineage(placed.join(names, "root").select("fp", "name"))
 
 
-def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, similarity: float | None = None) -> DataFrame:
     """The rows of docs without near-duplicates: of each group the row with the smallest id (null last, then
-    the smallest hash of the text); of exact copies of that row one. All columns stay as they are."""
-    rows = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key")).alias("id"), simhash(text_col).alias("fp"))
-    rows = cut_lineage(rows)
-    first = _named(rows).select("name").distinct()
+    the smallest hash of the text); of exact copies of that row one. All columns stay as they are.
+
+    Links are 2 or fewer differing bits of the fingerprints; with a similarity they are pairs of texts whose sets of
+    `width`-word shingles have at least this Jaccard similarity, compared exactly (see `near`).
+    """
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key")).alias("id")
+    if similarity is None:
+        if width != WORDS:
+            raise ValueError(f"fingerprints are of {WORDS} words; another width needs a similarity")
+        rows = cut_lineage(docs.select(key, simhash(text_col).alias("fp")))
+        first = _named(rows)
+    else:
+        rows = cut_lineage(docs.select(key, near._signed(width)(F.col(text_col).cast("binary")).alias("_s")).select("id", "_s.*"))
+        first = _alike(rows, docs, id_col, text_col, width, similarity)
+    first = first.select("name").distinct()
     first = cut_lineage(first.select(F.col("name.id").alias("_first_id"), F.col("name.key").alias("_first_key")))
     kept = docs.join(first, docs[id_col].eqNullSafe(F.col("_first_id")) & (F.xxhash64(docs[text_col]) == F.col("_first_key")), "left_semi")
     copies = rows.groupBy("id").count().where("count > 1")
     if copies.isEmpty():
         return kept
     return kept.withColumn("_key", F.xxhash64(text_col)).dropDuplicates([id_col, "_key"]).drop("_key")
+
+
+def _alike(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
+    """(id, class, n, cells) rows to (name): the smallest id of each group of texts that links connect."""
+    classes = cut_lineage(rows.groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("cells").alias("cells")))
+    one = classes.where("n > 0").select("class", F.col("id.id").alias("_one_id"), F.col("id.key").alias("_one_key"))
+    texts = docs.join(one, docs[id_col].eqNullSafe(F.col("_one_id")) & (F.xxhash64(docs[text_col]) == F.col("_one_key")))
+    edges = near.links(classes.select("class", "n", "cells"), texts.select("class", F.col(text_col).alias("text")), width, similarity)
+    roots = cut_lineage(components(edges))
+    placed = classes.select("class", "id").join(roots.withColumnRenamed("node", "class"), "class", "left")
+    return placed.groupBy(F.coalesce("root", "class").alias("root")).agg(F.min("id").alias("name"))

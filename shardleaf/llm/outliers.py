@@ -2,14 +2,14 @@
 
 Each text gets counts, two fixed base rules, and a vector of transformed statistics. Per language and
 source the centre and covariance of the vectors are those of the subset with the smallest determinant
-that concentration steps reach: keep the SHARE of texts that are nearest by Mahalanobis distance, estimate
-again, repeat. Two starts run together (medians with median deviations, and plain moments); the one that ends
-with the smaller determinant counts, and is estimated once more from all texts that it takes for regular. A text is rejected when its distance to the final estimate is beyond a
+that concentration steps reach: keep the (n + d + 1) / 2 of n texts that are nearest by Mahalanobis distance, so that nearly half may
+be bad, estimate again, repeat. The start are medians with median deviations; the end is
+estimated once more from all texts that it takes for regular. A text is rejected when its distance to the final estimate is beyond a
 chi-square quantile.
 
 All texts take part in every step. A step is one aggregate: moments per group and distance bin (bins a
 twelfth of a doubling wide), partially combined before the shuffle, then summed up to the bin in which
-the share is reached. Groups are never gathered, however large.
+the number is reached, which counts in proportion. Groups are never gathered, however large.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ from .stats import base_statistics
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MIN_GROUP = 50
-SHARE = 0.75
 STEPS = 6
 REGULAR = 0.975
 TAIL = 1e-6
@@ -93,27 +92,29 @@ _SUMS = ["n"] + [f"s{i}" for i in range(DIM)] + [f"p{i}_{j}" for i in range(DIM)
 _ESTIMATE = StructType([StructField("centre", ArrayType(DoubleType())), StructField("inverse", ArrayType(DoubleType())), StructField("logdet", DoubleType())])
 
 
-def _solver(inflate: float) -> Callable:
-    """Centre, inverse covariance and log determinant from summed moments; the floors keep every matrix regular."""
+def _solver(inflate: float | None) -> Callable:
+    """Centre, inverse covariance and log determinant from summed moments and the number of all texts; the floors keep
+    every matrix regular. Without inflate the covariance is scaled by the share of all texts that the moments are of."""
     @F.arrow_udf(_ESTIMATE)
     def task(sums: pa.Array) -> pa.Array:
         out = []
         for row in sums.to_pylist():
-            n, rest = row[0], np.array(row[1:])
+            n, rest, share = row[0], np.array(row[1:-1]), row[0] / row[-1]
+            scale = inflate or (share / _kept_variance(share, DIM) if share < 1 else 1.0)
             centre, cov = rest[:DIM] / n, np.zeros((DIM, DIM))
             cov[np.triu_indices(DIM)] = rest[DIM:] / n
             cov = cov + np.triu(cov, 1).T - np.outer(centre, centre)
             cov = (cov + cov.T) / 2
             values, vectors = np.linalg.eigh(cov)
-            cov = (vectors * np.maximum(values, 0)) @ vectors.T * inflate + np.diag(np.array([*FLOORS.values()]) ** 2)
+            cov = (vectors * np.maximum(values, 0)) @ vectors.T * scale + np.diag(np.array([*FLOORS.values()]) ** 2)
             out.append({"centre": centre.tolist(), "inverse": np.linalg.inv(cov).ravel().tolist(), "logdet": float(np.linalg.slogdet(cov)[1])})
         return pa.array(out, pa.struct([("centre", pa.list_(pa.float64())), ("inverse", pa.list_(pa.float64())), ("logdet", pa.float64())]))
 
     return task
 
 
-def _estimates(sums: DataFrame, keys: list[str], inflate: float) -> DataFrame:
-    as_array = F.array(*[F.col(c).cast("double") for c in _SUMS])
+def _estimates(sums: DataFrame, keys: list[str], inflate: float | None, all_: str = "n") -> DataFrame:
+    as_array = F.array(*[F.col(c).cast("double") for c in [*_SUMS, all_]])
     return sums.select(*keys, _solver(inflate)(as_array).alias("_e")).select(*keys, "_e.*")
 
 
@@ -134,9 +135,9 @@ def _with_cells(rows: DataFrame) -> DataFrame:
     return rows.join(broadcast_if_small(named), on, "left").drop("_l", "_s")
 
 
-def fit_mcd(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFrame:
+def fit_mcd(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     """(cell, centre, inverse) for rows with a cell and the statistics: scaled so that distances in a normal cloud follow chi-square."""
-    # Starts: medians with median deviations, and plain moments.
+    # Start: medians with median deviations. Plain moments are none: from there the steps can end at copies of one text.
     middle = cut_lineage(rows.groupBy("cell").agg(*[F.percentile_approx(c, 0.5, 1000).alias(f"m_{c}") for c in NAMES]))
     off = rows.join(broadcast_if_small(middle), "cell")
     spread = off.groupBy("cell").agg(
@@ -145,21 +146,20 @@ def fit_mcd(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFr
     )
     variances = [F.pow(1.4826 * F.col(f"d_{c}"), 2) + FLOORS[c] ** 2 for c in NAMES]
     inverse = F.array(*[(1 / variances[i]) if i == j else F.lit(0.0) for i in range(DIM) for j in range(DIM)])
-    robust = spread.select("cell", F.lit(0).alias("start"), F.array(*[f"m_{c}" for c in NAMES]).alias("centre"), inverse.alias("inverse"), F.lit(0.0).alias("logdet"))
-    plain = _estimates(rows.groupBy("cell").agg(*_moments()), ["cell"], 1.0).select("cell", F.lit(1).alias("start"), "centre", "inverse", "logdet")
-    found = cut_lineage(robust.unionByName(plain))
-    inflate = share / _kept_variance(share, DIM)
+    robust = spread.select("cell", F.array(*[f"m_{c}" for c in NAMES]).alias("centre"), inverse.alias("inverse"), F.lit(0.0).alias("logdet"))
+    found = cut_lineage(robust)
     for _ in range(steps):
         near = rows.join(broadcast_if_small(found.drop("logdet")), "cell").withColumn("_d", _distance())
         near = near.withColumn("_bin", F.when(F.col("_d") < 1e-6, -240).otherwise(F.floor(12 * F.log2("_d"))).cast("int"))
-        bins = cut_lineage(near.groupBy("cell", "start", "_bin").agg(*_moments()))
-        upto = Window.partitionBy("cell", "start").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-        all_ = Window.partitionBy("cell", "start")
+        bins = cut_lineage(near.groupBy("cell", "_bin").agg(*_moments()))
+        upto = Window.partitionBy("cell").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+        all_ = Window.partitionBy("cell")
         inner = bins.withColumns({"_before": F.coalesce(F.sum("n").over(upto), F.lit(0)), "_all": F.sum("n").over(all_)})
-        inner = inner.where(F.col("_before") < share * F.col("_all"))
-        sums = inner.groupBy("cell", "start").agg(*[F.sum(c).alias(c) for c in _SUMS])
-        found = cut_lineage(_estimates(sums, ["cell", "start"], inflate))
-    best = cut_lineage(found.groupBy("cell").agg(F.min_by(F.struct("centre", "inverse"), F.struct("logdet", "start")).alias("_b")).select("cell", "_b.*"))
+        need = F.least(F.floor((F.col("_all") + DIM + 1) / 2), "_all")
+        inner = inner.withColumn("_part", F.least(F.lit(1.0), (need - F.col("_before")) / F.col("n"))).where("_part > 0")
+        sums = inner.groupBy("cell").agg(*[F.sum(F.col("_part") * F.col(c)).alias(c) for c in _SUMS], F.first("_all").alias("_all"))
+        found = cut_lineage(_estimates(sums, ["cell"], None, "_all"))
+    best = cut_lineage(found.select("cell", "centre", "inverse"))
     # One reweighting step: the moments of all texts that the raw estimate takes for regular.
     regular = rows.join(broadcast_if_small(best), "cell").where(_distance() <= chi2_quantile(REGULAR, DIM))
     final = _estimates(regular.groupBy("cell").agg(*_moments()), ["cell"], REGULAR / _kept_variance(REGULAR, DIM))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..plans import shared_dir
 
+from .alignment import align_tokens
 from .backoff import backoff_scores
 from .lattice import embedding_groups
 from .mixing import mix, taken_words
@@ -93,6 +94,15 @@ def op10_lattice(spark: SparkSession, sf: str) -> DataFrame:
     return embedding_groups(table(spark, sf, "embeddings"))
 
 
+#: Where the vocabulary files lie on the driver.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of a byte-level and of a piece vocabulary over all documents, aligned byte by byte."""
+    return align_tokens(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -104,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_substrings": op9_substrings,
     "op10_lattice": op10_lattice,
+    "op11_alignment": op11_alignment,
 }
 
 SQL: dict[str, str] = {

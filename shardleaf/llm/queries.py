@@ -11,6 +11,7 @@ from ..plans import shared_dir
 from .alignment import align_tokens
 from .backoff import backoff_scores
 from .lattice import embedding_groups
+from .merkle import manifest
 from .mixing import mix, taken_words
 from .outliers import quality_rules
 from .packing import pack
@@ -103,6 +104,16 @@ def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
     return align_tokens(table(spark, sf, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    """The Merkle manifest of all documents; every fifth or so is claimed with a text in lower case."""
+    lowered = {"text": F.translate("text", UPPER, UPPER.lower())}
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return manifest(table(spark, sf, "documents"), claimed=lowered, where=tampered)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -115,9 +126,51 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substrings": op9_substrings,
     "op10_lattice": op10_lattice,
     "op11_alignment": op11_alignment,
+    "op12_merkle": op12_merkle,
 }
 
+def merkle_sql(depth: int = 6) -> str:
+    """The manifest level by level, for 16^depth documents a source and 16^depth sources at most."""
+    def value(column: str) -> str:
+        return f"coalesce(octet_length(encode(CAST({column} AS VARCHAR))) || ':' || CAST({column} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lowered = f"translate(text, '{UPPER}', '{UPPER.lower()}')"
+    parts = [
+        """crc_table AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i))""",
+        """sums AS (SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc FROM documents, crc_table)""",
+        f"""leaves AS (SELECT doc_id, coalesce('=' || source, '-') AS tree, {leaf('text')} AS leaf,
+    CASE WHEN crc % 5 = 0 THEN {leaf(lowered)} ELSE {leaf('text')} END AS claimed FROM sums)""",
+        """p0 AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, '' AS proof, claimed AS folded
+  FROM leaves)""",
+        "a0 AS (SELECT tree, pos, leaf AS d FROM p0)",
+    ]
+
+    def climb(a: str, p: str) -> None:
+        for k in range(depth):
+            parts.append(f"""{a}r{k} AS (SELECT tree, pos // 16 AS run, list(d ORDER BY pos) AS ds, any_value(n) AS n
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {a}{k}) GROUP BY ALL)""")
+            parts.append(f"{a}{k + 1} AS (SELECT tree, run AS pos, CASE WHEN n = 1 THEN ds[1] ELSE sha256(array_to_string(ds, '')) END AS d FROM {a}r{k})")
+            parts.append(f"""{p}{k + 1} AS (SELECT * EXCLUDE (n, l, r)
+    REPLACE (pos // 16 AS pos, proof || l || r AS proof, CASE WHEN n = 1 THEN folded ELSE sha256(l || folded || r) END AS folded)
+  FROM (SELECT p.*, n, coalesce(array_to_string(ds[1:pos % 16], ''), '') AS l, coalesce(array_to_string(ds[pos % 16 + 2:], ''), '') AS r
+    FROM {p}{k} p JOIN {a}r{k} x ON p.tree = x.tree AND pos // 16 = run))""")
+
+    climb("a", "p")
+    parts.append(f"subroots AS (SELECT tree AS name, d AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos FROM a{depth})")
+    parts.append("b0 AS (SELECT 'top' AS tree, pos, subroot AS d FROM subroots)")
+    parts.append(f"q0 AS (SELECT doc_id, leaf, 'top' AS tree, s.pos, proof, folded, subroot FROM p{depth} JOIN subroots s ON tree = name)")
+    climb("b", "q")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = d AS verified FROM q{depth}, b{depth}"""
+
+
 SQL: dict[str, str] = {
+    "op12_merkle": merkle_sql(),
     "op5_warc": """
 WITH sized AS (SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
 firsts AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY html) END AS first_id FROM sized)

@@ -16,6 +16,7 @@ from hashlib import sha256
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from ..plans import cut_lineage, numbered
 
@@ -40,11 +41,11 @@ def parent(nodes: list[bytes]) -> bytes:
     return sha256("".join([n.hex() for n in nodes]).encode()).digest()
 
 
-def levels_of(nodes: list[bytes], first: bool) -> list[list[bytes]]:
+def levels_of(nodes: list[bytes], first: bool, depth: int) -> list[list[bytes]]:
     """All levels of a superblock from its nodes up to one node. The first of a tree ends as soon as one node
-    remains: it is full, or the only one. Any other has all its levels, as the full ones before it have."""
+    remains: it is full, or the only one. Any other has all `depth` levels, as the full ones before it have."""
     levels = [nodes]
-    while len(levels) <= LEVELS and (not first or len(levels[-1]) > 1):
+    while len(levels) <= depth and (not first or len(levels[-1]) > 1):
         levels.append([parent(levels[-1][i : i + FANOUT]) for i in range(0, len(levels[-1]), FANOUT)])
     return levels
 
@@ -72,64 +73,66 @@ def proof(path: list[tuple[int, list[bytes]]]) -> bytes:
 
 _PATH = "array<struct<place:int,others:array<binary>>>"
 _NODE = "tree string, pos long, node binary"
-
-
-def _reduce(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("pos")
-    block = int(pdf["block"].iloc[0])
-    node = levels_of(list(pdf["node"]), block == 0)[-1][0]
-    return pd.DataFrame({"tree": [pdf["tree"].iloc[0]], "pos": [block], "node": [node]})
-
-
-def _blocked(nodes: DataFrame) -> DataFrame:
-    return nodes.withColumn("block", F.floor(F.col("pos") / FANOUT**LEVELS))
-
-
-def climb(nodes: DataFrame) -> list[DataFrame]:
-    """Tables (tree, pos, node), from the given one up to that with one node per tree; each is 4096 times smaller."""
-    tables = [nodes]
-    while tables[-1].where("pos > 0").limit(1).count():
-        tables.append(cut_lineage(_blocked(tables[-1]).groupBy("tree", "block").applyInPandas(_reduce, _NODE)))
-    return tables
-
-
-def _outer_path(outer: pd.DataFrame) -> list[tuple[int, list[bytes]]]:
-    return [(step["place"], list(step["others"])) for step in outer["path"].iloc[0]]
-
-
-def _descend(key: tuple, nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
-    """Nodes with their whole path: the levels of their superblock, then the outer nodes."""
-    nodes = nodes.sort_values("pos")
-    levels, rest = levels_of(list(nodes["node"]), key[1] == 0), _outer_path(outer)
-    paths = [[{"place": p, "others": o} for p, o in siblings_inside(levels, i) + rest] for i in range(len(nodes))]
-    return pd.DataFrame({
-        "tree": nodes["tree"], "pos": nodes["pos"], "path": paths, "subroot": outer["subroot"].iloc[0], "root": outer["root"].iloc[0],
-    })
-
-
 _OUTER = f"tree string, pos long, path {_PATH}, subroot binary, root binary"
+_VERIFIED = "id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
 
 
-def descend(nodes: DataFrame, outer: DataFrame) -> DataFrame:
-    """(tree, pos, path, subroot, root) of each node, from the paths (tree, pos, ..) of the superblocks."""
-    above = outer.withColumnRenamed("pos", "block")
-    return _blocked(nodes).groupBy("tree", "block").cogroup(above.groupBy("tree", "block")).applyInPandas(_descend, _OUTER)
-
-
-def _verify(key: tuple, leaves: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
-    """Leaves with the digest of their path and the root that it gives with the row as claimed."""
-    leaves = leaves.sort_values("pos")
-    levels, rest = levels_of(list(leaves["node"]), key[1] == 0), _outer_path(outer)
-    subroot, root = outer["subroot"].iloc[0], outer["root"].iloc[0]
-    rows = []
-    for i, (leaf, claimed) in enumerate(zip(leaves["node"], leaves["claimed"])):
-        path = siblings_inside(levels, i) + rest
-        rows.append([b.hex() for b in (leaf, subroot, root, proof(path), fold(leaf if claimed is None else claimed, path))])
-    done = pd.DataFrame(rows, columns=["leaf", "subroot", "root", "proof_sha256", "folded_root"])
-    return done.assign(id=leaves["id"].to_numpy(), verified=done["folded_root"] == done["root"])
+class Superblocks:
+    """What tasks do with the nodes of one superblock of `depth` levels, and the tables over all superblocks.
 
+    Spark counts the arguments of a function to see whether it wants the key, hence plain functions around the methods.
+    """
 
-_VERIFIED = "id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
+    def __init__(self, depth: int) -> None:
+        self.depth = depth
+
+    def keyed(self, nodes: DataFrame) -> DataFrame:
+        return nodes.withColumn("block", F.floor(F.col("pos") / FANOUT**self.depth))
+
+    def climb(self, nodes: DataFrame) -> list[DataFrame]:
+        """Tables (tree, pos, node), from the given one up to that with one node per tree, each with a row per superblock of the one before."""
+        tables = [nodes]
+        while tables[-1].where("pos > 0").limit(1).count():
+            tables.append(cut_lineage(self.keyed(tables[-1]).groupBy("tree", "block").applyInPandas(lambda rows: self._reduce(rows), _NODE)))
+        return tables
+
+    def descend(self, nodes: DataFrame, outer: DataFrame) -> DataFrame:
+        """(tree, pos, path, subroot, root) of each node, from those of the superblocks."""
+        return self._exchange(nodes, outer).applyInPandas(lambda key, rows, above: self._paths(key, rows, above), _OUTER)
+
+    def verify(self, leaves: DataFrame, outer: DataFrame) -> DataFrame:
+        return self._exchange(leaves, outer).applyInPandas(lambda key, rows, above: self._verify(key, rows, above), _VERIFIED)
+
+    def _exchange(self, nodes: DataFrame, outer: DataFrame) -> PandasCogroupedOps:
+        return self.keyed(nodes).groupBy("tree", "block").cogroup(outer.withColumnRenamed("pos", "block").groupBy("tree", "block"))
+
+    def _reduce(self, nodes: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values("pos")
+        block = int(nodes["block"].iloc[0])
+        top = levels_of(list(nodes["node"]), block == 0, self.depth)[-1][0]
+        return pd.DataFrame({"tree": [nodes["tree"].iloc[0]], "pos": [block], "node": [top]})
+
+    def _whole_paths(self, block: int, nodes: pd.DataFrame, outer: pd.DataFrame) -> Iterator[list[tuple[int, list[bytes]]]]:
+        """Per node: the siblings inside the superblock, then the outer nodes."""
+        levels = levels_of(list(nodes["node"]), block == 0, self.depth)
+        rest = [(step["place"], list(step["others"])) for step in outer["path"].iloc[0]]
+        return (siblings_inside(levels, i) + rest for i in range(len(nodes)))
+
+    def _paths(self, key: tuple, nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values("pos")
+        paths = [[{"place": p, "others": o} for p, o in path] for path in self._whole_paths(key[1], nodes, outer)]
+        return pd.DataFrame({
+            "tree": nodes["tree"], "pos": nodes["pos"], "path": paths, "subroot": outer["subroot"].iloc[0], "root": outer["root"].iloc[0],
+        })
+
+    def _verify(self, key: tuple, leaves: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+        """Leaves with the digest of their path and the root that it gives with the row as claimed."""
+        leaves = leaves.sort_values("pos")
+        subroot, root, rows = outer["subroot"].iloc[0], outer["root"].iloc[0], []
+        for path, leaf, claimed in zip(self._whole_paths(key[1], leaves, outer), leaves["node"], leaves["claimed"]):
+            rows.append([b.hex() for b in (leaf, subroot, root, proof(path), fold(leaf if claimed is None else claimed, path))])
+        done = pd.DataFrame(rows, columns=["leaf", "subroot", "root", "proof_sha256", "folded_root"])
+        return done.assign(id=leaves["id"].to_numpy(), verified=done["folded_root"] == done["root"])
 
 
 def tree_name(source: Column) -> Column:
@@ -139,7 +142,7 @@ def tree_name(source: Column) -> Column:
 
 def manifest(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", cols: tuple[str, ...] = ("doc_id", "source", "lang", "n_chars", "text"),
-    claimed: dict[str, Column] | None = None, where: Column | None = None,
+    claimed: dict[str, Column] | None = None, where: Column | None = None, levels: int = LEVELS,
 ) -> DataFrame:
     """(id_col, leaf, subroot, root, proof_sha256, folded_root, verified) of every row: its place in the Merkle manifest.
 
@@ -150,7 +153,7 @@ def manifest(
 
     Nulls in any column are values of their own. Rows with null ids come first; rows with one id are ordered
     by their leaf, and equal rows are equal leaves side by side. A lone row is its own subroot. Columns not in
-    cols are not read, so their names do not matter; an empty table gives an empty one.
+    cols are not read, so their names do not matter; an empty table gives an empty one. `levels` of the tree are a superblock.
     """
     changed = [claimed.get(c, F.col(c)) if claimed else F.col(c) for c in cols]
     leaf, other = digest_of(*[F.col(c) for c in cols]), F.lit(None).cast("binary")
@@ -158,19 +161,18 @@ def manifest(
         other = F.when(where if where is not None else F.lit(True), digest_of(*changed))
     rows = docs.select(F.col(id_col).alias("id"), tree_name(F.col(source_col)).alias("tree"), leaf.alias("node"), other.alias("claimed"))
     leaves = cut_lineage(numbered(cut_lineage(rows), ["tree"], ["id", "node"], "pos"))
-    tables = climb(leaves.select("tree", "pos", "node"))
+    blocks = Superblocks(levels)
+    tables = blocks.climb(leaves.select("tree", "pos", "node"))
     subroots = tables[-1].select(F.col("tree").alias("name"), F.lit(TOP).alias("tree"), F.col("node"))
     subroots = cut_lineage(numbered(subroots, ["tree"], ["name"], "pos"))
-    tops = climb(subroots.select("tree", "pos", "node"))
+    tops = blocks.climb(subroots.select("tree", "pos", "node"))
     empty = F.array().cast(_PATH)
     outer = tops[-1].select("tree", "pos", empty.alias("path"), F.col("node").alias("subroot"), F.col("node").alias("root"))
     for nodes in reversed(tops[:-1]):
-        outer = cut_lineage(descend(nodes, outer))
+        outer = cut_lineage(blocks.descend(nodes, outer))
     outer = outer.select("pos", "path", "root").join(subroots.select("pos", "name", F.col("node").alias("subroot")), "pos")
     outer = cut_lineage(outer.select(F.col("name").alias("tree"), F.lit(0).cast("long").alias("pos"), "path", "subroot", "root"))
     for nodes in reversed(tables[1:-1]):
-        outer = cut_lineage(descend(nodes, outer))
-    kept = _blocked(leaves).withColumn("id", F.col("id").cast("string"))  # pandas would turn numbers beside nulls into floats
-    above = outer.withColumnRenamed("pos", "block")
-    done = kept.groupBy("tree", "block").cogroup(above.groupBy("tree", "block")).applyInPandas(_verify, _VERIFIED)
+        outer = cut_lineage(blocks.descend(nodes, outer))
+    done = blocks.verify(leaves.withColumn("id", F.col("id").cast("string")), outer)  # pandas would turn numbers beside nulls into floats
     return done.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), *done.columns[1:])

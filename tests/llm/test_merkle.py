@@ -66,9 +66,9 @@ def ours(df):
 SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
 
 
-def query(docs):
+def query(docs, levels=merkle.LEVELS):
     lowered = {"text": F.translate("text", UPPER, UPPER.lower())}
-    return manifest(docs, claimed=lowered, where=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
+    return manifest(docs, claimed=lowered, where=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, levels=levels)
 
 
 def test_query_equals_brute_force_and_sql(spark, sf):
@@ -82,13 +82,12 @@ def test_query_equals_brute_force_and_sql(spark, sf):
 
 @pytest.mark.parametrize("levels", [1, 2, 3])
 @pytest.mark.parametrize("sizes", [(1,), (16,), (17,), (1, 1), (256, 257, 1, 15), (300, 4097, 2)])
-def test_sizes(spark, monkeypatch, sizes, levels):
+def test_sizes(spark, sizes, levels):
     """Trees of just one run, one more, one superblock, one more, over superblocks of 16, 256 and 4096 leaves."""
-    monkeypatch.setattr(merkle, "LEVELS", levels)
     if sum(sizes) > 4000 and levels == 1:
         sizes = (300, 2)
     rows = [(1000 * s + i, f"s{s}", None, i, f"Text {i}") for s, n in enumerate(sizes) for i in range(n)]
-    assert ours(query(spark.createDataFrame(rows, SCHEMA))) == plain(rows)
+    assert ours(query(spark.createDataFrame(rows, SCHEMA), levels)) == plain(rows)
 
 
 def test_nulls_ties_clashes_many_sources(spark):

@@ -11,6 +11,7 @@ from ..plans import shared_dir
 from .alignment import align_tokens
 from .backoff import backoff_scores
 from .lattice import embedding_groups
+from .lines import drop_repeated_lines
 from .merkle import manifest
 from .mixing import mix, taken_words
 from .outliers import quality_rules
@@ -114,6 +115,11 @@ def op12_merkle(spark: SparkSession, sf: str) -> DataFrame:
     return manifest(table(spark, sf, "documents"), claimed=lowered, where=tampered)
 
 
+def op13_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents without the lines that documents with smaller ids hold."""
+    return drop_repeated_lines(table(spark, sf, "documents")).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -127,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lattice": op10_lattice,
     "op11_alignment": op11_alignment,
     "op12_merkle": op12_merkle,
+    "op13_lines": op13_lines,
 }
 
 def merkle_sql(depth: int = 6) -> str:
@@ -171,6 +178,14 @@ SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, folded A
 
 SQL: dict[str, str] = {
     "op12_merkle": merkle_sql(),
+    "op13_lines": f"""
+WITH lines AS (SELECT doc_id, row, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{UPPER.lower()}') AS key
+  FROM (SELECT doc_id, row, unnest(parts) AS line, unnest(range(len(parts))) AS i
+    FROM (SELECT doc_id, row_number() OVER () AS row, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))),
+firsts AS (SELECT key, min(doc_id) AS first FROM lines WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+marked AS (SELECT l.*, coalesce(l.doc_id > f.first, false) AS gone FROM lines l LEFT JOIN firsts f ON l.key = f.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM marked GROUP BY row""",
     "op5_warc": """
 WITH sized AS (SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
 firsts AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY html) END AS first_id FROM sized)

@@ -112,7 +112,7 @@ class PerfectHash:
 
     @staticmethod
     def place(h1: np.ndarray, h2: np.ndarray, level: int, size: int) -> np.ndarray:
-        return (words.mix(h1 ^ words.mix(h2 + np.uint64(level + 1) * _STEP)) % np.uint64(size)).astype(np.int64)
+        return (words.mix(h1 ^ words.mix(h2 + np.array([level + 1], np.uint64) * _STEP)) % np.uint64(size)).astype(np.int64)
 
     @classmethod
     def build(cls, h1: np.ndarray, h2: np.ndarray) -> PerfectHash:

@@ -2,14 +2,12 @@
 
 Both tokenizers encode the whole text. Where tokens of both end and both next tokens start with a space,
 the text is cut, so it becomes a sequence of windows, about one per word, and each window is a pair of id
-tuples. Its groups and links depend on these ids alone, so they are found once per pair of tuples:
+tuples. Its groups and links depend on these ids alone, so a task finds them once per pair of tuples of a block of
+texts, for all new windows at once, and keeps each text as counts of windows.
 
-- a task numbers the different windows of a block of texts, and keeps each text as counts of numbers;
-- the windows of all blocks are counted by their ids, links are counted over the counted windows, and
-  every window gets the sums over its links;
-- a block then receives one row per window that it holds, not one per token, and adds up its texts.
-
-No text is shuffled. A frequent window is one row per block, and counts are aggregated before the shuffle.
+A block then sends one row per pair of ids that it links, with how often; the counts of the corpus come
+back as one row per pair and block, and the block adds them up over its windows and texts. So no text is
+shuffled, no token is a row, and the most frequent pair is one row per block.
 """
 
 from __future__ import annotations
@@ -19,6 +17,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +32,6 @@ from . import words
 
 BLOCK_BYTES = 8 << 20  # text in a block
 PART_BYTES = 1 << 20  # text encoded at a time
-MEMO_WINDOWS = 1 << 18  # windows whose alignment a worker remembers
-MEMO_TOKENS = 64  # longer windows are not remembered
 #: Fixed value: how a byte-level vocabulary splits a text before its merges.
 BYTE_LEVEL_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -94,44 +91,25 @@ def _load(a_file: bytes, b_file: bytes) -> tuple[Tokenizer, Tokenizer]:
     return byte_level(a_file), piece_level(b_file)
 
 
-class Windows:
-    """Windows as keys, and what each holds. A key is the ids of A, a separator that is no id, and the ids of B."""
+_U4 = np.dtype("<u4")
+COMMA, BAR, SEMICOLON = b",|;"
+
+
+def _decimals(top: int) -> tuple[np.ndarray, np.ndarray]:
+    """The digits of all ids below top, left-aligned in rows with room for a separator, and their lengths."""
+    digits = np.array([str(i).ljust(len(str(top)) + 1) for i in range(top)], "S")
+    return digits.view(np.uint8).reshape(top, -1), np.char.str_len(np.char.rstrip(digits)).astype(np.int64)
+
+
+class Aligner:
+    """Two tokenizers, and windows of their ids. A window's key is the ids of A, a separator that is no id, and the ids of B."""
 
     def __init__(self, a: Tokenizer, b: Tokenizer) -> None:
         self.a, self.b = a, b
         top = max(len(a.pieces), len(b.pieces))
         self.type = np.dtype("<u2" if top < 1 << 16 else "<u4")
         self.separator = np.iinfo(self.type).max
-        self.memo: dict[bytes, tuple[str, int, list[tuple[int, int]]]] = {}
-
-    def align(self, key: bytes) -> tuple[str, int, list[tuple[int, int]]]:
-        """Groups as text, their number, and the links (id of A, id of B) of a window."""
-        known = self.memo.get(key)
-        if known is None:
-            known = self._align(key)
-            if len(key) <= MEMO_TOKENS * self.type.itemsize:
-                if len(self.memo) >= MEMO_WINDOWS:
-                    self.memo.clear()
-                self.memo[key] = known
-        return known
-
-    def _align(self, key: bytes) -> tuple[str, int, list[tuple[int, int]]]:
-        ids = np.frombuffer(key, self.type)
-        cut = int(np.flatnonzero(ids == self.separator)[0])
-        a, b = ids[:cut].tolist(), ids[cut + 1 :].tolist()
-        ends_a, ends_b = np.cumsum(self.a.lengths[a]).tolist(), np.cumsum(self.b.lengths[b]).tolist()
-        links, groups, i, j, from_a, from_b = [], [], 0, 0, 0, 0
-        while i < len(a):  # both sides end together
-            links.append((a[i], b[j]))
-            if ends_a[i] == ends_b[j]:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[from_a:i]))}|{','.join(map(str, b[from_b:j]))}")
-                from_a, from_b = i, j
-            elif ends_a[i] < ends_b[j]:
-                i += 1
-            else:
-                j += 1
-        return ";".join(groups), len(groups), links
+        self.digits, self.n_digits = _decimals(top)
 
     def encode(self, text: bytes | None) -> tuple[list[int], list[int]] | None:
         """Ids of A and B if both stand for a space and the text, byte by byte."""
@@ -149,153 +127,181 @@ class Windows:
 
     def cut(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
         """Tokens of A, of B and windows of each text, and the keys of all windows in order."""
-        n_a, n_b, n_windows = (np.zeros(len(texts), np.int64) for _ in range(3))
-        keys: list[bytes] = []
-        for lo, hi in words.groups(texts, PART_BYTES):
-            both = [self.encode(t) for t in texts[lo:hi]]
-            n_a[lo:hi] = [len(ids[0]) if ids else 0 for ids in both]
-            n_b[lo:hi] = [len(ids[1]) if ids else 0 for ids in both]
-            if not n_a[lo:hi].any():
-                continue
-            a, b = (np.concatenate([np.array(ids[k], np.int64) for ids in both if ids]) for k in (0, 1))
-            ends_a, ends_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
-            text_ends = np.cumsum(n_a[lo:hi])
-            stop_a, stop_b = np.append(self.a.spaced[a[1:]], True), np.append(self.b.spaced[b[1:]], True)
-            last_a, last_b = text_ends[n_a[lo:hi] > 0] - 1, np.cumsum(n_b[lo:hi])[n_b[lo:hi] > 0] - 1
-            stop_a[last_a] = stop_b[last_b] = True
-            anchors = np.intersect1d(ends_a[stop_a], ends_b[stop_b], assume_unique=True)
-            at_a, at_b = np.searchsorted(ends_a, anchors) + 1, np.searchsorted(ends_b, anchors) + 1
-            n_windows[lo:hi] = np.diff(np.searchsorted(at_a, text_ends, side="right"), prepend=0)
-            size, sep = self.type.itemsize, self.type.type(self.separator).tobytes()
-            raw_a, raw_b = a.astype(self.type).tobytes(), b.astype(self.type).tobytes()
-            p = q = 0
-            for i, j in zip((at_a * size).tolist(), (at_b * size).tolist()):
-                keys.append(raw_a[p:i] + sep + raw_b[q:j])
-                p, q = i, j
+        both = [self.encode(t) for t in texts]
+        n_a, n_b = (np.array([len(ids[k]) if ids else 0 for ids in both], np.int64) for k in (0, 1))
+        if not n_a.any():
+            return n_a, n_b, np.zeros(len(texts), np.int64), []
+        a, b = (np.concatenate([np.array(ids[k], self.type) for ids in both if ids]) for k in (0, 1))
+        del both
+        ends_a, ends_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
+        stop_a, stop_b = np.append(self.a.spaced[a[1:]], True), np.append(self.b.spaced[b[1:]], True)
+        stop_a[np.cumsum(n_a)[n_a > 0] - 1] = stop_b[np.cumsum(n_b)[n_b > 0] - 1] = True
+        anchors = np.intersect1d(ends_a[stop_a], ends_b[stop_b], assume_unique=True)
+        at_a, at_b = np.searchsorted(ends_a, anchors) + 1, np.searchsorted(ends_b, anchors) + 1
+        n_windows = np.diff(np.searchsorted(at_a, np.cumsum(n_a), side="right"), prepend=0)
+        size, sep, keys = self.type.itemsize, self.type.type(self.separator).tobytes(), []
+        raw_a, raw_b, p, q = a.tobytes(), b.tobytes(), 0, 0
+        for i, j in zip((at_a * size).tolist(), (at_b * size).tolist()):
+            keys.append(raw_a[p:i] + sep + raw_b[q:j])
+            p, q = i, j
         return n_a, n_b, n_windows, keys
 
+    def align(self, keys: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """Of each window: groups as text, their number, and the number of links; and the links of all, (id of A) << 32 | (id of B).
+
+        Tokens lie side by side, so between two neighbouring ends, of whichever side, there is one link.
+        """
+        sep = np.array([self.separator], self.type)
+        ids = np.frombuffer(b"".join([k + sep.tobytes() for k in keys]), self.type)
+        cuts = np.flatnonzero(ids == self.separator)
+        bars, stops = cuts[0::2], cuts[1::2]
+        side = np.zeros(len(ids) + 1, np.int8)  # 1 within A, 0 within B
+        side[np.append(0, stops[:-1] + 1)] = 1
+        side[bars] = -1
+        real = ids != self.separator
+        in_a = np.cumsum(side[:-1]) > 0
+        a, b = ids[in_a & real].astype(np.int64), ids[~in_a & real].astype(np.int64)
+        ends_a, ends_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
+        last_a = np.cumsum(bars - np.append(0, stops[:-1] + 1))
+        window_ends = ends_a[last_a - 1]
+        ends = np.union1d(ends_a, ends_b)
+        links = a[np.searchsorted(ends_a, ends)] << 32 | b[np.searchsorted(ends_b, ends)]
+        n_links = np.diff(np.searchsorted(ends, window_ends, side="right"), prepend=0)
+        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        n_groups = np.diff(np.searchsorted(shared, window_ends, side="right"), prepend=0)
+        return self._texts(a, b, ends_a, ends_b, shared, window_ends), n_groups, n_links, links
+
+    def _texts(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, shared: np.ndarray, window_ends: np.ndarray) -> list[bytes]:
+        """Groups of each window as text: ids of A, a bar, ids of B; groups side by side."""
+        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        to_a, to_b = np.searchsorted(group_a, np.arange(len(shared)), side="right"), np.searchsorted(group_b, np.arange(len(shared)), side="right")
+        place_a = np.arange(len(a)) + np.append(0, to_b)[group_a]
+        place_b = np.arange(len(b)) + to_a[group_b]
+        ids, mark = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), COMMA, np.uint8)
+        ids[place_a], ids[place_b] = a, b
+        mark[place_a[to_a - 1]], mark[place_b[to_b - 1]] = BAR, SEMICOLON
+        chars, n = self.digits[ids], self.n_digits[ids]
+        chars[np.arange(len(ids)), n] = mark
+        raw = chars[np.arange(chars.shape[1]) <= n[:, None]].tobytes()
+        last = place_b[to_b[np.searchsorted(shared, window_ends)] - 1]
+        stops = np.cumsum(n + 1)[last].tolist()
+        return [raw[i : j - 1] for i, j in zip([0, *stops], stops)]
 
-@lru_cache(maxsize=1)
-def _windows(a_file: bytes, b_file: bytes) -> Windows:
-    return Windows(*_load(a_file, b_file))
-
-
-_U4 = np.dtype("<u4")
-
-
-def _blocks(a_file: bytes, b_file: bytes) -> Callable:
-    """Blocks of texts: per text the counts and the windows as (number, times), per block the keys and counts of windows."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, block = _windows(a_file, b_file), TaskContext.get().partitionId() << 32
-        for batch in batches:
-            texts = [t.as_py() for t in batch.column("text")]
-            for lo, hi in words.groups(texts, BLOCK_BYTES):
-                n_a, n_b, n_windows, keys = known.cut(texts[lo:hi])
-                numbers: dict[bytes, int] = {}
-                order = np.fromiter((numbers.setdefault(k, len(numbers)) for k in keys), np.int64, len(keys))
-                held = [known.align(k) for k in numbers]
-                groups, links = (np.array([x(h) for h in held], np.int64) for x in (lambda h: h[1], lambda h: len(h[2])))
-                n_groups, n_links, digests, place, times, ends = [], [], [], [], [], []
-                at = 0
-                for n in n_windows.tolist():
-                    mine = order[at : at + n]
-                    at += n
-                    n_groups.append(int(groups[mine].sum()))
-                    n_links.append(int(links[mine].sum()))
-                    digests.append(sha256(";".join([held[i][0] for i in mine.tolist()]).encode()).hexdigest() if n else "")
-                    i, c = np.unique(mine, return_counts=True)
-                    place.append(i)
-                    times.append(c)
-                    ends.append(len(i))
-                totals = np.bincount(order, minlength=len(numbers)).astype(np.int64)
-                row = {
-                    "block": block, "ids": batch.column("id")[lo:hi], "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links,
-                    "digests": digests, "n_held": ends, "place": np.concatenate(place).astype(_U4).tobytes(),
-                    "times": np.concatenate(times).astype(_U4).tobytes(), "keys": list(numbers), "totals": totals,
-                }
-                block += 1
-                fields = {f.name: f.type for f in _BLOCK_ARROW}
-                cols = []
-                for name, kind in fields.items():
-                    value = row[name]
-                    if name == "ids":
-                        cols.append(pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), value))
-                    else:
-                        cols.append(pa.array([value.tolist() if isinstance(value, np.ndarray) else value], kind))
-                yield pa.RecordBatch.from_arrays(cols, list(fields))
-
-    return task
 
-
-_BLOCK_ARROW = pa.schema([
-    ("block", pa.int64()), ("ids", pa.list_(pa.null())), ("n_a", pa.list_(pa.int64())), ("n_b", pa.list_(pa.int64())),
-    ("n_groups", pa.list_(pa.int64())), ("n_links", pa.list_(pa.int64())), ("digests", pa.list_(pa.string())), ("n_held", pa.list_(pa.int64())),
-    ("place", pa.binary()), ("times", pa.binary()), ("keys", pa.list_(pa.binary())), ("totals", pa.list_(pa.int64())),
-])
+@lru_cache(maxsize=1)
+def _aligner(a_file: bytes, b_file: bytes) -> Aligner:
+    return Aligner(byte_level(a_file), piece_level(b_file))
+
+
+class _Block:
+    """Windows of a block of texts, numbered as they come; each is aligned once."""
+
+    def __init__(self, aligner: Aligner) -> None:
+        self.aligner, self.numbers = aligner, {}
+        self.texts: list[bytes] = []
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
+        """Tokens of A, of B, windows of each text, the numbers of all windows, and the digests of the texts' groups."""
+        n_a, n_b, n_windows, keys = self.aligner.cut(texts)
+        known, numbers = len(self.numbers), self.numbers
+        order = [numbers.setdefault(k, len(numbers)) for k in keys]
+        if len(numbers) > known:
+            held, *counts = self.aligner.align(list(islice(reversed(numbers), len(numbers) - known))[::-1])
+            self.texts += held
+            self.parts.append(tuple(counts))
+        digests, at, held = [], 0, self.texts
+        for n in n_windows.tolist():
+            digests.append(sha256(b";".join([held[i] for i in order[at : at + n]])).hexdigest() if n else "")
+            at += n
+        return n_a, n_b, n_windows, np.array(order, np.int64), digests
+
+
+def _row(block: _Block, texts: list[bytes | None]) -> dict:
+    """A block as a row: counts per text, its windows as (number, times), links per window, and pairs of ids with their counts."""
+    parts = [block.add(texts[lo:hi]) for lo, hi in words.groups(texts, PART_BYTES)]
+    n_a, n_b, n_windows, order = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    none = [np.zeros(0, np.int64)]
+    n_groups, n_links, links = (np.concatenate(none + [p[k] for p in block.parts]) for k in range(3))
+    owner = np.repeat(np.arange(len(texts)), n_windows)
+    n = max(1, len(n_links))
+    held, times = np.unique(owner * n + order, return_counts=True)
+    pairs, number = np.unique(links, return_inverse=True)
+    totals = np.zeros(len(pairs), np.int64)
+    np.add.at(totals, number, np.repeat(np.bincount(order, minlength=len(n_links)), n_links))
+
+    def per_text(of_window: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(texts), np.int64)
+        np.add.at(out, held // n, of_window[held % n] * times)
+        return out
+
+    return {
+        "n_a": n_a, "n_b": n_b, "n_groups": per_text(n_groups), "n_links": per_text(n_links), "digests": [d for p in parts for d in p[4]],
+        "n_held": np.bincount(held // n, minlength=len(texts)), "window": (held % n).astype(_U4).tobytes(), "times": times.astype(_U4).tobytes(),
+        "n_pairs": n_links.astype(_U4).tobytes(), "number": number.astype(_U4).tobytes(), "pairs": pairs, "totals": totals,
+    }
+
+
+_LONGS = ["n_a", "n_b", "n_groups", "n_links", "n_held", "pairs", "totals"]
+_PACKED = ["window", "times", "n_pairs", "number"]
 
 
 def _block_schema(id_field: StructField) -> StructType:
-    longs = [StructField(n, ArrayType(LongType())) for n in ("n_a", "n_b", "n_groups", "n_links")]
     return StructType([
-        StructField("block", LongType()), StructField("ids", ArrayType(id_field.dataType)), *longs,
-        StructField("digests", ArrayType(StringType())), StructField("n_held", ArrayType(LongType())), StructField("place", BinaryType()),
-        StructField("times", BinaryType()), StructField("keys", ArrayType(BinaryType())), StructField("totals", ArrayType(LongType())),
+        StructField("block", LongType()), StructField("ids", ArrayType(id_field.dataType)), StructField("digests", ArrayType(StringType())),
+        *[StructField(n, ArrayType(LongType())) for n in _LONGS], *[StructField(n, BinaryType()) for n in _PACKED],
     ])
 
 
-def _links(a_file: bytes, b_file: bytes, counted: bool) -> Callable:
-    """Links of windows: counted over all windows of a batch, or one row per window and pair of ids."""
-
+def _blocks(a_file: bytes, b_file: bytes) -> Callable:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _windows(a_file, b_file)
+        aligner, number = _aligner(a_file, b_file), TaskContext.get().partitionId() << 32
         for batch in batches:
-            held = [known.align(k.as_py())[2] for k in batch.column("key")]
-            sizes = np.array([len(x) for x in held], np.int64)
-            pairs = np.array([p for x in held for p in x], np.int64).reshape(-1, 2)
-            owner = np.repeat(np.arange(len(held)), sizes)
-            both = (pairs[:, 0] << 32) | pairs[:, 1]
-            if counted:
-                weight = batch.column("n").to_numpy(zero_copy_only=False)[owner]
-                pair, where = np.unique(both, return_inverse=True)
-                n = np.zeros(len(pair), np.int64)
-                np.add.at(n, where, weight)
-                yield pa.RecordBatch.from_arrays([pa.array(pair >> 32), pa.array(pair & 0xFFFFFFFF), pa.array(n)], ["a", "b", "n"])
-            else:
-                keys = batch.column("key").take(pa.array(owner))
-                yield pa.RecordBatch.from_arrays([keys, pa.array(both >> 32), pa.array(both & 0xFFFFFFFF)], ["key", "a", "b"])
+            texts = [t.as_py() for t in batch.column("text")]
+            for lo, hi in words.groups(texts, BLOCK_BYTES):
+                row = _row(_Block(aligner), texts[lo:hi])
+                ids = pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), batch.column("id")[lo:hi])
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(row[c])], pa.int32()), pa.array(row[c], pa.int64())) for c in _LONGS]
+                packed = [pa.array([row[c]], pa.binary()) for c in _PACKED]
+                digests = pa.array([row["digests"]], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([pa.array([number]), ids, digests, *lists, *packed], ["block", "ids", "digests", *_LONGS, *_PACKED])
+                number += 1
 
     return task
 
 
-def _sums(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of blocks with the sums of their windows."""
-    for batch in rows:
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of blocks with the sums over their links."""
+    for batch in batches:
         for i in range(batch.num_rows):
             row = {name: batch.column(name)[i] for name in batch.schema.names}
+            window, times, n_pairs, number = (np.frombuffer(row[c].as_py(), _U4).astype(np.int64) for c in _PACKED)
             n_held = row["n_held"].values.to_numpy()
             owner = np.repeat(np.arange(len(n_held)), n_held)
-            place, times = (np.frombuffer(row[c].as_py(), _U4).astype(np.int64) for c in ("place", "times"))
             sums = []
-            for name in ("n_best", "count_sum"):
-                per = np.zeros(int(place.max()) + 1 if len(place) else 0, np.int64)
-                if len(per):
+            for name in ("best", "n"):
+                of_pair = np.zeros(int(number.max(initial=-1)) + 1, np.int64)
+                if len(of_pair):
                     scores = row["scores"].values
-                    per[scores.field("number").to_numpy()] = scores.field(name).to_numpy()
+                    of_pair[scores.field("number").to_numpy()] = scores.field(name).to_numpy()
+                before = np.concatenate([[0], np.cumsum(of_pair[number])])
+                stops = np.cumsum(n_pairs)
                 total = np.zeros(len(n_held), np.int64)
-                np.add.at(total, owner, per[place] * times)
+                np.add.at(total, owner, (before[stops] - before[stops - n_pairs])[window] * times)
                 sums.append(pa.array(total))
             lists = [row[c].values for c in ("ids", "n_a", "n_b", "n_groups", "n_links")]
             names = ["ids", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
             yield pa.RecordBatch.from_arrays([*lists, *sums, row["digests"].values], names)
 
 
-def pair_counts(windows: DataFrame, a_file: bytes, b_file: bytes) -> DataFrame:
-    """(a, b, n, best): how many links hold each pair of ids, over counted windows (key, n), and whether that is the
-    most of its b. The most per b are at most as many rows as B has ids, a proven bound for the broadcast."""
-    counts = cut_lineage(windows.mapInArrow(_links(a_file, b_file, True), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")))
-    most = counts.groupBy("b").agg(F.max("n").alias("_most"))
-    return cut_lineage(counts.join(F.broadcast(most), "b").select("a", "b", "n", (F.col("n") == F.col("_most")).alias("best")))
+def pair_counts(held: DataFrame) -> DataFrame:
+    """(pair, n, best): links of the corpus that hold each pair of ids, and whether (1 or 0) that is the most of its id of B.
+    The most per id of B are at most as many rows as B has ids, a proven bound for the broadcast."""
+    counts = cut_lineage(held.groupBy("pair").agg(F.sum("n").alias("n")))
+    b = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("b")
+    most = counts.groupBy(b).agg(F.max("n").alias("_most"))
+    best = (F.col("n") == F.col("_most")).cast("long").alias("best")
+    return cut_lineage(counts.select("*", b).join(F.broadcast(most), "b").select("pair", "n", best))
 
 
 def align_tokens(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -314,18 +320,12 @@ def align_tokens(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_i
     id_field = docs.schema[id_col]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     blocks = cut_lineage(rows.mapInArrow(_blocks(a, b), _block_schema(id_field)))
-    held = blocks.select("block", F.posexplode(F.arrays_zip("keys", "totals")).alias("number", "_w"))
-    held = held.select("block", "number", F.col("_w.keys").alias("key"), F.col("_w.totals").alias("n"))
-    windows = cut_lineage(held.groupBy("key").agg(F.sum("n").alias("n")))
-    linked = windows.mapInArrow(_links(a, b, False), "key binary, a long, b long")
-    scores = linked.join(pair_counts(windows, a, b), ["a", "b"]).groupBy("key").agg(
-        F.sum(F.col("best").cast("long")).alias("n_best"), F.sum("n").alias("count_sum")
-    )
-    scored = held.select("block", "number", "key").join(cut_lineage(scores), "key")
-    scored = scored.groupBy("block").agg(F.collect_list(F.struct("number", "n_best", "count_sum")).alias("scores"))
+    held = blocks.select("block", F.posexplode(F.arrays_zip("pairs", "totals")).alias("number", "_p"))
+    held = held.select("block", "number", F.col("_p.pairs").alias("pair"), F.col("_p.totals").alias("n"))
+    scored = held.drop("n").join(pair_counts(held), "pair")
+    scored = scored.groupBy("block").agg(F.collect_list(F.struct("number", "n", "best")).alias("scores"))
     out = StructType([
         StructField("ids", id_field.dataType), *[StructField(n, LongType()) for n in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")],
         StructField("groups_sha256", StringType()),
     ])
-    full = blocks.drop("keys", "totals").join(scored, "block", "left")
-    return full.mapInArrow(_sums, out).withColumnRenamed("ids", id_col)
+    return blocks.drop("pairs", "totals").join(scored, "block", "left").mapInArrow(_sums, out).withColumnRenamed("ids", id_col)

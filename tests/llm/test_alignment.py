@@ -103,14 +103,18 @@ def test_cases(spark, plain_tokens):
     assert {r[0]: r[1:] for r in got}[1] == (0, 0, 0, 0, 0, 0, "")
 
 
-def test_small_blocks(spark, plain_tokens, monkeypatch):
-    """A window in several blocks counts once per place; blocks of one text, parts of one text."""
-    known = alignment.Windows(byte_level(open(A, "rb").read()), piece_level(open(B, "rb").read()))
+def test_small_parts(monkeypatch):
+    """A block is the same row whether its texts are encoded together or one by one, up to the numbers of windows."""
+    aligner = alignment.Aligner(byte_level(open(A, "rb").read()), piece_level(open(B, "rb").read()))
     texts = [t.encode() if t is not None else None for _, t in CASES]
-    whole = known.cut(texts)
+    whole = alignment._row(alignment._Block(aligner), texts)
     monkeypatch.setattr(alignment, "PART_BYTES", 1)
-    parts = known.cut(texts)
-    assert all((x == y).all() for x, y in zip(whole[:3], parts[:3])) and whole[3] == parts[3]
+    parts = alignment._row(alignment._Block(aligner), texts)
+    assert all((whole[c] == parts[c]).all() for c in ("n_a", "n_b", "n_groups", "n_links", "pairs", "totals")) and whole["digests"] == parts["digests"]
+
+
+def test_over_partitions(spark, plain_tokens):
+    """Pairs of several blocks are counted together."""
     docs = spark.createDataFrame(CASES, "doc_id long, text string").repartition(7)
     assert ours(align_tokens(docs, A, B)) == plain(CASES, plain_tokens)
 

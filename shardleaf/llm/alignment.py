@@ -3,7 +3,7 @@
 Both tokenizers encode the whole text. Where tokens of both end and both next tokens start with a space,
 the text is cut, so it becomes a sequence of windows, about one per word, and each window is a pair of id
 tuples. Its groups and links depend on these ids alone, so a task finds them once per pair of tuples of a block of
-texts, for all new windows at once, and keeps each text as counts of windows.
+texts, for all new windows at once, and keeps each text as numbers of windows.
 
 A block then sends one row per pair of ids that it links, with how often; the counts of the corpus come
 back as one row per pair and block, and the block adds them up over its windows and texts. So no text is
@@ -30,8 +30,8 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, Struc
 from ..plans import cut_lineage
 from . import words
 
-BLOCK_BYTES = 8 << 20  # text in a block
-PART_BYTES = 1 << 20  # text encoded at a time
+BLOCK_BYTES = 2 << 20  # text in a block
+PART_BYTES = 1 << 19  # text encoded at a time
 #: Fixed value: how a byte-level vocabulary splits a text before its merges.
 BYTE_LEVEL_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -218,32 +218,29 @@ class _Block:
 
 
 def _row(block: _Block, texts: list[bytes | None]) -> dict:
-    """A block as a row: counts per text, its windows as (number, times), links per window, and pairs of ids with their counts."""
+    """A block as a row: counts per text, the numbers of its windows, links per window, and pairs of ids with their counts."""
     parts = [block.add(texts[lo:hi]) for lo, hi in words.groups(texts, PART_BYTES)]
     n_a, n_b, n_windows, order = (np.concatenate([p[k] for p in parts]) for k in range(4))
     none = [np.zeros(0, np.int64)]
     n_groups, n_links, links = (np.concatenate(none + [p[k] for p in block.parts]) for k in range(3))
-    owner = np.repeat(np.arange(len(texts)), n_windows)
-    n = max(1, len(n_links))
-    held, times = np.unique(owner * n + order, return_counts=True)
     pairs, number = np.unique(links, return_inverse=True)
     totals = np.zeros(len(pairs), np.int64)
     np.add.at(totals, number, np.repeat(np.bincount(order, minlength=len(n_links)), n_links))
-
-    def per_text(of_window: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(texts), np.int64)
-        np.add.at(out, held // n, of_window[held % n] * times)
-        return out
-
     return {
-        "n_a": n_a, "n_b": n_b, "n_groups": per_text(n_groups), "n_links": per_text(n_links), "digests": [d for p in parts for d in p[4]],
-        "n_held": np.bincount(held // n, minlength=len(texts)), "window": (held % n).astype(_U4).tobytes(), "times": times.astype(_U4).tobytes(),
+        "n_a": n_a, "n_b": n_b, "n_groups": _per_text(n_groups[order], n_windows), "n_links": _per_text(n_links[order], n_windows),
+        "digests": [d for p in parts for d in p[4]], "n_windows": n_windows, "window": order.astype(_U4).tobytes(),
         "n_pairs": n_links.astype(_U4).tobytes(), "number": number.astype(_U4).tobytes(), "pairs": pairs, "totals": totals,
     }
 
 
-_LONGS = ["n_a", "n_b", "n_groups", "n_links", "n_held", "pairs", "totals"]
-_PACKED = ["window", "times", "n_pairs", "number"]
+def _per_text(of_window: np.ndarray, n_windows: np.ndarray) -> np.ndarray:
+    """Sums over the windows of each text."""
+    before, stops = np.concatenate([[0], np.cumsum(of_window)]), np.cumsum(n_windows)
+    return before[stops] - before[stops - n_windows]
+
+
+_LONGS = ["n_a", "n_b", "n_groups", "n_links", "n_windows", "pairs", "totals"]
+_PACKED = ["window", "n_pairs", "number"]
 
 
 def _block_schema(id_field: StructField) -> StructType:
@@ -275,20 +272,14 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             row = {name: batch.column(name)[i] for name in batch.schema.names}
-            window, times, n_pairs, number = (np.frombuffer(row[c].as_py(), _U4).astype(np.int64) for c in _PACKED)
-            n_held = row["n_held"].values.to_numpy()
-            owner = np.repeat(np.arange(len(n_held)), n_held)
-            sums = []
+            window, n_pairs, number = (np.frombuffer(row[c].as_py(), _U4).astype(np.int64) for c in _PACKED)
+            n_windows, sums = row["n_windows"].values.to_numpy(), []
             for name in ("best", "n"):
                 of_pair = np.zeros(int(number.max(initial=-1)) + 1, np.int64)
                 if len(of_pair):
                     scores = row["scores"].values
                     of_pair[scores.field("number").to_numpy()] = scores.field(name).to_numpy()
-                before = np.concatenate([[0], np.cumsum(of_pair[number])])
-                stops = np.cumsum(n_pairs)
-                total = np.zeros(len(n_held), np.int64)
-                np.add.at(total, owner, (before[stops] - before[stops - n_pairs])[window] * times)
-                sums.append(pa.array(total))
+                sums.append(pa.array(_per_text(_per_text(of_pair[number], n_pairs)[window], n_windows)))
             lists = [row[c].values for c in ("ids", "n_a", "n_b", "n_groups", "n_links")]
             names = ["ids", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
             yield pa.RecordBatch.from_arrays([*lists, *sums, row["digests"].values], names)

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
@@ -91,10 +92,20 @@ def _load(a_file: bytes, b_file: bytes) -> tuple[Tokenizer, Tokenizer]:
     return byte_level(a_file), piece_level(b_file)
 
 
-_U4 = np.dtype("<u4")
 COMMA, BAR, SEMICOLON = b",|;"
 
 
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers of 4 bytes, compressed: all lowest bytes first, so that the rare high ones lie together."""
+    planes = np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
+
+
 def _decimals(top: int) -> tuple[np.ndarray, np.ndarray]:
     """The digits of all ids below top, left-aligned in rows with room for a separator, and their lengths."""
     digits = np.array([str(i).ljust(len(str(top)) + 1) for i in range(top)], "S")
@@ -228,8 +239,8 @@ def _row(block: _Block, texts: list[bytes | None]) -> dict:
     np.add.at(totals, number, np.repeat(np.bincount(order, minlength=len(n_links)), n_links))
     return {
         "n_a": n_a, "n_b": n_b, "n_groups": _per_text(n_groups[order], n_windows), "n_links": _per_text(n_links[order], n_windows),
-        "digests": [d for p in parts for d in p[4]], "n_windows": n_windows, "window": order.astype(_U4).tobytes(),
-        "n_pairs": n_links.astype(_U4).tobytes(), "number": number.astype(_U4).tobytes(), "pairs": pairs, "totals": totals,
+        "digests": [d for p in parts for d in p[4]], "n_windows": n_windows, "window": _pack(order),
+        "n_pairs": _pack(n_links), "number": _pack(number), "pairs": pairs, "totals": totals,
     }
 
 
@@ -272,7 +283,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             row = {name: batch.column(name)[i] for name in batch.schema.names}
-            window, n_pairs, number = (np.frombuffer(row[c].as_py(), _U4).astype(np.int64) for c in _PACKED)
+            window, n_pairs, number = (_unpack(row[c].as_py()) for c in _PACKED)
             n_windows, sums = row["n_windows"].values.to_numpy(), []
             for name in ("best", "n"):
                 of_pair = np.zeros(int(number.max(initial=-1)) + 1, np.int64)

@@ -1,6 +1,7 @@
 from collections import Counter
 from hashlib import sha256
 
+import numpy as np
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -113,6 +114,12 @@ def test_small_parts(monkeypatch):
     assert all((whole[c] == parts[c]).all() for c in ("n_a", "n_b", "n_groups", "n_links", "pairs", "totals")) and whole["digests"] == parts["digests"]
 
 
+@pytest.mark.parametrize("n", [0, 1, 70_000])
+def test_packed_numbers(n):
+    numbers = np.arange(n) * 61_003 % (1 << 32)
+    assert (alignment._unpack(alignment._pack(numbers)) == numbers).all()
+
+
 def test_over_partitions(spark, plain_tokens):
     """Pairs of several blocks are counted together."""
     docs = spark.createDataFrame(CASES, "doc_id long, text string").repartition(7)

@@ -63,6 +63,19 @@ def start(stream: DataFrame, target: str, mode: str = "append", each_batch: Each
     )
 
 
+def late_rows(query: StreamingQuery) -> dict[int, int]:
+    """Rows that came after the watermark and were left out, per batch of a query's recent progress.
+
+    Operators that combine rows before the shuffle count the combined ones.
+    """
+    late: dict[int, int] = {}
+    for progress in query.recentProgress:
+        dropped = sum(state.numRowsDroppedByWatermark for state in progress.stateOperators)
+        if dropped:
+            late[progress.batchId] = late.get(progress.batchId, 0) + dropped
+    return late
+
+
 def with_clock(stream: DataFrame, ts: str = "ts") -> tuple[DataFrame, Callable[[], None]]:
     """The stream with a clock beside it, and what strikes it: one row at the end of time, null in all other columns.
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from ..operators.events import GAP_SECONDS
 from ..operators.search import batch_prefix_join, match_counts
-from ..plans import shared_dir
-from .changed import changed_stream
+from .changed import changed_bursts
 from .debounce import debounce_stream
-from .runs import EachBatch, drain, with_clock
+from .runs import EachBatch, drain, start, with_clock
 
 
 def find_settled(index: DataFrame) -> EachBatch:
@@ -40,25 +40,37 @@ def count_settled(index: DataFrame) -> EachBatch:
     return count
 
 
+def settled_queries(events: DataFrame, gap: float = GAP_SECONDS, delay: float = 0, seq: str = "seq") -> DataFrame:
+    """(user_id, value, ts) of every settled, non-empty query that differs from the user's last one, as a stream.
+
+    Two stateful operators in one query: session windows settle bursts, and what they release meets the user's last
+    value. One checkpoint holds both, so the query may stop and start again anywhere.
+    """
+    return changed_bursts(debounce_stream(events, gap, delay, seq))
+
+
+def start_search(
+    events: DataFrame, index: DataFrame, target: str, gap: float = GAP_SECONDS, delay: float = 0, seq: str = "seq",
+    counts: bool = False, **trigger
+) -> StreamingQuery:
+    """Search as users type: a query that goes on, with results in target/out/batch_id=N and its progress beside them.
+
+    Started again with the same target, it goes on where it stopped: bursts that were open stay open, and a query that
+    ran is not run again. `counts` gives count_settled instead of find_settled; `trigger` is that of runs.start.
+    """
+    return start(settled_queries(events, gap, delay, seq), target, "append", (count_settled if counts else find_settled)(index), **trigger)
+
+
 def _searches(events: DataFrame, each: EachBatch, more: list[StructField], gap: float, delay: float, seq: str) -> DataFrame:
-    """Two streams in a row: bursts settle into files in the order of their end, and the changed ones among them run."""
-    spark, target = events.sparkSession, shared_dir(events.sparkSession, "settled")
     events, strike = with_clock(events)
-    settled = debounce_stream(events, gap, delay, seq).select("user_id", "value", "ts", "had_reset", F.lit(0).cast("long").alias("seq"))
-    drain(settled, strike=strike, target=target)
-    bursts = spark.readStream.schema(settled.schema).option("maxFilesPerTrigger", 1000).parquet(f"{target}/out/batch_id=*")
-    bursts, strike = with_clock(bursts.where("user_id IS NOT NULL"))
-    user, ts = settled.schema["user_id"], settled.schema["ts"]
-    schema = StructType([user, StructField("q", StringType()), ts, *more])
-    return drain(changed_stream(bursts, reset="had_reset"), "append", each, schema, strike)
+    settled = settled_queries(events, gap, delay, seq)
+    schema = StructType([events.schema["user_id"], StructField("q", StringType()), settled.schema["ts"], *more])
+    return drain(settled, "append", each, schema, strike)
 
 
 def search_stream(events: DataFrame, index: DataFrame, gap: float = GAP_SECONDS, delay: float = 0, seq: str = "seq") -> DataFrame:
     """(user_id, q, ts, entry columns) of every settled, non-empty query that differs from the user's last one,
-    over all data present. An empty value, also inside a burst, clears that memory.
-
-    For a stream that goes on, run debounce_stream into files, and changed_stream over those with
-    runs.start and find_settled(index).
+    over all data present. An empty value, also inside a burst, clears that memory. start_search is the form that goes on.
     """
     return _searches(events, find_settled(index), list(index.schema.fields), gap, delay, seq)
 

@@ -88,6 +88,65 @@ def test_unchanged_queries_do_not_run_again_and_misses_are_told(spark):
     ]
 
 
+def test_one_query_settles_and_remembers(spark):
+    """Two stateful operators in one plan, no files between them; equal to the batch forms on all rows."""
+    batches = [[r for r in b if r[1] != "late"] for b in BATCHES]
+    whole = spark.createDataFrame([r for b in batches for r in b], DDL)
+    bursts = ev.settled_bursts(whole, ["user_id"], "value", ["ts", "seq"])
+    want = ev.changed_only(bursts, ["user_id"], "value", ["ts"], reset="had_reset")
+    events, strike = st.with_clock(files(spark, DDL, *batches))
+    live = st.drain(st.settled_queries(events), strike=strike)
+    assert rows(live.withColumn("ts", as_local(F.col("ts"))), "user_id", "value", "ts") == rows(want, "user_id", "value", "ts")
+
+
+def test_a_search_goes_on_after_a_stop(spark):
+    """Stopped between batches with a burst open and a value remembered, and started again from its checkpoint."""
+    index = symbol_entries(spark.createDataFrame([("Go",), ("gone",)], "label string"), "label", "label", F.lit(""), "names")
+    first = typed(("a", "g", 0, 0), ("a", "go", 0.2, 1), ("b", "gon", 2, 2), ("tick", "", 2.1, 3))
+    second = typed(("b", "gone", 2.3, 4), ("a", "go", 3, 5), ("tick", "", 5, 6))
+    third = typed(("a", "go", 6, 7), ("a", "", 7, 8), ("a", "go", 7.2, 9), ("tick", "", 9, 10), ("a", "late", 1, 11), ("tick", "", 12, 12))
+    path, target = shared_dir(spark, "typed"), shared_dir(spark, "searches")
+    schema = spark.createDataFrame([], DDL).schema
+
+    def run(data):
+        spark.createDataFrame(data, DDL).coalesce(1).write.mode("append").parquet(path)
+        query = st.start_search(st.read_events(spark, path, schema), index, target, counts=True, availableNow=True)
+        query.awaitTermination()
+        return query
+
+    def told():
+        return rows(spark.read.parquet(f"{target}/out"), "user_id", "q", "n_matches")
+
+    run(first)
+    assert told() == [("a", "go", 2)]  # b is still typing
+    run(second)
+    assert told() == [("a", "go", 2), ("b", "gone", 1)]  # b's burst went on over the stop; a's go is the same again
+    late = run(third)
+    assert told() == [("a", "go", 2), ("a", "go", 2), ("b", "gone", 1)]  # emptied inside a burst, so it runs again
+    assert sum(st.late_rows(late).values()) == 1
+    ids = {q for q in os.listdir(f"{target}/progress/state")}
+    assert len(ids) == 2  # both operators keep their state under one checkpoint
+
+
+def test_a_search_stopped_while_running(spark):
+    """A query under a processing-time trigger is stopped after some batches; the rest comes after the restart, once."""
+    index = symbol_entries(spark.createDataFrame([("word",)], "label string"), "label", "label", F.lit(""), "names")
+    batches = [typed(*[(f"u{u}", f"word{b}" if b % 3 else "word", 10 * b, 100 * b + u) for u in range(3)]) for b in range(8)]
+    live, target = files(spark, DDL, *batches), shared_dir(spark, "searches")
+    query = st.start_search(live, index, target, counts=True, processingTime="0 seconds")
+    for _ in range(600):
+        if len([p for p in query.recentProgress if p.numInputRows]) >= 3:
+            break
+        time.sleep(0.1)
+    query.stop()
+    done = spark.read.parquet(f"{target}/out").count()
+    st.start_search(live, index, target, counts=True, availableNow=True).awaitTermination()
+    whole = st.drain(st.settled_queries(live))
+    got = spark.read.parquet(f"{target}/out").withColumnRenamed("q", "value")
+    assert rows(got, "user_id", "value", "ts") == rows(whole, "user_id", "value", "ts")
+    assert done < got.count()
+
+
 def test_facets_remember_over_batches(spark):
     def both(*events):
         return [(u, q, s, T0 + timedelta(seconds=t), n) for n, (u, q, s, t) in events]

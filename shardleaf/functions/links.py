@@ -80,8 +80,14 @@ PAGE_RULES: tuple[tuple[str, str], ...] = (
 
 
 def link_kind(href: Column, rules: Sequence[tuple[str, str]] = PAGE_RULES, default: str | None = "other") -> Column:
-    """Kind of the first rule whose pattern is found. The rules are code, not data: no join."""
+    """Kind of the first rule whose pattern is found, as one expression."""
     kind = F.when(F.lit(False), F.lit(None).cast("string"))
     for name, pattern in rules:
         kind = kind.when(href.rlike(pattern), F.lit(name))
     return kind.otherwise(F.lit(default).cast("string"))
+
+
+def compiles(pattern: Column) -> Column:
+    """Whether a text is a regular expression; false for null."""
+    tried = F.call_function("try_reflect", F.lit("java.util.regex.Pattern"), F.lit("matches"), pattern, F.lit(""))
+    return pattern.isNotNull() & tried.isNotNull()

@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.links import PAGE_RULES, link_kind, resolve, tip_key, url_query
-from ..plans import cut_lineage
+from ..functions.links import PAGE_RULES, compiles, link_kind, resolve, tip_key, url_query
+from ..plans import broadcast_if_small, cut_lineage
 
 
 def resolve_links(links: DataFrame, pages: DataFrame | None = None, base: str = "url") -> DataFrame:
@@ -27,9 +27,28 @@ def page_url_queries(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", url_query(F.col("url")).alias("query_text"))
 
 
-def classify_link(links: DataFrame, rules: Sequence[tuple[str, str]] = PAGE_RULES, default: str | None = "other") -> DataFrame:
-    """Add the kind of the first matching rule; narrow."""
-    return links.withColumn("kind", link_kind(F.col("href"), rules, default))
+def classify_link(links: DataFrame, rules: Sequence[tuple[str, str]] | DataFrame = PAGE_RULES, default: str | None = "other") -> DataFrame:
+    """Add the kind of the first matching rule.
+
+    Rules in code, (kind, pattern) in order, become one expression; narrow. Rules in a table, (priority, pattern,
+    kind), are tried on each distinct href, which is a join on whether the pattern is found: the rules are broadcast
+    after they were measured. Of the rules that match, the one with the least priority holds, of several with one
+    priority the least kind. Rules of which a part is null and patterns that are none do not count: see rule_errors.
+    """
+    if not isinstance(rules, DataFrame):
+        return links.withColumn("kind", link_kind(F.col("href"), rules, default))
+    good = cut_lineage(rules.select("priority", "pattern", "kind").dropna().where(compiles(F.col("pattern"))).distinct())
+    hrefs = links.select(F.col("href").alias("_href")).where("_href is not null").distinct()
+    hits = hrefs.join(broadcast_if_small(good), F.rlike("_href", F.col("pattern")))
+    kinds = hits.groupBy("_href").agg(F.min_by("kind", F.struct("priority", "kind")).alias("kind"))
+    found = links.drop("kind").join(cut_lineage(kinds), F.col("href") == F.col("_href"), "left").drop("_href")
+    return found.withColumn("kind", F.coalesce("kind", F.lit(default).cast("string")))
+
+
+def rule_errors(rules: DataFrame) -> DataFrame:
+    """Rules (priority, pattern, kind) that classify_link leaves out, with the reason in `error`."""
+    reason = F.when(F.col("priority").isNull() | F.col("pattern").isNull() | F.col("kind").isNull(), "null").when(~compiles(F.col("pattern")), "not a pattern")
+    return rules.select("priority", "pattern", "kind", reason.alias("error")).where("error is not null")
 
 
 def link_multiplicity(links: DataFrame) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from ..functions.text import first_char, match_name, normal_query, squeezed
-from ..plans import broadcast_if_small, cut_lineage, numbered
+from ..plans import broadcast_if_small, cut_lineage, numbered, prefix_ranges
 from ..plans.bounds import MAX_BYTES, MAX_ROWS
 from ..plans.ordered import fits
 
@@ -71,28 +71,36 @@ def _prepared(queries: DataFrame) -> tuple[DataFrame, list[str]]:
     return ready, keys
 
 
-def _candidates(wanted: DataFrame, entries: DataFrame) -> tuple[DataFrame, bool]:
-    """Entries with a q_enc column that makes the prefix test an equi-join; and whether wanted is small.
-
-    An entry gets one row per query length that occurs (not per query), so no query is compared with
-    a whole shard. One pass over the queries gives the lengths (at most as many as the longest query
-    has characters), the shards that prune the index folders (at most one per character in use), and
-    the size that decides about a broadcast.
-    """
+def _seen(wanted: DataFrame) -> Row:
+    """One pass over prepared queries: the lengths that occur (at most as many as the longest query has characters), the
+    shards (at most one per character in use), whether a query asks for all sections, and their number and size."""
     row_bytes = F.octet_length(F.to_json(F.struct("*"))).cast("long")
     every = (F.col("section") == EVERY) if "section" in wanted.columns else F.lit(False)
-    seen = wanted.select("shard", F.length("q_enc").alias("length"), row_bytes.alias("bytes"), every.alias("every")).agg(
+    return wanted.select("shard", F.length("q_enc").alias("length"), row_bytes.alias("bytes"), every.alias("every")).agg(
         F.collect_set("length").alias("lengths"), F.collect_set("shard").alias("shards"),
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.max("every").alias("every"),
     ).first()
+
+
+def _reachable(entries: DataFrame, seen: Row) -> DataFrame:
+    """Entries in shards that are asked for, which prunes the index folders; with section "all" if that is."""
     if len(seen["shards"]) <= PRUNE_SHARDS:
         entries = entries.where(F.col("shard").isin(seen["shards"]))
     if seen["every"]:
         named = entries.where(~F.col("section").eqNullSafe(F.lit(EVERY)))
         entries = named.unionByName(all_section(entries))
+    return entries
+
+
+def _candidates(wanted: DataFrame, entries: DataFrame) -> tuple[DataFrame, bool]:
+    """Entries with a q_enc column that makes the prefix test an equi-join; and whether wanted is small.
+
+    An entry gets one row per query length that occurs (not per query), so no query is compared with a whole shard.
+    """
+    seen = _seen(wanted)
     lengths = F.split(F.lit(",".join(map(str, sorted(seen["lengths"]))) or "0"), ",").cast("array<int>")
     cuts = F.filter(lengths, lambda n: n <= F.length("match_name"))
-    rows = entries.withColumn("_cut", F.explode(cuts)).withColumn(
+    rows = _reachable(entries, seen).withColumn("_cut", F.explode(cuts)).withColumn(
         "q_enc", F.substring("match_name", F.lit(1), F.col("_cut"))
     )
     return rows.drop("_cut"), seen["rows"] <= MAX_ROWS and seen["bytes"] <= MAX_BYTES
@@ -110,30 +118,26 @@ def batch_prefix_join(queries: DataFrame, entries: DataFrame) -> DataFrame:
     return (F.broadcast(wanted) if small else wanted).join(rows, keys).drop("q_enc")
 
 
-def _per_query(queries: DataFrame, entries: DataFrame, *aggregates: Column) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Prepared queries, and the aggregates of what each distinct query finds, as written tables.
-
-    The queries are measured, joined and answered, so they are prepared once and written.
-    The distinct queries filter the candidates, broadcast if they are few, and a popular query is one row
-    by then.
-    """
+def _asked(queries: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Prepared queries as a written table, the distinct ones that can find something, and the keys of both."""
     ready, keys = _prepared(queries)
     ready = cut_lineage(ready.select("qid", *keys))
-    wanted = cut_lineage(ready.where("shard is not null").select(*keys).distinct())
-    rows, small = _candidates(wanted, entries)
-    found = rows.join(F.broadcast(wanted) if small else wanted, keys)
-    return ready, cut_lineage(found.groupBy(*keys).agg(*aggregates)), keys
+    return ready, cut_lineage(ready.where("shard is not null").select(*keys).distinct()), keys
 
 
-def match_counts(queries: DataFrame, entries: DataFrame) -> DataFrame:
+def match_counts(queries: DataFrame, entries: DataFrame, max_rows: int | None = None) -> DataFrame:
     """(qid, n_matches, n_targets, no_match) per query, zero included.
 
-    n_matches counts results (symbols), n_targets the entries under them.
+    n_matches counts results (symbols), n_targets the entries under them. The distinct names of a shard are sorted once
+    with both ends of each distinct query among them, and a count is the difference of running sums at the
+    ends; a shard of more than max_rows names is split.
     """
-    items = entries.groupBy(*ITEM, "match_name").agg(F.count(F.lit(1)).alias("_targets"))
-    ready, counts, keys = _per_query(
-        queries, items, F.count(F.lit(1)).alias("n_matches"), F.sum("_targets").alias("n_targets")
-    )
+    ready, wanted, keys = _asked(queries)
+    place = keys[:-1]
+    items = _reachable(entries, _seen(wanted)).groupBy(*ITEM, "match_name").agg(F.count(F.lit(1)).alias("_targets"))
+    names = items.groupBy(*place, "match_name").agg(F.count(F.lit(1)).alias("n_matches"), F.sum("_targets").alias("n_targets"))
+    _, ranges = prefix_ranges(names, wanted, place, "match_name", "q_enc", ["n_matches", "n_targets"], max_rows=max_rows)
+    counts = cut_lineage(ranges.where("n_rows > 0").drop("first", "n_rows"))
     return ready.join(broadcast_if_small(counts), keys, "left").select(
         "qid",
         F.coalesce("n_matches", F.lit(0)).alias("n_matches"),
@@ -142,14 +146,23 @@ def match_counts(queries: DataFrame, entries: DataFrame) -> DataFrame:
     )
 
 
-def first_match(queries: DataFrame, entries: DataFrame) -> DataFrame:
+def first_match(queries: DataFrame, entries: DataFrame, max_rows: int | None = None) -> DataFrame:
     """(qid, first entry in index order) for each query that finds something.
 
-    The minimum is taken with map-side combine per distinct query (a sort aggregate, as it is over strings).
+    The rank of a query's lower end is that of the first name it finds, so the name is looked up by rank, and of the
+    entries under that name alone the least is taken.
     """
+    ready, wanted, keys = _asked(queries)
+    place = keys[:-1]
+    reachable = _reachable(entries, _seen(wanted))
+    names = reachable.select(*place, "match_name").distinct()
+    ranks, ranges = prefix_ranges(names, wanted, place, "match_name", "q_enc", max_rows=max_rows)
+    found = ranges.where("n_rows > 0").withColumnRenamed("first", "rank").join(ranks, [*place, "rank"]).select(*keys, "match_name")
+    found = cut_lineage(found)
+    firsts = broadcast_if_small(found.select(*place, "match_name").distinct())
     rest = [c for c in entries.columns if c not in INDEX_ORDER]
-    first = F.min(F.struct(*INDEX_ORDER, *rest)).alias("best")
-    ready, best, keys = _per_query(queries, entries, first)
+    under = reachable.join(firsts, [*place, "match_name"]).groupBy(*place, "match_name").agg(F.min(F.struct(*INDEX_ORDER, *rest)).alias("best"))
+    best = cut_lineage(found.join(under, [*place, "match_name"]).select(*keys, "best"))
     return ready.join(broadcast_if_small(best), keys).select("qid", "best.*")
 
 

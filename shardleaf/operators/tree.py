@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import tree as t
-from ..plans import cut_lineage
+from ..plans import cut_lineage, prefix_ranges
 
+MAX_TREE_ROWS = 1_000_000  # a tree with more rows is sorted in parts
+BLOCK = 64  # ranks
 
 def tree_paths(tree: DataFrame) -> DataFrame:
     """Add depth, parent and ancestors to rows with an id; narrow."""
@@ -33,22 +35,36 @@ def tree_children(paths: DataFrame) -> DataFrame:
     return pairs.join(paths.select("id"), "id", "left_semi")
 
 
-def tree_descendants(paths: DataFrame) -> DataFrame:
-    """(id, descendant_id): each row exploded to its ancestors, not a prefix join."""
-    levels = paths.select(F.col("id").alias("descendant_id"), F.explode(t.levels_above(F.col("id"))).alias("level"))
-    pairs = levels.select(t.at_level(F.col("descendant_id"), F.col("level")).alias("id"), "descendant_id")
-    return pairs.join(paths.select("id"), "id", "left_semi")
-
+def tree_descendants(paths: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """(id, descendant_id) for every row of the tree and all rows below it; rows with one id are one row.
 
-def subtree_rollup(tree: DataFrame, measures: Sequence[str] = ()) -> DataFrame:
-    """(id, n_hidden, sum_<measure>..) of everything below each folder; combined before the shuffle."""
-    i = F.col("id")
-    levels = tree.select("id", *measures, F.explode(t.levels_above(i)).alias("level"))
-    below = levels.select(t.at_level(i, F.col("level")).alias("id"), *measures)
-    sums = below.groupBy("id").agg(
-        F.count(F.lit(1)).alias("n_hidden"), *[F.sum(m).alias(f"sum_{m}") for m in measures]
+    Sorted by id, what is below a row is a range of ranks. Ranges are cut at every BLOCK ranks and meet the rows of
+    the block, so a row is handled once per pair that comes out (and BLOCK at either end of a range), however
+    deep the tree is, and no block is hotter than the tree is deep.
+    """
+    ids = cut_lineage(paths.where("id is not null").select("id").distinct())
+    ranks, ranges = prefix_ranges(ids, ids, [], "id", "id", strict=True, max_rows=max_rows or MAX_TREE_ROWS)
+    last = F.col("first") + F.col("n_rows") - 1
+    block = lambda rank: F.floor(rank / BLOCK)
+    below = ranges.where("n_rows > 0").select(
+        "id", "first", last.alias("last"), F.explode(F.sequence(block(F.col("first")), block(last))).alias("block")
     )
-    return sums.join(tree.select("id"), "id", "left_semi")
+    rows = ranks.select(F.col("id").alias("descendant_id"), "rank", block(F.col("rank")).alias("block"))
+    return below.join(rows, "block").where("rank between first and last").select("id", "descendant_id")
+
+
+def subtree_rollup(tree: DataFrame, measures: Sequence[str] = (), max_rows: int | None = None) -> DataFrame:
+    """(id, n_hidden, sum_<measure>..) of everything below each folder; a sum over nulls alone is null.
+
+    Sorted by id, what is below a row is a range, so its sums are differences of running sums, and every row is
+    one row however deep the tree is. Sums of integers and decimals are exact; those of floating-point numbers have the
+    rounding of the running sum. The sum over the whole tree has to fit the type.
+    """
+    totals = [F.count(F.lit(1)).alias("n_hidden"), *[F.sum(m).alias(f"sum_{m}") for m in measures], *[F.count(m).alias(f"_n_{m}") for m in measures]]
+    nodes = cut_lineage(tree.where("id is not null").groupBy("id").agg(*totals))
+    _, ranges = prefix_ranges(nodes, nodes.select("id"), [], "id", "id", nodes.columns[1:], strict=True, max_rows=max_rows or MAX_TREE_ROWS)
+    sums = [F.when(F.col(f"_n_{m}") > 0, F.col(f"sum_{m}")).alias(f"sum_{m}") for m in measures]
+    return ranges.where("n_hidden > 0").select("id", "n_hidden", *sums)
 
 
 def toggle_state(ids: DataFrame, clicks: DataFrame, initially_open: bool = False) -> DataFrame:

@@ -98,6 +98,22 @@ def numbered(
     return result.drop(CHUNK, TIE)
 
 
+def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], max_rows: int | None = None) -> DataFrame:
+    """Replace each column by its sum over the rows of the group up to and including the row; null counts as 0."""
+    df, order = _total(df.withColumns({c: F.coalesce(c, F.lit(0)) for c in cols}), order)
+    rows, split = split_groups(df, keys, order, max_rows)
+    w = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    result = rows.withColumns({c: F.sum(c).over(w) for c in cols})
+    if split:
+        before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        edges = _spanning(rows.groupBy(*keys, CHUNK).agg(*[F.sum(c).alias(c) for c in cols]), keys)
+        edges = edges.select(*keys, CHUNK, *[F.sum(c).over(before).alias(f"_before_{c}") for c in cols])
+        result = _carry(result, edges, keys)
+        result = result.withColumns({c: F.col(c) + F.coalesce(f"_before_{c}", F.lit(0)) for c in cols})
+        result = result.drop(*[f"_before_{c}" for c in cols])
+    return result.drop(CHUNK, TIE)
+
+
 def neighbours(
     df: DataFrame,
     keys: Sequence[str],

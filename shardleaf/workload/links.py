@@ -13,6 +13,18 @@ from .inputs import LINKS, RESOLVED, TITLES, links, resolved, table
 WORD_RULES = (("marked", r"[.,]$"), ("accented", r"[^\x00-\x7F]"), ("capital", "^/[A-Z]"), ("word", "^/[a-z]+$"))
 
 
+def rule_table(spark, sf):
+    """The word rules behind one rule per nation: words with its first four letters in turn. One pattern is broken."""
+    letters = F.regexp_replace(F.lower(F.substring("n_name", 1, 4)), "(.)", "$1.*")
+    nations = table(spark, sf, "nation").select(F.col("n_nationkey").alias("priority"), F.concat(F.lit("^/"), letters).alias("pattern"), F.col("n_name").alias("kind"))
+    words = [(1000 + i, pattern, kind) for i, (kind, pattern) in enumerate(WORD_RULES)] + [(-1, "[broken", "broken")]
+    return nations.unionByName(spark.createDataFrame(words, "priority int, pattern string, kind string"))
+
+
+def q_rules(spark, sf):
+    return op.classify_link(links(spark, sf).select("page_id", "pos", "href"), rule_table(spark, sf))
+
+
 def known_pages(spark, sf):
     """Pages, and the last link of each page, taken as alive."""
     last = resolved(spark, sf).groupBy("page_id").agg(F.max_by("url", "pos").alias("url"))
@@ -49,6 +61,7 @@ QUERIES = {
     "resolve_links": q_resolve,
     "page_url_queries": lambda s, sf: op.page_url_queries(table(s, sf, "pages")),
     "classify_link": lambda s, sf: op.classify_link(links(s, sf).select("page_id", "pos", "href"), WORD_RULES),
+    "classify_by_table": q_rules,
     "link_multiplicity": lambda s, sf: op.link_multiplicity(links(s, sf)),
     "distinct_links": lambda s, sf: op.distinct_links(links(s, sf)),
     "tooltip_join": lambda s, sf: op.tooltip_join(links(s, sf).select("page_id", "pos", "href"), definitions(s, sf)),
@@ -64,6 +77,11 @@ SQL = {
     "classify_link": rf"""WITH {LINKS} SELECT page_id, pos, href, CASE WHEN regexp_matches(href, '[.,]$') THEN 'marked'
   WHEN regexp_matches(href, '[^\x00-\x7F]') THEN 'accented' WHEN regexp_matches(href, '^/[A-Z]') THEN 'capital'
   WHEN regexp_matches(href, '^/[a-z]+$') THEN 'word' ELSE 'other' END AS kind FROM links""",
+    "classify_by_table": rf"""WITH {LINKS},
+rules AS (SELECT n_nationkey AS priority, '^/' || regexp_replace(lower(substr(n_name, 1, 4)), '(.)', '\1.*', 'g') AS pattern, n_name AS kind FROM nation
+  UNION ALL VALUES (1000, '[.,]$', 'marked'), (1001, '[^\x00-\x7F]', 'accented'), (1002, '^/[A-Z]', 'capital'), (1003, '^/[a-z]+$', 'word')),
+kinds AS (SELECT href, arg_min(kind, (priority, kind)) AS kind FROM (SELECT DISTINCT href FROM links), rules WHERE regexp_matches(href, pattern) GROUP BY 1)
+SELECT page_id, pos, href, coalesce(kind, 'other') AS kind FROM links LEFT JOIN kinds USING (href)""",
     "link_multiplicity": f"WITH {LINKS} SELECT href, count(*) AS n_links, count(DISTINCT page_id) AS in_degree FROM links GROUP BY 1",
     "distinct_links": f"WITH {LINKS} SELECT DISTINCT href FROM links",
     "tooltip_join": rf"""WITH {LINKS},

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from shardleaf.functions.links import resolve
 from shardleaf.operators import links as op
+from shardleaf.plans import bounds
 from shardleaf.sources import extract_links, page_base, page_meta
 
 from conftest import rows
@@ -99,6 +100,32 @@ def test_link_kinds(spark, href, kind):
     assert op.classify_link(spark.createDataFrame([(href,)], "href string")).first()["kind"] == kind
 
 
+def test_rules_from_a_table(spark):
+    """Equal to the same rules in code; priorities, ties, nulls, broken patterns, repeated and null links."""
+    hrefs = ["kite_8cc_source.html", "kite_8h.html", "class_kite.html", "class_kite-members.html", "structtail__t.html", "about.html", "", None, "about.html"]
+    links = spark.createDataFrame([(i, h, "old") for i, h in enumerate(hrefs)], "pos int, href string, kind string")
+    table = spark.createDataFrame([(i, p, k) for i, (k, p) in enumerate(op.PAGE_RULES)], "priority int, pattern string, kind string")
+    assert rows(op.classify_link(links, table)) == rows(op.classify_link(links))
+    assert op.rule_errors(table).count() == 0
+    more = spark.createDataFrame(
+        [(-5, "(", "no pattern"), (-4, None, "null"), (None, "a", "null"), (-3, "^about", "b"), (-3, "about", "a"), (-3, "*x", "no pattern"), (99, "", "any")], "priority int, pattern string, kind string"
+    )
+    kinds = {r.pos: r.kind for r in op.classify_link(links, table.union(more), None).collect()}
+    assert (kinds[0], kinds[5], kinds[6], kinds[7], kinds[8]) == ("source", "a", "any", None, "a")
+    assert rows(op.rule_errors(more), "error", "priority") == [("not a pattern", -3), ("not a pattern", -5), ("null", -4), ("null", None)]
+
+
+def test_many_rules_without_a_broadcast(spark):
+    links = spark.createDataFrame([(f"p{i}x",) for i in range(300)], "href string")
+    table = spark.range(400).selectExpr("id AS priority", "concat('^p', id, 'x$') AS pattern", "concat('k', id) AS kind")
+    keep = bounds.MAX_ROWS
+    try:
+        bounds.broadcast_if_small.__defaults__ = (10, bounds.MAX_BYTES)
+        assert rows(op.classify_link(links, table), "href", "kind") == sorted((f"p{i}x", f"k{i}") for i in range(300))
+    finally:
+        bounds.broadcast_if_small.__defaults__ = (keep, bounds.MAX_BYTES)
+
+
 def test_url_queries(spark):
     pages = spark.createDataFrame(
         [(1, "http://h/a?b%20c+d"), (2, "http://h/a#x?y"), (3, "http://h/a?"), (4, "http://h/?100%"), (5, "http://h/?a=1&b=%C3%A9#f")],

@@ -1,9 +1,11 @@
+import random
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from shardleaf.operators import search as op
-from shardleaf.plans import shared_dir
+from shardleaf.plans import prefixes, shared_dir
 from shardleaf.sources import nested_entries, read_index, read_shard, section_catalog, symbol_entries, write_index
 
 from conftest import rows
@@ -211,3 +213,63 @@ def test_a_popular_letter_is_cut_into_files(spark):
 def test_many_query_joins_broadcast_only_what_was_measured(spark, entries):
     plan = op.batch_prefix_join(q(spark, "get", "a"), entries)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def named(spark, names, sections=("s", "t")):
+    """Entries under given match names and shards, some names several times under several labels and targets."""
+    data = [
+        (sections[n % len(sections)], name[:1].lower(), f"id{n % 3}", name, f"label {n % 5}", f"u{n}", True, "x")
+        for n, name in enumerate(names)
+    ]
+    return spark.createDataFrame(data, "section string, shard string, id string, match_name string, label string, url string, same_frame boolean, scope string"), data
+
+
+def plain_answers(data, queries):
+    counts, firsts = [], []
+    for qid, q, *section in queries:
+        text = q.strip(" ").lower()
+        found = [d for d in data if text and d[1] == text[0] and d[3].startswith(text)]
+        if section and section[0] == "all":
+            found = list({("all", *d[1:]) for d in found})
+        elif section:
+            found = [d for d in found if d[0] == section[0]]
+        items = {(d[0], d[1], d[2], d[4], d[3]) for d in found}
+        counts.append((qid, len(items), len(found), not found))
+        if found:
+            best = min(found, key=lambda d: [x.encode() if isinstance(x, str) else x for x in (d[3], d[4], d[0], d[2], d[7], d[5])])
+            firsts.append((qid, best[3], best[4], best[0], best[5]))
+    return sorted(counts, key=repr), sorted(firsts, key=repr)
+
+
+@pytest.mark.parametrize("max_rows", [None, 7])
+def test_counts_and_firsts_by_rank(spark, max_rows):
+    """Prefixes of prefixes, names at both ends of a shard, the last characters there are, one shard split into parts."""
+    draw = random.Random(11)
+    names = ["".join(draw.choice("abé\U0010ffff") for _ in range(draw.randint(1, 5))) for _ in range(150)]
+    names += ["a", "a", "ab", "aba", "a\U0010ffff", "a\U0010ffff\U0010ffff", "b" * 40]
+    entries, data = named(spark, names)
+    asked = sorted({n[:k] for n in names for k in (1, 2, 3, len(n))}) + ["", " ", "zz", "abz", " a ", "bbbbbbbbbbbbbbbbbbbbbbbbbbbbbbbbbbbbbbbbbbbbb"]
+    queries = [(i, q) for i, q in enumerate(asked) if "_" not in q]
+    frame = spark.createDataFrame(queries, "qid int, q string")
+    counts, firsts = plain_answers(data, queries)
+    assert rows(op.match_counts(frame, entries, max_rows)) == counts
+    assert rows(op.first_match(frame, entries, max_rows), "qid", "match_name", "label", "section", "url") == firsts
+    picked = [(i, q, ("s", "t", "all", "none")[i % 4]) for i, q in queries]
+    frame = spark.createDataFrame(picked, "qid int, q string, section string")
+    counts, firsts = plain_answers(data, picked)
+    assert rows(op.match_counts(frame, entries, max_rows)) == counts
+    assert rows(op.first_match(frame, entries, max_rows), "qid", "match_name", "label", "section", "url") == firsts
+
+
+def test_counts_copy_no_entry(spark, monkeypatch):
+    """No plan of match_counts or first_match generates rows, on whichever side."""
+    plans = []
+    for module in (prefixes, op):
+        real = module.cut_lineage
+        monkeypatch.setattr(module, "cut_lineage", lambda df, real=real: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    entries, _ = named(spark, ["abc", "abd", "b"])
+    frame = spark.createDataFrame([(1, "a"), (2, "abd")], "qid int, q string")
+    for found in (op.match_counts(frame, entries), op.first_match(frame, entries)):
+        found.collect()
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 6 and not any("Generate" in p for p in plans)

@@ -1,3 +1,7 @@
+import random
+
+import pytest
+
 from shardleaf.functions.tree import path_order
 from shardleaf.operators import tree as op
 from pyspark.sql import functions as F
@@ -40,6 +44,56 @@ def test_rollup(spark):
     assert rows(op.subtree_rollup(tree(spark), ["n"])) == [("row_0_", 3, 6), ("row_0_1_", 1, 3), ("row_10_", 1, 8), ("row_1_", 2, 11)]
 
 
+def brute(data):
+    ids = {i for i, _ in data if i is not None}
+    below = {a: [(i, n) for i, n in data if i is not None and i != a and i.startswith(a)] for a in ids}
+    return below
+
+
+def random_tree(n, seed):
+    draw = random.Random(seed)
+    ids = ["row_"]
+    for _ in range(n):
+        ids.append(f"{draw.choice(ids[-40:])}{draw.choice([0, 1, 2, 9, 10, 11, 99])}_")
+    return [(i, draw.choice([None, 1, -5, 10**12])) for i in ids if i != "row_"] + [(None, 3)]
+
+
+@pytest.mark.parametrize("max_rows", [None, 20])
+def test_random_trees_in_one_part_and_in_many(spark, max_rows):
+    """With gaps between levels, rows that occur twice, and null measures."""
+    data = random_tree(400, 5)
+    below = brute(data)
+    df = spark.createDataFrame(data, "id string, n long")
+    pairs = rows(op.tree_descendants(df, max_rows))
+    assert pairs == sorted({(a, d) for a, ds in below.items() for d, _ in ds})
+    want = []
+    for a, ds in below.items():
+        known = [n for _, n in ds if n is not None]
+        if ds:
+            want.append((a, len(ds), sum(known) if known else None))
+    assert rows(op.subtree_rollup(df, ["n"], max_rows)) == sorted(want, key=repr)
+
+
+def test_a_chain_of_5000_levels(spark):
+    """Rows in the plan grow with the tree, not with its depth: no row is copied for its ancestors."""
+    chain = spark.range(1, 5001).select(F.concat(F.lit("row"), F.repeat(F.lit("_0"), F.col("id").cast("int")), F.lit("_")).alias("id"), F.col("id").alias("n"))
+    sums = op.subtree_rollup(chain, ["n"], 1000)
+    assert "Generate" not in sums._jdf.queryExecution().executedPlan().toString()
+    got = {(len(r.id) - 4) // 2: (r.n_hidden, r.sum_n) for r in sums.collect()}
+    assert got == {d: (5000 - d, sum(range(d + 1, 5001))) for d in range(1, 5000)}
+
+
+def test_descendants_of_a_deep_chain(spark):
+    chain = spark.range(1, 301).select(F.concat(F.lit("row"), F.repeat(F.lit("_0"), F.col("id").cast("int")), F.lit("_")).alias("id"))
+    pairs = op.tree_descendants(chain, 100)
+    assert pairs.count() == 300 * 299 // 2 and pairs.where("not startswith(descendant_id, id) or id = descendant_id").count() == 0
+
+
+def test_empty_trees(spark):
+    empty = tree(spark).limit(0)
+    assert op.tree_descendants(empty).count() == 0 and op.subtree_rollup(empty, ["n"]).count() == 0
+
+
 def test_toggles(spark):
     ids = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
     clicks = spark.createDataFrame([("a", 1, 0), ("a", 3, 0), ("b", 2, 0), ("c", 5, 1), ("c", 5, 2), ("a", 5, 3), ("z", 9, 9)], "id string, ts int, seq int")

@@ -6,6 +6,7 @@ import pytest
 import corpus_pipeline as cp
 from shardleaf.llm import near, simhash, words
 from shardleaf.llm.queries import table
+from shardleaf.plans import cut_lineage
 
 
 def plain_set(text, width=5):
@@ -79,7 +80,7 @@ def test_squares_of_a_large_group(spark, edited):
             copy[k] = f"x{rng.integers(10**6)}"
         rows.append((i, " ".join(copy)))
     docs = spark.createDataFrame(rows, "id long, text string")
-    signed = docs.select("id", "text", near._signed(5)(docs["text"].cast("binary")).alias("_s")).select("id", "text", "_s.*").localCheckpoint()
+    signed = cut_lineage(docs.select("id", "text", near._signed(5)(docs["text"].cast("binary")).alias("_s")).select("id", "text", "_s.*"))
     names = {r["class"]: r["id"] for r in signed.collect()}
     found = []
     for block in (16, 10**6):

@@ -134,6 +134,9 @@ def _start_pattern(selector: str) -> str:
     return rf"<({name})\b{attrs}{ATTRIBUTES}>"
 
 
+CHUNK = 128  # tags
+
+
 def _walk(html: Column, start: str) -> Column:
     """Remove elements tag by tag, with a running depth of the open elements of the kind that the dropped one is of.
 
@@ -161,11 +164,24 @@ def _walk(html: Column, start: str) -> Column:
             .otherwise(state(deeper, s.tag, s.at + 1, s.since, s.cuts))
         )
 
-    none = F.array().cast("array<struct<a:int,b:int>>")
-    cuts = F.aggregate(tags, state(F.lit(0), F.lit(""), F.lit(0), F.lit(0), none), step, lambda s: s.cuts)
+    # Adding to a list copies it, so each chunk of tags has a list of its own, and the list of lists is short.
+    one, many = (F.array().cast(f"array<{t}>") for t in ("struct<a:int,b:int>", "array<struct<a:int,b:int>>"))
+
+    def chunk(s: Column, xs: Column) -> Column:
+        done = F.aggregate(xs, state(s.depth, s.tag, s.at, s.since, one), step)
+        return F.transform(F.array(done), lambda d: state(d.depth, d.tag, d.at, d.since, F.concat(s.cuts, F.array(d.cuts))))[0]
+
+    def walked(xs: Column) -> Column:
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / CHUNK).cast("int")), lambda i: F.slice(xs, i * CHUNK + 1, F.lit(CHUNK)))
+        return F.aggregate(chunks, state(F.lit(0), F.lit(""), F.lit(0), F.lit(0), many), chunk, lambda s: F.flatten(s.cuts))
+
+    cuts = F.transform(F.array(tags), walked)[0]
 
+    # What stays lies between the cuts: from the end of one to the start of the next, so each piece is taken once.
     def kept(p: Column, c: Column) -> Column:
-        return F.array_join(F.filter(p, lambda _, i: ~F.exists(c, lambda x: (i >= x.a) & (i < x.b))), "")
+        starts = F.concat(F.array(F.lit(0)), F.transform(c, lambda x: x.b))
+        ends = F.concat(F.transform(c, lambda x: x.a), F.array(F.size(p)))
+        return F.array_join(F.zip_with(starts, ends, lambda i, j: F.array_join(F.slice(p, i + 1, j - i), "")), "")
 
     return F.transform(F.array(F.struct(pieces.alias("p"), cuts.alias("c"))), lambda y: kept(y.p, y.c))[0]
 

@@ -18,7 +18,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..plans import cut_lineage
+from ..plans import broadcast_if_small, cut_lineage
+from .columns import restore, set_aside
 from .sizes import word_count
 
 WEIGHTS = (5, 2, 1)
@@ -145,3 +146,22 @@ def taken_words(mixed: Mix) -> DataFrame:
     sources = mixed.sources.select(F.col("src").alias("_s"), "source", "target")
     rows = mixed.documents.join(taken, on, "left").join(sources, F.col("src") == F.col("_s"))
     return rows.select("id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def read_rows(docs: DataFrame, mixed: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", repeats: int = REPEATS) -> DataFrame:
+    """The rows of docs as often as the mix reads them, whole or in part: up to `repeats` times, with all their columns.
+
+    A source is read in the order of its documents' keys, so what is read r times or more is everything up to
+    one last document. Rows are compared with these places, one per source, and no text is moved. Rows that share id,
+    source and size share the decision (the larger).
+    """
+    place = F.struct(order_key("id").alias("key"), F.col("id").alias("id"), F.col("size").alias("size"))
+    times = F.ceil(F.col("taken") / F.col("size"))
+    lasts = [F.max(F.when(times >= r, place)).alias(f"last_{r}") for r in range(1, repeats + 1)]
+    ends = taken_words(mixed).where("taken > 0").groupBy(F.col("source").alias("of")).agg(*lasts)
+    ends = broadcast_if_small(cut_lineage(ends))
+    rows = set_aside(docs, source=F.col(source_col), id=F.col(id_col), size=word_count(text_col)).where("size > 0")
+    rows = rows.join(ends, F.col("source").eqNullSafe(F.col("of"))).withColumn("place", place)
+    reads = sum((F.when(F.col("place") <= F.col(f"last_{r}"), 1).otherwise(0) for r in range(1, repeats + 1)), F.lit(0))
+    rows = rows.withColumn("reads", reads).where("reads > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("reads"))).alias("read"))
+    return restore(rows, docs.columns)

@@ -6,9 +6,11 @@ share one with a chance of 1 - (1 - s^ROWS)^BANDS at similarity s (0.9999 at 0.8
 one class. Classes that shared cells connect are a candidate group, and all pairs of a group are compared by
 their whole sets, so a pair is missed only if no chain of shared cells leads from one to the other.
 
-Each class goes to its group once, with its set. A large group is cut by a hash of the class into blocks, and
-squares of two blocks are compared, so no task gets a whole hot group. Squares return the edges of a spanning
-forest; pairs are not written. Comparisons grow with the square of a candidate group.
+Groups are found from the cells alone, and only texts in company are read again. A large group is cut by a hash
+of the class into blocks, and squares of two blocks are compared, so no task gets a whole hot group. All blocks meet the
+first one, and then those classes that this leaves outside the group's largest component meet all others. So
+a group of n copies of one text takes 2 n sets, and a group in which k classes stay apart k * n comparisons.
+Squares return the edges of a spanning forest; pairs are not written.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from ..plans import cut_lineage
@@ -151,10 +153,10 @@ def _compare(similarity: float) -> Callable:
     return task
 
 
-def links(rows: DataFrame, docs: DataFrame, width: int, similarity: float, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) between classes that connect those of pairs with at least this similarity.
+def members(rows: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(class, root, blocks) of the classes that share a cell with another one: their candidate group and its number of blocks.
 
-    rows: (class, n, cells), each class once. docs: (class, text), any rows of it; only texts of classes in company are used.
+    rows: (class, n, cells), each class once.
     """
     cells = rows.where("n > 0").select("class", F.explode("cells").alias("cell"))
     company = cut_lineage(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("_n"), F.min("class").alias("_first")).where("_n > 1").select("cell", "_first"))
@@ -163,11 +165,48 @@ def links(rows: DataFrame, docs: DataFrame, width: int, similarity: float, block
     groups = cut_lineage(groups.join(rows.select(F.col("class").alias("node"), "n"), "node"))
     many = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
     sizes = cut_lineage(groups.groupBy("root").agg(many.alias("blocks")))
-    members = cut_lineage(groups.join(sizes, "root").select(F.col("node").alias("class"), "root", "blocks"))
-    texts = docs.join(members, "class").dropDuplicates(["class"]).select("class", "root", "blocks", F.col("text").cast("binary").alias("text"))
+    return cut_lineage(groups.join(sizes, "root").select(F.col("node").alias("class"), "root", "blocks"))
+
+
+def links(texts: DataFrame, width: int, similarity: float, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) between classes that connect those of pairs with at least this similarity.
+
+    texts: (class, root, blocks, text) of members; of rows with one class one is read. First all blocks of a group meet its
+    block 0, which takes two copies of a set however large the group is, and connects nearly all of a dense
+    group. Pairs that are still apart lie in two of the components that gives, so one of them at least is outside the
+    largest one: those outside meet all others of the group, in squares of two blocks.
+    """
+    texts = texts.dropDuplicates(["class"]).select("class", "root", "blocks", F.col("text").cast("binary").alias("text"))
     sets = cut_lineage(texts.mapInArrow(_sets(width), "class long, root long, blocks int, shingles binary"))
-    own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
-    squares = sets.withColumn("block", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    squares = squares.select("root", F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"), "block", "class", "shingles")
-    squares = squares.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
-    return squares.mapInArrow(_compare(similarity), "a long, b long")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    first = sets.withColumn("block", _block("blocks")).withColumn("i", F.lit(0))
+    first = first.withColumn("j", F.explode(F.when(F.col("block") == 0, every).otherwise(F.array("block"))))
+    edges = cut_lineage(_squares(first, similarity))
+    large = sets.where("blocks > 1")
+    if large.isEmpty():
+        return edges
+
+    parts = components(edges).select(F.col("node").alias("class"), F.col("root").alias("part"))
+    placed = large.select("class", "root", (F.octet_length("shingles") / 8).alias("n")).join(parts, "class", "left")
+    placed = cut_lineage(placed.withColumn("part", F.coalesce("part", "class")))
+    sizes = cut_lineage(placed.groupBy("root", "part").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n")))
+    main = F.max_by(F.struct("part", "size", "n"), F.struct("size", "part"))
+    main = sizes.groupBy("root").agg(main.alias("main"), F.sum("size").alias("size"), F.sum("n").alias("n"))
+    few = F.greatest(F.ceil((F.col("size") - F.col("main.size")) / block), F.ceil((F.col("n") - F.col("main.n")) / BLOCK_SHINGLES))
+    main = cut_lineage(main.select("root", F.col("main.part").alias("main"), few.cast("int").alias("few")).where("few > 0"))
+    meet = cut_lineage(placed.join(main, "root").select("class", "few", (F.col("part") != F.col("main")).alias("outside")))
+    rest = large.join(meet, "class")
+    rest = rest.withColumn("block", F.when(F.col("outside"), _block("few")).otherwise(F.col("few") + _block("blocks")))
+    others = F.sequence(F.lit(0), F.when(F.col("outside"), F.col("few") + F.col("blocks")).otherwise(F.col("few")) - 1)
+    rest = rest.withColumn("other", F.explode(others))
+    rest = rest.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    return edges.union(cut_lineage(_squares(rest, similarity)))
+
+
+def _block(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("class"), F.col(blocks)).cast("int")
+
+
+def _squares(rows: DataFrame, similarity: float) -> DataFrame:
+    rows = rows.select("root", "i", "j", "block", "class", "shingles").repartition("root", "i", "j")
+    return rows.sortWithinPartitions("root", "i", "j").mapInArrow(_compare(similarity), "a long, b long")

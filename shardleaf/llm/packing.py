@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans import cut_lineage
+from .columns import restore, set_aside
 from .mixing import RANGE_BITS, _starts, order_key
 
 BUCKETS = 8
@@ -96,17 +97,20 @@ def pack(
     of length 0, one batch without padding. batch is a number within the bucket. Rows with
     one id and length are interchangeable. An empty table gives an empty one.
     """
-    table = cut_lineage(docs.drop("bucket", "bucket_length", "batch", "place", "padding"))
-    bounds = [0, *(fitted or fit_buckets(table, length_col, buckets)).bounds]
+    names = docs.drop("bucket", "bucket_length", "batch", "place", "padding").columns
     n = F.coalesce(F.col(length_col).cast("long"), F.lit(0))
+    rows = cut_lineage(set_aside(docs.select(*[docs[c] for c in names]), n=n, id=F.col(id_col), key=order_key(id_col)))
+    bounds = [0, *(fitted or fit_buckets(rows, "n", buckets)).bounds]
+    n = F.col("n")
     bucket = F.lit(0)
     for b in range(1, len(bounds)):
         bucket = F.when(n > bounds[b - 1], b).otherwise(bucket)
     sizes = F.array(*[F.lit(x).cast("long") for x in bounds])
-    rows = table.withColumns({"_n": n, "bucket": bucket, "_key": order_key(id_col)})
-    rows = rows.withColumn("bucket_length", F.get(sizes, "bucket")).withColumn("_range", F.shiftright("_key", 60 - RANGE_BITS))
-    rows = _starts(rows, "bucket", "_range", ["_key", id_col, "_n"], F.lit(1).cast("long"), "_number")
+    rows = rows.withColumn("bucket", bucket)
+    rows = rows.withColumn("bucket_length", F.get(sizes, "bucket")).withColumn("range", F.shiftright("key", 60 - RANGE_BITS))
+    rows = _starts(rows, "bucket", "range", ["key", "id", "n"], F.lit(1).cast("long"), "number")
     capacity = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(budget) / F.greatest(F.lit(1).cast("long"), "bucket_length")))
-    batch = F.when(F.col("bucket") == 0, F.lit(0)).otherwise(F.floor(F.col("_number") / capacity)).cast("long")
-    place = F.when(F.col("bucket") == 0, F.col("_number")).otherwise(F.col("_number") % capacity)
-    return rows.withColumns({"batch": batch, "place": place, "padding": F.col("bucket_length") - F.col("_n")}).drop("_n", "_key", "_range", "_number")
+    batch = F.when(F.col("bucket") == 0, F.lit(0)).otherwise(F.floor(F.col("number") / capacity)).cast("long")
+    place = F.when(F.col("bucket") == 0, F.col("number")).otherwise(F.col("number") % capacity)
+    padding = F.col("bucket_length") - n
+    return restore(rows, names, bucket=F.col("bucket"), bucket_length=F.col("bucket_length"), batch=batch, place=place, padding=padding)

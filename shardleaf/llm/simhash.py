@@ -25,6 +25,7 @@ from pyspark.sql.types import LongType
 
 from ..plans import cut_lineage
 from . import near
+from .columns import restore, set_aside
 from .components import components
 
 WORDS = 3
@@ -142,26 +143,33 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if similarity is None:
         if width != WORDS:
             raise ValueError(f"fingerprints are of {WORDS} words; another width needs a similarity")
-        rows = cut_lineage(docs.select(key, simhash(text_col).alias("fp")))
-        first = _named(rows)
+        rows = cut_lineage(docs.select(key, simhash(text_col).alias("class")))
+        names = _named(rows.select(F.col("class").alias("fp"), "id")).withColumnRenamed("fp", "class")
     else:
         rows = cut_lineage(docs.select(key, near._signed(width)(F.col(text_col).cast("binary")).alias("_s")).select("id", "_s.*"))
-        first = _alike(rows, docs, id_col, text_col, width, similarity)
-    first = first.select("name").distinct()
-    first = cut_lineage(first.select(F.col("name.id").alias("_first_id"), F.col("name.key").alias("_first_key")))
-    kept = docs.join(first, docs[id_col].eqNullSafe(F.col("_first_id")) & (F.xxhash64(docs[text_col]) == F.col("_first_key")), "left_semi")
-    copies = rows.groupBy("id").count().where("count > 1")
-    if copies.isEmpty():
-        return kept
-    return kept.withColumn("_key", F.xxhash64(text_col)).dropDuplicates([id_col, "_key"]).drop("_key")
+        names = _alike(rows, docs, id_col, text_col, width, similarity)
+    gone = rows.select("class", "id").join(names, "class").where("id != name").select("id").distinct()
+    gone = cut_lineage(gone.select(F.col("id.id").alias("gone_id"), F.col("id.key").alias("gone_key")))
+    kept = set_aside(docs, id=F.col(id_col), key=F.xxhash64(text_col))
+    kept = kept.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("key") == F.col("gone_key")), "left_anti")
+    if not rows.groupBy("id").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["id", "key"])
+    return restore(kept, docs.columns)
 
 
 def _alike(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
-    """(id, class, n, cells) rows to (name): the smallest id of each group of texts that links connect."""
-    classes = cut_lineage(rows.groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("cells").alias("cells")))
-    one = classes.where("n > 0").select("class", F.col("id.id").alias("_one_id"), F.col("id.key").alias("_one_key"))
-    texts = docs.join(one, docs[id_col].eqNullSafe(F.col("_one_id")) & (F.xxhash64(docs[text_col]) == F.col("_one_key")))
-    edges = near.links(classes.select("class", "n", "cells"), texts.select("class", F.col(text_col).alias("text")), width, similarity)
-    roots = cut_lineage(components(edges))
-    placed = classes.select("class", "id").join(roots.withColumnRenamed("node", "class"), "class", "left")
-    return placed.groupBy(F.coalesce("root", "class").alias("root")).agg(F.min("id").alias("name"))
+    """(id, class, n, cells) rows to (class, name) for texts in company: the smallest id of the group of texts that links connect.
+
+    Only texts that share a cell with others are read for the comparison.
+    """
+    classes = rows.groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("cells").alias("cells"), F.count(F.lit(1)).alias("copies"))
+    classes = cut_lineage(classes)
+    members = near.members(classes.select("class", "n", "cells"))
+    one = members.join(classes.select("class", F.col("id.id").alias("one_id"), F.col("id.key").alias("one_key")), "class")
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).cast("binary").alias("text"))
+    texts = texts.join(cut_lineage(one), F.col("id").eqNullSafe(F.col("one_id")) & (F.col("key") == F.col("one_key")))
+    roots = components(near.links(texts.select("class", "root", "blocks", "text"), width, similarity))
+    placed = classes.select("class", "id", "copies").join(roots.withColumnRenamed("node", "class"), "class", "left").where("copies > 1 OR root IS NOT NULL")
+    placed = cut_lineage(placed.withColumn("root", F.coalesce("root", "class")))
+    names = cut_lineage(placed.groupBy("root").agg(F.min("id").alias("name")))
+    return cut_lineage(placed.join(names, "root").select("class", "name"))

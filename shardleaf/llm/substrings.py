@@ -27,6 +27,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from ..plans import cut_lineage
 from . import words
+from .columns import restore, set_aside
 
 WINDOW = 50
 
@@ -175,11 +176,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text stays null (the digest is that of no words); rows with a null id lose nothing and cost no other
     row anything; rows with one id count as one document; an empty table gives an empty one.
     """
-    spans = repeated_spans(docs, id_col, text_col, window)
-    spans = spans.select(F.col("id").alias("_span_id"), F.col("key").alias("_span_key"), F.col("spans").alias("_spans"))
-    on = (F.col(id_col).cast("long") == F.col("_span_id")) & (F.xxhash64(text_col) == F.col("_span_key"))
-    joined = docs.join(spans, on, "left").withColumn("_cut", _cutter(window)(F.col(text_col).cast("binary"), "_spans"))
-    return joined.withColumns({
-        text_col: F.col("_cut.text").cast("string"), "n_words": F.col("_cut.n_words"),
-        "n_removed": F.col("_cut.n_removed"), "kept_sha256": F.col("_cut.kept_sha256"),
-    }).drop("_span_id", "_span_key", "_spans", "_cut")
+    rows = _with_cuts(docs, id_col, text_col, window)
+    cut = {c: F.col("cut").getField(c) for c in ("n_words", "n_removed", "kept_sha256")}
+    return restore(rows, docs.columns, **{text_col: F.col("cut.text").cast("string")}, **cut)
+
+
+def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, chars_col: str = "n_chars") -> DataFrame:
+    """docs with the text cut as in remove_repeats and chars_col counted anew where words went; all other columns stay."""
+    rows = _with_cuts(docs, id_col, text_col, window)
+    text = F.col("cut.text").cast("string")
+    n_chars = F.when(F.col("cut.n_removed") > 0, F.char_length(text).cast("long")).otherwise(F.col("row").getField(chars_col))
+    return restore(rows, docs.columns, **{text_col: text, chars_col: n_chars})
+
+
+def _with_cuts(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
+    """(row, cut): every row of docs and what is left of its text."""
+    spans = repeated_spans(docs, id_col, text_col, window).select(F.col("id").alias("span_id"), F.col("key").alias("span_key"), "spans")
+    rows = set_aside(docs, id=F.col(id_col).cast("long"), key=F.xxhash64(text_col))
+    rows = rows.join(spans, (F.col("id") == F.col("span_id")) & (F.col("key") == F.col("span_key")), "left")
+    return rows.select("row", _cutter(window)(F.col("row").getField(text_col).cast("binary"), "spans").alias("cut"))

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from . import words
+from .columns import restore, set_aside
 from .samples import labelled_sample
 
 MAX_LABELLED = 12_000
@@ -190,8 +191,12 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, text_col: str = "text",
     Columns of these names are replaced, others stay. Null and empty texts have no features and get the
     scores of the thresholds alone; repeated rows get equal scores; an empty table gives an empty one.
     """
-    scored = docs.withColumn("_score", _scorer(model)(F.col(text_col).cast("binary")))
-    return scored.withColumns({
-        "severity": F.col("_score.severity"), "p_toxic": F.col("_score.p_toxic"), "grade": F.col("_score.grade"),
-        "rejected": F.col("_score.p_toxic") >= reject_at,
-    }).drop("_score")
+    scored = set_aside(docs, score=_scorer(model)(F.col(text_col).cast("binary")))
+    new = {c: F.col("score").getField(c) for c in ("severity", "p_toxic", "grade")}
+    return restore(scored, docs.columns, **new, rejected=F.col("score.p_toxic") >= reject_at)
+
+
+def without_toxic(docs: DataFrame, model: OrdinalModel, text_col: str = "text", reject_at: float = 0.5) -> DataFrame:
+    """The rows of docs that score_toxicity does not reject, with the columns they have."""
+    scored = set_aside(docs, score=_scorer(model)(F.col(text_col).cast("binary")))
+    return restore(scored.where(F.col("score.p_toxic") < reject_at), docs.columns)

@@ -82,10 +82,11 @@ def test_squares_of_a_large_group(spark, edited):
     docs = spark.createDataFrame(rows, "id long, text string")
     signed = cut_lineage(docs.select("id", "text", near._signed(5)(docs["text"].cast("binary")).alias("_s")).select("id", "text", "_s.*"))
     names = {r["class"]: r["id"] for r in signed.collect()}
+    cells, texts = signed.select("class", "n", "cells"), signed.select("class", "text")
     found = []
     for block in (16, 10**6):
         label = {i: i for i, _ in rows}
-        edges = [(names[r.a], names[r.b]) for r in near.links(signed.select("class", "n", "cells"), signed.select("class", "text"), 5, 0.8, block).collect()]
+        edges = [(names[r.a], names[r.b]) for r in near.links(texts.join(near.members(cells, block), "class"), 5, 0.8, block).collect()]
         for _ in rows:
             for a, b in edges:
                 label[a] = label[b] = min(label[a], label[b])

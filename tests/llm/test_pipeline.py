@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 
 import corpus_pipeline as cp
 from shardleaf.llm.mixing import mix, taken_words
+from shardleaf.llm.packing import pack
 from shardleaf.llm.queries import severity_grade, table
 from shardleaf.llm.toxicity import fit_toxicity, score_toxicity
 from shardleaf.plans import cut_lineage
@@ -83,3 +84,35 @@ def test_nulls_repeats_and_empty_tables(spark, sf):
             docs = cut_lineage(stage(spark, docs, sf))
         ids = [r.doc_id for r in docs.collect()]
         assert -6 in ids and None not in ids and -5 not in ids if ids else True
+
+
+#: Names that helpers of the stages have or had, those of results, and names that differ in case only from a helper's.
+CLASHES = [
+    "row", "id", "key", "class", "cells", "n", "root", "blocks", "block", "one_id", "one_key", "gone_id", "gone_key", "_first_id", "_key", "_s", "score",
+    "_score", "severity", "rejected", "Grade", "cut", "_cut", "span_id", "_span_id", "spans", "n_words", "n_removed", "kept_sha256", "of", "size", "place",
+    "reads", "read", "last_1", "_reads", "_id", "ID_", "a.b", "_range", "_number", "_n", "number", "range",
+]
+
+
+def test_clashing_columns_stay(spark, sf):
+    """A stage decides the same with extra columns of any name, and they keep their values."""
+    docs = table(spark, sf, "documents").limit(120)
+    wide = docs.select("*", *[F.concat(F.lit(c + " "), "doc_id").alias(c) for c in CLASHES])
+    for name, stage in cp.STAGES[:-1]:
+        before = wide
+        plain, wide = cut_lineage(stage(spark, docs, sf)), cut_lineage(stage(spark, wide, sf))
+        assert wide.columns == before.columns, name
+        rows = [r.asDict() for r in wide.collect()]
+        assert sorted((r["doc_id"], r["text"]) for r in rows) == sorted((r.doc_id, r.text) for r in plain.collect()), name
+        assert all(r[c] == f"{c} {r['doc_id']}" for r in rows for c in CLASHES), name
+        docs = plain
+
+
+def test_packing_keeps_clashing_columns(spark, sf):
+    docs = table(spark, sf, "documents").limit(50).select("doc_id", "n_chars")
+    names = ["_n", "_key", "_range", "_number", "n", "id", "key", "range", "number", "row"]
+    packed = pack(docs.select("*", *[F.lit(c).alias(c) for c in names]), "n_chars")
+    assert packed.columns == ["doc_id", "n_chars", *names, "bucket", "bucket_length", "batch", "place", "padding"]
+    assert all(r[c] == c for r in packed.collect() for c in names)
+    want = pack(docs, "n_chars").orderBy("doc_id").collect()
+    assert packed.select(want[0].__fields__).orderBy("doc_id").collect() == want

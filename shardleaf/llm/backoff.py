@@ -1,15 +1,17 @@
 """Stupid-backoff language-model scores, computed relationally.
 
-The score of a word after another is count(pair) / count(first) if the pair occurs MIN_COUNT times in the
+The score of a word after another is count(pair) / count(first) if the pair occurs min_count times in the
 corpus, else 0.4 * count(word) / all words; a document's score is the sum of the logarithms. Words are
-runs of letters and digits in lower case; the VOCABULARY most frequent ones have their own counts and all
-others count as one unknown word, so the table of single words has a proven bound and is broadcast. Pair
-counts grow with the corpus and are never gathered.
-
-Pairs are exploded per block of texts, one row for each distinct pair of a block with the documents that
-hold it, and partitioned by the pair's hash. There the rows' occurrences add up to the pair's count, which
-joins back to its rows, and what the pair adds to each document is summed per document. Every pair meets
-once, in one shuffle. A pair of two words that are among the most frequent (each a thousandth of all
+runs of letters and digits in lower case. Counts of words and of pairs cover the whole corpus and grow with
+it; none is pooled or left out.
+
+N-grams are exploded per block of texts, one row for each distinct one of a block with the documents that
+hold it, and partitioned by hash. There the rows' occurrences add up to the n-gram's count, which joins back
+to its rows, and what it adds to each document is summed per document. The VOCABULARY most frequent words
+have numbers, and a broadcast table of their counts of proven size. All other words, the rare ones, have no
+count outside the shuffle: a pair that holds one is partitioned by that word, so that it meets the word's own
+rows, which add up to its count (a pair of two rare words has a row for either). A rare word has at most a
+VOCABULARY-th of all rows. A pair of two words that are among the most frequent (each a thousandth of all
 words, so a thousand at most) could be a hot key: such pairs, a million at most, are counted by partial
 sums beforehand and scored where they stand. No other pair can hold more than a thousandth of all rows.
 """
@@ -32,22 +34,25 @@ MIN_COUNT = 2
 DISCOUNT = 0.4
 HOT = 1024
 BLOCK_BYTES = 1 << 23
+SIGN = np.uint64(1 << 63)
+EVEN = np.uint64((1 << 64) - 2)
 SPREAD = 1 << 15  # ids in a block of pairs lie within this distance, so that a document takes 2 bytes
 
 
 @dataclass
 class Words:
-    """hashes: sorted, of the known words; counts: theirs, then that of the unknown word; total: all words; hot: for each
-    number its rank among the frequent words, or -1; pairs: counts of pairs of frequent words, by rank."""
+    """hashes: sorted, of the words with a number; counts: theirs; total: all words; hot: for each number its rank among
+    the frequent words, or -1, then -1 for rare words; pairs: counts of pairs of frequent words, by rank."""
 
     hashes: np.ndarray
     counts: np.ndarray
     total: int
     hot: np.ndarray
     pairs: np.ndarray | None = None
+    min_count: int = MIN_COUNT
 
     def numbers(self, h: np.ndarray) -> np.ndarray:
-        """Number of each word; len(hashes) for the unknown word."""
+        """Number of each word; len(hashes) for rare words."""
         if not len(self.hashes):
             return np.zeros(len(h), np.int32)
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1).astype(np.int32)
@@ -67,7 +72,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
                 for x, y in words.groups(texts[a:c]):
                     block = words.block(texts[a + x : a + y], words.PUNCTUATION)
                     owner.append((block.owner + x).astype(np.int32))
-                    hashes.append(block.hashes(0, words.LOWER))
+                    hashes.append((block.hashes(0, words.LOWER) | SIGN) & EVEN)  # negative as a long, so never a number; the last bit is for the side
                 yield ids[a:c], np.concatenate(owner), np.concatenate(hashes)
                 a = c
 
@@ -103,8 +108,8 @@ def _count_hot(known: Words) -> Callable:
 
 
 def _local(known: Words) -> Callable:
-    """(id, words, score) that need no pair counts: every word as if backed off, pairs of frequent words as counted."""
-    single = np.log(DISCOUNT * np.maximum(known.counts, 1) / max(1, known.total))
+    """(id, words, score) that need no shuffle: every word with a number as if backed off, pairs of frequent words as counted."""
+    single = np.append(np.log(DISCOUNT * known.counts / max(1, known.total)), 0.0)  # rare words follow with their counts
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, owner, h in _blocks(batches):
@@ -118,7 +123,7 @@ def _local(known: Words) -> Callable:
             both = (ra >= 0) & (rb >= 0)
             text, a, b = text[both], a[both], b[both]
             n = known.pairs[ra[both] * HOT + rb[both]]
-            found = n >= MIN_COUNT
+            found = n >= known.min_count
             gain = np.log(n[found] / known.counts[a[found]]) - single[b[found]]
             score += np.bincount(text[found], gain, len(ids))
             yield _batch(id=ids, n_words=np.bincount(owner, minlength=len(ids)), score=score)
@@ -126,36 +131,62 @@ def _local(known: Words) -> Callable:
     return task
 
 
+def _held(key: np.ndarray, text: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Distinct keys in order, and for each the ids that hold it as distances from the first id, as often as they do."""
+    order = np.argsort(key, kind="stable")
+    key, text = key[order], text[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    docs = pa.ListArray.from_arrays(pa.array(np.append(first, len(key)).astype(np.int32)), pa.array((ids[text] - ids[0]).astype(np.int16)))
+    return key[first], docs
+
+
 def _explode(known: Words) -> Callable:
-    """(pair, base, docs): each distinct pair of a block, and the ids that hold it as distances from base, as often as they do."""
-    width = len(known.counts)
+    """(word, other, base, docs): each distinct n-gram of a block, and the ids that hold it as distances from base, as often as they do.
+
+    A pair of two words with numbers has its number in `word` and no other; a rare word has its hash there and no
+    other; a pair with a rare word has that word there, and in other the second word, or the first one and a last bit
+    of 1. Words in `other` are hashes, which are negative, or twice their number.
+    """
+    size = len(known.hashes)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, owner, h in _blocks(batches):
-            text, a, b = _pairs_of(owner, known.numbers(h))
-            cold = (known.hot[a] < 0) | (known.hot[b] < 0)
-            pair, text = a[cold].astype(np.int64) * width + b[cold], text[cold]
-            order = np.argsort(pair, kind="stable")
-            pair, text = pair[order], text[order]
-            first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else np.zeros(0, np.int64)
-            docs = pa.ListArray.from_arrays(pa.array(np.append(first, len(pair)).astype(np.int32)), pa.array((ids[text] - ids[0]).astype(np.int16)))
-            kinds = pair[first]
-            cols = [pa.array(kinds), pa.array(np.full(len(kinds), ids[0], np.int64)), docs]
-            for x in range(0, len(kinds), 1 << 16):
-                yield pa.RecordBatch.from_arrays([c.slice(x, 1 << 16) for c in cols], ["pair", "base", "docs"])
+            number = known.numbers(h)
+            rare = np.flatnonzero(number == size)
+            kinds, at = np.unique(h[rare], return_inverse=True)
+            number[rare] += at.astype(np.int32)
+            text, a, b = _pairs_of(owner, number)
+            cold = (known.hot[np.minimum(a, size)] < 0) | (known.hot[np.minimum(b, size)] < 0)
+            width = size + len(kinds)
+            pair, docs = _held(a[cold].astype(np.int64) * width + b[cold], text[cold], ids)
+            a, b = pair // max(1, width), pair % max(1, width)
+            code = np.concatenate([np.arange(size) * 2, kinds.view(np.int64)])
+            plain, left, right = (np.flatnonzero(x) for x in ((a < size) & (b < size), a >= size, b >= size))
+            yield from _rows(a[plain] * size + b[plain], None, docs.take(pa.array(plain)), ids[0])
+            yield from _rows(code[a[left]], code[b[left]], docs.take(pa.array(left)), ids[0])
+            yield from _rows(code[b[right]], code[a[right]] | 1, docs.take(pa.array(right)), ids[0])
+            alone, docs = _held(at, owner[rare], ids)
+            yield from _rows(kinds.view(np.int64)[alone], None, docs, ids[0])
 
     return task
 
 
-def count_words(rows: DataFrame, vocabulary: int = VOCABULARY) -> Words:
-    """The table of single words: rows on the driver are bounded by the vocabulary and by HOT * HOT."""
+def _rows(word: np.ndarray, other: np.ndarray | None, docs: pa.Array, base: int) -> Iterator[pa.RecordBatch]:
+    other_ = pa.nulls(len(word), pa.int64()) if other is None else pa.array(other)
+    cols = [pa.array(word), other_, pa.array(np.full(len(word), base, np.int64)), docs]
+    for x in range(0, len(word), 1 << 16):
+        yield pa.RecordBatch.from_arrays([c.slice(x, 1 << 16) for c in cols], ["word", "other", "base", "docs"])
+
+
+def count_words(rows: DataFrame, vocabulary: int = VOCABULARY, min_count: int = MIN_COUNT) -> Words:
+    """Words with a number and pairs of frequent ones: rows on the driver are bounded by the vocabulary and by HOT * HOT."""
     counts = cut_lineage(rows.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
     total = int(counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     top = counts.orderBy(F.col("n").desc(), "word").limit(vocabulary).toPandas()
     hashes = top["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     n = top["n"].to_numpy(np.int64)[order]
-    known = Words(hashes[order], np.append(n, total - n.sum()), total, np.full(len(n) + 1, -1))
+    known = Words(hashes[order], n, total, np.full(len(n) + 1, -1), min_count=min_count)
     frequent = np.flatnonzero(known.counts * 1000 >= max(1, total))
     known.hot[frequent] = np.arange(len(frequent))
     hot = rows.mapInArrow(_count_hot(known), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
@@ -164,10 +195,14 @@ def count_words(rows: DataFrame, vocabulary: int = VOCABULARY) -> Words:
     return known
 
 
-def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = VOCABULARY) -> DataFrame:
+def backoff_scores(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = VOCABULARY, min_count: int = MIN_COUNT
+) -> DataFrame:
     """(id, n_words, log_score, perplexity): stupid-backoff scores of whole texts under the counts of all of them.
 
     log_score is the sum over words of the natural log of the score, perplexity exp(-log_score / n_words).
+    A pair counts as seen from min_count occurrences on: the corpus scores itself, so with 1 no pair would ever
+    back off. The vocabulary says how many words have their counts broadcast; it does not change the scores.
     Rows with one id are parts of one document: their sums add up, no pair spans two of them. Texts of
     null or without words score 0 and have no perplexity. Rows with a null id are counted like any other
     but have no document to sum for, and come back as one row of null id with nulls. An empty table gives an
@@ -177,22 +212,34 @@ def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     nameless = rows.where("id IS NULL").select(F.lit(None).cast("long").alias("id")).limit(1)
     least = F.lit(-(1 << 62)).cast("long")
     rows = rows.withColumn("id", F.coalesce("id", least))
-    known = count_words(rows, vocabulary)
+    known = count_words(rows, vocabulary, min_count)
     local = rows.mapInArrow(_local(known), "id long, n_words long, score double")
-    exploded = rows.mapInArrow(_explode(known), "pair long, base long, docs array<short>")
-    spread = exploded.repartition("pair")
-    occurrences = F.sum(F.size("docs")).over(Window.partitionBy("pair"))
-    found = spread.withColumn("_n", occurrences).where(F.col("_n") >= MIN_COUNT)
+    exploded = rows.mapInArrow(_explode(known), "word long, other long, base long, docs array<short>")
+    size = len(known.hashes)
+    # Both windows lie inside the partitions by word: the n-gram's count, and that of the rare word it is kept under.
+    times, rare, alone = F.size("docs"), F.col("word") < 0, F.col("other").isNull()
+    found = exploded.repartition("word").withColumns({
+        "_n": F.sum(times).over(Window.partitionBy("word", "other")),
+        "_own": F.sum(F.when(alone, times)).over(Window.partitionBy("word")),
+    }).where((rare & alone) | (F.col("_n") >= min_count))
     # What a found pair adds: log(count / count of the first word), less what its second word has as if backed off.
-    logs = np.log(np.maximum(known.counts, 1).astype(float))
-    numbers = pd.DataFrame({"number": np.arange(len(logs)), "log_count": logs})
-    numbers = docs.sparkSession.createDataFrame(numbers, "number long, log_count double")  # vocabulary + 1 rows
+    numbers = pd.DataFrame({"number": np.arange(size), "log_count": np.log(known.counts.astype(float))})
+    numbers = docs.sparkSession.createDataFrame(numbers, "number long, log_count double")  # as many rows as the vocabulary
     first = numbers.select(F.col("number").alias("_a"), F.col("log_count").alias("_first"))
     second = numbers.select(F.col("number").alias("_b"), F.col("log_count").alias("_second"))
+    is_first = F.col("other") % 2 != 0  # the other word comes before the rare one
+    numbered = F.when(F.col("other") >= 0, F.shiftright("other", 1))
+    found = found.withColumns({
+        "_a": F.when(~rare, F.expr(f"word div {max(1, size)}")).when(is_first, numbered),
+        "_b": F.when(~rare, F.col("word") % max(1, size)).when(~is_first, numbered),
+    })
+    found = found.join(F.broadcast(first), "_a", "left").join(F.broadcast(second), "_b", "left")
     offset = float(np.log(DISCOUNT / max(1, known.total)))
-    found = found.withColumns({"_a": F.expr(f"pair div {len(logs)}"), "_b": F.col("pair") % len(logs)})
-    found = found.join(F.broadcast(first), "_a").join(F.broadcast(second), "_b")
-    each = found.select((F.log("_n") - F.col("_first") - F.col("_second") - offset).alias("score"), "base", F.explode("docs").alias("_d"))
+    pair_of_rare = is_first & (F.col("other") < 0)  # its other row has the pair's count
+    gain = F.when(F.coalesce(pair_of_rare, F.lit(False)), 0.0).otherwise(F.log("_n") - offset)
+    gain = gain - F.coalesce("_first", F.lit(0.0)) - F.coalesce("_second", F.lit(0.0)) - F.when(rare, F.log("_own")).otherwise(0.0)
+    score = F.when(rare & alone, F.log("_own") + offset).otherwise(gain)
+    each = found.select(score.alias("score"), "base", F.explode("docs").alias("_d"))
     pairs = each.groupBy((F.col("base") + F.col("_d")).alias("id")).agg(F.sum("score").alias("score"))
     both = local.unionByName(pairs.select("id", F.lit(0).cast("long").alias("n_words"), "score"))
     out = both.groupBy("id").agg(F.sum("n_words").alias("n_words"), F.sum("score").alias("log_score")).where(F.col("id") != least)

@@ -9,9 +9,9 @@ N-grams are exploded per block of texts, one row for each distinct one of a bloc
 hold it, and partitioned by hash. There the rows' occurrences add up to the n-gram's count, which joins back
 to its rows, and what it adds to each document is summed per document. The VOCABULARY most frequent words
 have numbers, and a broadcast table of their counts of proven size. All other words, the rare ones, have no
-count outside the shuffle: a pair that holds one is partitioned by that word, so that it meets the word's own
-rows, which add up to its count (a pair of two rare words has a row for either). A rare word has at most a
-VOCABULARY-th of all rows. A pair of two words that are among the most frequent (each a thousandth of all
+count outside the shuffle: a pair that holds one is partitioned by that word, whose rows as a first or last word
+add up to its count (a pair of two rare words has a row for either). A rare word has at most a VOCABULARY-th
+of all words. A pair of two words that are among the most frequent (each a thousandth of all
 words, so a thousand at most) could be a hot key: such pairs, a million at most, are counted by partial
 sums beforehand and scored where they stand. No other pair can hold more than a thousandth of all rows.
 """
@@ -143,9 +143,9 @@ def _held(key: np.ndarray, text: np.ndarray, ids: np.ndarray) -> tuple[np.ndarra
 def _explode(known: Words) -> Callable:
     """(word, other, base, docs): each distinct n-gram of a block, and the ids that hold it as distances from base, as often as they do.
 
-    A pair of two words with numbers has its number in `word` and no other; a rare word has its hash there and no
-    other; a pair with a rare word has that word there, and in other the second word, or the first one and a last bit
-    of 1. Words in `other` are hashes, which are negative, or twice their number.
+    A pair of two words with numbers has its number in `word` and no other; a rare word that ends a text has its hash
+    there and no other; a pair with a rare word has that word there, and in other the second word, or the first one
+    and a last bit of 1. Words in `other` are hashes, which are negative, or twice their number.
     """
     size = len(known.hashes)
 
@@ -155,27 +155,33 @@ def _explode(known: Words) -> Callable:
             rare = np.flatnonzero(number == size)
             kinds, at = np.unique(h[rare], return_inverse=True)
             number[rare] += at.astype(np.int32)
+            ends = np.append(owner[1:] != owner[:-1], True)[rare] if len(rare) else np.zeros(0, bool)
+            kinds, code = kinds.view(np.int64), np.concatenate([np.arange(size) * 2, kinds.view(np.int64)])
+            word, docs = _held(at[ends], owner[rare[ends]], ids)
+            yield from _rows(kinds[word], None, docs, ids[0])
             text, a, b = _pairs_of(owner, number)
-            cold = (known.hot[np.minimum(a, size)] < 0) | (known.hot[np.minimum(b, size)] < 0)
-            width = size + len(kinds)
-            pair, docs = _held(a[cold].astype(np.int64) * width + b[cold], text[cold], ids)
-            a, b = pair // max(1, width), pair % max(1, width)
-            code = np.concatenate([np.arange(size) * 2, kinds.view(np.int64)])
-            plain, left, right = (np.flatnonzero(x) for x in ((a < size) & (b < size), a >= size, b >= size))
-            yield from _rows(a[plain] * size + b[plain], None, docs.take(pa.array(plain)), ids[0])
-            yield from _rows(code[a[left]], code[b[left]], docs.take(pa.array(left)), ids[0])
-            yield from _rows(code[b[right]], code[a[right]] | 1, docs.take(pa.array(right)), ids[0])
-            alone, docs = _held(at, owner[rare], ids)
-            yield from _rows(kinds.view(np.int64)[alone], None, docs, ids[0])
+            del number, owner, h, rare, at
+            some = np.flatnonzero(a >= size)
+            pair, docs = _held((a[some].astype(np.int64) - size) * len(code) + b[some], text[some], ids)
+            yield from _rows(kinds[pair // len(code)], code[pair % len(code)], docs, ids[0])
+            some = np.flatnonzero(b >= size)
+            pair, docs = _held((b[some].astype(np.int64) - size) * len(code) + a[some], text[some], ids)
+            yield from _rows(kinds[pair // len(code)], code[pair % len(code)] | 1, docs, ids[0])
+            cold = (a < size) & (b < size)
+            cold &= (known.hot[np.minimum(a, size)] < 0) | (known.hot[np.minimum(b, size)] < 0)
+            some = np.flatnonzero(cold)
+            pair, docs = _held(a[some].astype(np.int64) * size + b[some], text[some], ids)
+            yield from _rows(pair, None, docs, ids[0])
 
     return task
 
 
 def _rows(word: np.ndarray, other: np.ndarray | None, docs: pa.Array, base: int) -> Iterator[pa.RecordBatch]:
-    other_ = pa.nulls(len(word), pa.int64()) if other is None else pa.array(other)
-    cols = [pa.array(word), other_, pa.array(np.full(len(word), base, np.int64)), docs]
-    for x in range(0, len(word), 1 << 16):
-        yield pa.RecordBatch.from_arrays([c.slice(x, 1 << 16) for c in cols], ["word", "other", "base", "docs"])
+    for x in range(0, len(word), 1 << 15):
+        some = word[x : x + (1 << 15)]
+        other_ = pa.nulls(len(some), pa.int64()) if other is None else pa.array(other[x : x + (1 << 15)])
+        cols = [pa.array(some), other_, pa.array(np.full(len(some), base, np.int64)), docs.slice(x, 1 << 15)]
+        yield pa.RecordBatch.from_arrays(cols, ["word", "other", "base", "docs"])
 
 
 def count_words(rows: DataFrame, vocabulary: int = VOCABULARY, min_count: int = MIN_COUNT) -> Words:
@@ -216,29 +222,33 @@ def backoff_scores(
     local = rows.mapInArrow(_local(known), "id long, n_words long, score double")
     exploded = rows.mapInArrow(_explode(known), "word long, other long, base long, docs array<short>")
     size = len(known.hashes)
-    # Both windows lie inside the partitions by word: the n-gram's count, and that of the rare word it is kept under.
-    times, rare, alone = F.size("docs"), F.col("word") < 0, F.col("other").isNull()
-    found = exploded.repartition("word").withColumns({
-        "_n": F.sum(times).over(Window.partitionBy("word", "other")),
-        "_own": F.sum(F.when(alone, times)).over(Window.partitionBy("word")),
-    }).where((rare & alone) | (F.col("_n") >= min_count))
+    # One sort inside the partitions by word: the n-gram's count, then that of the rare word it is kept under.
+    times, rare = F.size("docs"), F.col("word") < 0
+    is_second = F.coalesce(F.col("other") % 2 != 0, F.lit(False))  # the rare word; the other one comes before it
+    counted = exploded.repartition("word").withColumn("_n", F.sum(times).over(Window.partitionBy("word", "other")))
+    counted = counted.withColumn("_own", F.sum(F.when(~is_second, times)).over(Window.partitionBy("word")))
+    seen = (~rare | F.col("other").isNotNull()) & (F.col("_n") >= min_count)
+    found = counted.where(seen | (rare & ~is_second))
     # What a found pair adds: log(count / count of the first word), less what its second word has as if backed off.
     numbers = pd.DataFrame({"number": np.arange(size), "log_count": np.log(known.counts.astype(float))})
     numbers = docs.sparkSession.createDataFrame(numbers, "number long, log_count double")  # as many rows as the vocabulary
     first = numbers.select(F.col("number").alias("_a"), F.col("log_count").alias("_first"))
     second = numbers.select(F.col("number").alias("_b"), F.col("log_count").alias("_second"))
-    is_first = F.col("other") % 2 != 0  # the other word comes before the rare one
     numbered = F.when(F.col("other") >= 0, F.shiftright("other", 1))
     found = found.withColumns({
-        "_a": F.when(~rare, F.expr(f"word div {max(1, size)}")).when(is_first, numbered),
-        "_b": F.when(~rare, F.col("word") % max(1, size)).when(~is_first, numbered),
+        "_a": F.when(~rare, F.expr(f"word div {max(1, size)}")).when(is_second, numbered),
+        "_b": F.when(~rare, F.col("word") % max(1, size)).when(~is_second, numbered),
     })
     found = found.join(F.broadcast(first), "_a", "left").join(F.broadcast(second), "_b", "left")
     offset = float(np.log(DISCOUNT / max(1, known.total)))
-    pair_of_rare = is_first & (F.col("other") < 0)  # its other row has the pair's count
-    gain = F.when(F.coalesce(pair_of_rare, F.lit(False)), 0.0).otherwise(F.log("_n") - offset)
-    gain = gain - F.coalesce("_first", F.lit(0.0)) - F.coalesce("_second", F.lit(0.0)) - F.when(rare, F.log("_own")).otherwise(0.0)
-    score = F.when(rare & alone, F.log("_own") + offset).otherwise(gain)
+    score = (
+        F.when(~rare, F.log("_n") - offset - F.col("_first") - F.col("_second"))
+        # Its share of the pair is what it has as if backed off; the row of a rare first word has the rest.
+        .when(is_second, F.when(F.col("other") < 0, 0.0).otherwise(F.log("_n") - offset - F.col("_first")) - F.log("_own"))
+        # A first word's row has the word itself too, as if backed off: its count cancels in a pair that was seen.
+        .when(seen, F.log("_n") - F.coalesce("_second", F.lit(0.0)))
+        .otherwise(F.log("_own") + offset)
+    )
     each = found.select(score.alias("score"), "base", F.explode("docs").alias("_d"))
     pairs = each.groupBy((F.col("base") + F.col("_d")).alias("id")).agg(F.sum("score").alias("score"))
     both = local.unionByName(pairs.select("id", F.lit(0).cast("long").alias("n_words"), "score"))

@@ -171,12 +171,12 @@ def members(rows: DataFrame, block: int = BLOCK) -> DataFrame:
 def links(texts: DataFrame, width: int, similarity: float, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) between classes that connect those of pairs with at least this similarity.
 
-    texts: (class, root, blocks, text) of members; of rows with one class one is read. First all blocks of a group meet its
+    texts: (class, root, blocks, text) of members, each class once. First all blocks of a group meet its
     block 0, which takes two copies of a set however large the group is, and connects nearly all of a dense
     group. Pairs that are still apart lie in two of the components that gives, so one of them at least is outside the
     largest one: those outside meet all others of the group, in squares of two blocks.
     """
-    texts = texts.dropDuplicates(["class"]).select("class", "root", "blocks", F.col("text").cast("binary").alias("text"))
+    texts = texts.select("class", "root", "blocks", F.col("text").cast("binary").alias("text"))
     sets = cut_lineage(texts.mapInArrow(_sets(width), "class long, root long, blocks int, shingles binary"))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     first = sets.withColumn("block", _block("blocks")).withColumn("i", F.lit(0))

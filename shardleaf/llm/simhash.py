@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
-from ..plans import cut_lineage
+from ..plans import broadcast_if_small, cut_lineage
 from . import near
 from .columns import restore, set_aside
 from .components import components
@@ -151,7 +151,7 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     gone = rows.select("class", "id").join(names, "class").where("id != name").select("id").distinct()
     gone = cut_lineage(gone.select(F.col("id.id").alias("gone_id"), F.col("id.key").alias("gone_key")))
     kept = set_aside(docs, id=F.col(id_col), key=F.xxhash64(text_col))
-    kept = kept.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("key") == F.col("gone_key")), "left_anti")
+    kept = kept.join(broadcast_if_small(gone), F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("key") == F.col("gone_key")), "left_anti")
     if not rows.groupBy("id").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["id", "key"])
     return restore(kept, docs.columns)
@@ -165,9 +165,11 @@ def _alike(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, width:
     classes = rows.groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("cells").alias("cells"), F.count(F.lit(1)).alias("copies"))
     classes = cut_lineage(classes)
     members = near.members(classes.select("class", "n", "cells"))
-    one = members.join(classes.select("class", F.col("id.id").alias("one_id"), F.col("id.key").alias("one_key")), "class")
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).cast("binary").alias("text"))
-    texts = texts.join(cut_lineage(one), F.col("id").eqNullSafe(F.col("one_id")) & (F.col("key") == F.col("one_key")))
+    one = members.join(classes.select("class", F.struct(F.col("id.id").alias("id")).alias("who"), F.col("id.key").alias("key")), "class")
+    # Structs are equal where both ids are null, and rows come grouped as they were joined: the text moves once, or not at all.
+    who = [F.struct(F.col(id_col).alias("id")).alias("who"), F.xxhash64(text_col).alias("key")]
+    texts = docs.select(*who, F.col(text_col).cast("binary").alias("text")).join(broadcast_if_small(cut_lineage(one)), ["who", "key"])
+    texts = texts.groupBy("who", "key", "class", "root", "blocks").agg(F.first("text").alias("text"))
     roots = components(near.links(texts.select("class", "root", "blocks", "text"), width, similarity))
     placed = classes.select("class", "id", "copies").join(roots.withColumnRenamed("node", "class"), "class", "left").where("copies > 1 OR root IS NOT NULL")
     placed = cut_lineage(placed.withColumn("root", F.coalesce("root", "class")))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from ..plans import cut_lineage
+from ..plans import broadcast_if_small, cut_lineage
 from . import words
 from .columns import restore, set_aside
 
@@ -193,5 +193,5 @@ def _with_cuts(docs: DataFrame, id_col: str, text_col: str, window: int) -> Data
     """(row, cut): every row of docs and what is left of its text."""
     spans = repeated_spans(docs, id_col, text_col, window).select(F.col("id").alias("span_id"), F.col("key").alias("span_key"), "spans")
     rows = set_aside(docs, id=F.col(id_col).cast("long"), key=F.xxhash64(text_col))
-    rows = rows.join(spans, (F.col("id") == F.col("span_id")) & (F.col("key") == F.col("span_key")), "left")
+    rows = rows.join(broadcast_if_small(cut_lineage(spans)), (F.col("id") == F.col("span_id")) & (F.col("key") == F.col("span_key")), "left")
     return rows.select("row", _cutter(window)(F.col("row").getField(text_col).cast("binary"), "spans").alias("cut"))

@@ -6,7 +6,8 @@ import pytest
 import corpus_pipeline as cp
 from shardleaf.llm import near, simhash, words
 from shardleaf.llm.queries import table
-from shardleaf.plans import cut_lineage
+from shardleaf.llm.substrings import remove_repeats
+from shardleaf.plans import bounds, cut_lineage
 
 
 def plain_set(text, width=5):
@@ -109,3 +110,20 @@ def test_edge_cases(spark):
     assert simhash.one_per_group(docs.limit(0), width=5, similarity=0.8).count() == 0
     with pytest.raises(ValueError):
         simhash.one_per_group(docs, width=5)
+
+
+def test_sides_beyond_a_broadcast(spark, sf):
+    """The same rows when every measured side is too big, with null ids and repeated rows; no broadcast is asked for or chosen."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").where("doc_id < 120")
+    more = docs.where("doc_id < 20").selectExpr("CAST(NULL AS bigint) AS doc_id", "concat(text, ' more') AS text")
+    docs = cut_lineage(docs.union(more).union(more).union(docs.where("doc_id < 9")))
+    forms = [lambda: simhash.one_per_group(docs, width=5, similarity=0.8), lambda: remove_repeats(docs, window=20)]
+    want = [sorted(map(str, form().collect())) for form in forms]
+    keep, auto = bounds.broadcast_if_small.__defaults__, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        bounds.broadcast_if_small.__defaults__ = (0, 0)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert [sorted(map(str, form().collect())) for form in forms] == want
+    finally:
+        bounds.broadcast_if_small.__defaults__ = keep
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)

@@ -117,7 +117,7 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, window: int = WI
     whole = placed.where("id > first").select("id", "key", "start", "n")
     leaders = placed.where("id = first AND mixed")
     spans = F.collect_list(F.struct("start", "n")).alias("spans")
-    candidates = rows.join(cut_lineage(leaders.groupBy("id", "key").agg(spans)), ["id", "key"])
+    candidates = rows.join(broadcast_if_small(cut_lineage(leaders.groupBy("id", "key").agg(spans))), ["id", "key"])
     hashed = cut_lineage(candidates.dropDuplicates(["id", "key"]).mapInArrow(_windows(window), "h1 long, h2 long, id long, key long, start long"))
     firsts = cut_lineage(hashed.groupBy("h1", "h2").agg(F.min("id").alias("first")))
     single = hashed.join(firsts, ["h1", "h2"]).where("id > first").select("id", "key", "start", F.lit(1).cast("long").alias("n"))

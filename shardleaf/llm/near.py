@@ -1,10 +1,10 @@
-"""Near-duplicates by verified Jaccard similarity of word shingles; candidates from several MinHash fingerprints.
+"""Near-duplicates by verified Jaccard similarity of word shingles; candidates from SimHash and several MinHash fingerprints.
 
 A text is the set of its runs of `width` words, lower-cased; a shorter text is one shingle, and texts without
 words equal each other only. BANDS fingerprints of ROWS minima each name BANDS cells of a text: two texts
 share one with a chance of 1 - (1 - s^ROWS)^BANDS at similarity s (0.9999 at 0.8). Texts of equal words are
-one class. Classes that shared cells connect are a candidate group, and all pairs of a group are compared by
-their whole sets, so a pair is missed only if no chain of shared cells leads from one to the other.
+one class. Classes whose SimHash differs in 2 bits at most (see `simhash`) or that shared cells connect are a candidate group, and
+all pairs of a group are compared by their whole sets, so a pair is missed only if no chain of these leads from one to the other.
 
 Groups are found from the cells alone, and only texts in company are read again. A large group is cut by a hash
 of the class into blocks, and squares of two blocks are compared, so no task gets a whole hot group. All blocks meet the
@@ -46,8 +46,22 @@ def shingles(block: words.Block, width: int) -> tuple[np.ndarray, np.ndarray]:
     return _span_sums(block.hashes(0, words.LOWER))(start, end), first
 
 
+def fingerprints(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """SimHash of each text: a bit is set if it is in over half of the shingles' hashes; 0 without shingles."""
+    n = np.diff(first)
+    some, out = np.flatnonzero(n), np.zeros(len(n), np.uint64)
+    for bit in np.arange(64 if len(some) else 0, dtype=np.uint64):
+        ones = np.add.reduceat(h >> bit & np.uint64(1), first[some])
+        out[some] |= (ones.astype(np.int64) * 2 > n[some]).astype(np.uint64) << bit
+    return out
+
+
 def signatures(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(class, shingles, cells) of each text; cells are BANDS longs, of no meaning for a text without words."""
+    return _signatures(texts, width)[:3]
+
+
+def _signatures(texts: list[bytes | None], width: int) -> tuple[np.ndarray, ...]:
     block = words.block(texts)
     h, first = shingles(block, width)
     same = _span_sums(block.hashes(1, words.LOWER))(block.first[:-1], block.first[1:])
@@ -60,19 +74,19 @@ def signatures(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.nd
             for odd in _ODD[band * ROWS : (band + 1) * ROWS]:
                 cell = words.mix(cell + np.minimum.reduceat(h * odd, at))
             cells[some, band] = cell
-    return same.view(np.int64), np.diff(first), cells.view(np.int64)
+    return same.view(np.int64), np.diff(first), cells.view(np.int64), fingerprints(h, first).view(np.int64)
 
 
 def _signed(width: int) -> Callable:
-    kind = StructType([StructField("class", LongType()), StructField("n", LongType()), StructField("cells", ArrayType(LongType()))])
+    kind = StructType([StructField(c, LongType()) for c in ("class", "n", "fp")] + [StructField("cells", ArrayType(LongType()))])
 
     @F.arrow_udf(kind)
     def task(texts: pa.Array) -> pa.Array:
         raw = [t.as_py() for t in texts]
-        parts = [signatures(raw[a:b], width) for a, b in words.groups(raw)] or [signatures([], width)]
-        same, n, cells = (np.concatenate(c) for c in zip(*parts))
+        parts = [_signatures(raw[a:b], width) for a, b in words.groups(raw)] or [_signatures([], width)]
+        same, n, cells, prints = (np.concatenate(c) for c in zip(*parts))
         cells = pa.ListArray.from_arrays(pa.array(np.arange(len(raw) + 1, dtype=np.int32) * BANDS), pa.array(cells.ravel()))
-        return pa.StructArray.from_arrays([pa.array(same), pa.array(n.astype(np.int64)), cells], ["class", "n", "cells"])
+        return pa.StructArray.from_arrays([pa.array(same), pa.array(n.astype(np.int64)), pa.array(prints), cells], ["class", "n", "fp", "cells"])
 
     return task
 
@@ -153,15 +167,16 @@ def _compare(similarity: float) -> Callable:
     return task
 
 
-def members(rows: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(class, root, blocks) of the classes that share a cell with another one: their candidate group and its number of blocks.
+def members(rows: DataFrame, block: int = BLOCK, stars: DataFrame | None = None) -> DataFrame:
+    """(class, root, blocks) of the classes that share a cell with another one or have an edge in stars: their candidate group
+    and its number of blocks.
 
-    rows: (class, n, cells), each class once.
+    rows: (class, n, cells), each class once; stars: (a, b), further pairs of classes to compare.
     """
     cells = rows.where("n > 0").select("class", F.explode("cells").alias("cell"))
     company = cut_lineage(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("_n"), F.min("class").alias("_first")).where("_n > 1").select("cell", "_first"))
-    stars = cells.join(company, "cell").where("class != _first").select(F.col("class").alias("a"), F.col("_first").alias("b"))
-    groups = cut_lineage(components(stars))
+    shared = cells.join(company, "cell").where("class != _first").select(F.col("class").alias("a"), F.col("_first").alias("b"))
+    groups = cut_lineage(components(shared if stars is None else shared.union(stars.select("a", "b"))))
     groups = cut_lineage(groups.join(rows.select(F.col("class").alias("node"), "n"), "node"))
     many = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
     sizes = cut_lineage(groups.groupBy("root").agg(many.alias("blocks")))

@@ -132,12 +132,26 @@ def _named(rows: DataFrame) -> DataFrame:
     return cut_lineage(placed.join(names, "root").select("fp", "name"))
 
 
+def close_stars(classes: DataFrame) -> DataFrame:
+    """Edges (a, b) from each class to the smallest one of its group of fingerprints that links of 2 or fewer differing bits connect.
+
+    classes: (class, fp), each class once.
+    """
+    placed = cut_lineage(classes.select("class", "fp"))
+    roots = cut_lineage(components(link_stars(placed.select("fp").distinct())))
+    placed = placed.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("class", F.coalesce("root", "fp").alias("root"))
+    placed = cut_lineage(placed)
+    firsts = cut_lineage(placed.groupBy("root").agg(F.min("class").alias("b"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("root", "b"))
+    return placed.join(firsts, "root").where("class != b").select(F.col("class").alias("a"), "b")
+
+
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, similarity: float | None = None) -> DataFrame:
     """The rows of docs without near-duplicates: of each group the row with the smallest id (null last, then
     the smallest hash of the text); of exact copies of that row one. All columns stay as they are.
 
     Links are 2 or fewer differing bits of the fingerprints; with a similarity they are pairs of texts whose sets of
-    `width`-word shingles have at least this Jaccard similarity, compared exactly (see `near`).
+    `width`-word shingles have at least this Jaccard similarity, compared exactly among candidates: fingerprints of these shingles
+    within 2 bits, and MinHash cells for the pairs that lie further apart in bits (see `near`).
     """
     key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key")).alias("id")
     if similarity is None:
@@ -158,13 +172,13 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _alike(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
-    """(id, class, n, cells) rows to (class, name) for texts in company: the smallest id of the group of texts that links connect.
+    """(id, class, n, fp, cells) rows to (class, name) for texts in company: the smallest id of the group of texts that links connect.
 
-    Only texts that share a cell with others are read for the comparison.
+    Candidates are texts with fingerprints that links of 2 bits connect, and those that share a cell; only they are read for the comparison.
     """
-    classes = rows.groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("cells").alias("cells"), F.count(F.lit(1)).alias("copies"))
-    classes = cut_lineage(classes)
-    members = near.members(classes.select("class", "n", "cells"))
+    same = [F.first(c).alias(c) for c in ("n", "fp", "cells")]
+    classes = cut_lineage(rows.groupBy("class").agg(F.min("id").alias("id"), *same, F.count(F.lit(1)).alias("copies")))
+    members = near.members(classes.select("class", "n", "cells"), stars=close_stars(classes.where("n > 0")))
     one = members.join(classes.select("class", F.struct(F.col("id.id").alias("id")).alias("who"), F.col("id.key").alias("key")), "class")
     # Structs are equal where both ids are null, and rows come grouped as they were joined: the text moves once, or not at all.
     who = [F.struct(F.col(id_col).alias("id")).alias("who"), F.xxhash64(text_col).alias("key")]

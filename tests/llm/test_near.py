@@ -2,9 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from shardleaf.llm import near, simhash, words
+from shardleaf.llm import near, simhash, substrings, words
 from shardleaf.llm.queries import table
 from shardleaf.llm.substrings import remove_repeats
 from shardleaf.plans import bounds, cut_lineage
@@ -127,3 +128,38 @@ def test_sides_beyond_a_broadcast(spark, sf):
     finally:
         bounds.broadcast_if_small.__defaults__ = keep
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+
+
+def test_fingerprints_are_majorities_of_shingle_hashes():
+    texts = [b"a b c d e f g a b c d e f g", b"", b"one", None, b"x " * 300]
+    h, first = near.shingles(words.block(texts), 5)
+    for got, x, y in zip(near.fingerprints(h, first), first[:-1], first[1:]):
+        assert int(got) == sum(1 << b for b in range(64) if 2 * sum(int(v) >> b & 1 for v in h[x:y]) > y - x)
+
+
+def test_simhash_finds_candidates_of_the_stage(spark, sf, monkeypatch):
+    """The named method takes part: without any MinHash cell, copies within 2 bits are still found and compared exactly."""
+    base = [f"w{i}" for i in range(3000)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:-1], "end"])), (3, " ".join(f"v{i}" for i in range(50)))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    plain = near.members
+    monkeypatch.setattr(near, "members", lambda rows, **k: plain(rows.withColumn("cells", F.array().cast("array<long>")), **k))
+    assert sorted(r.doc_id for r in cp.near_duplicates(spark, docs, sf).collect()) == [1, 3]
+
+
+def test_texts_of_repeated_windows_are_not_shuffled(spark):
+    """While the texts that hold single repeated windows are few, their keys are broadcast; the texts of all documents stay where they are."""
+    rng, seen = np.random.default_rng(5), []
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 10**6, 200))) for i in range(60)]
+    rows += [(100 + i, " ".join([*rows[i][1].split()[40:160], *(f"u{x}" for x in rng.integers(0, 10**6, 30))])) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept, plain = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), substrings.cut_lineage
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(substrings, "cut_lineage", lambda df: (seen.append(df._jdf.queryExecution().sparkPlan().toString()), plain(df))[1])
+            remove_repeats(docs).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    hashed = [p for p in seen if "h1" in p and "MapInArrow" in p]
+    assert hashed and all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in hashed)

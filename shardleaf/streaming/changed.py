@@ -9,29 +9,29 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from .debounce import _interval
-from .state import InOrder
+from .state import BUCKETS, InOrder
 
 
 class _Changed(InOrder):
     PAYLOAD = {"value": "string", "reset": "boolean"}
-    OUTPUT = ["user_id", "value", "us", "seq"]
+    OUTPUT = {"value": "string", "us": "long", "seq": "long"}
+    MEMORY = {"last": "string"}
 
-    def open_state(self, handle):
-        self.memory = handle.getValueState("memory", "last string")
+    def first(self):
+        return ("",)
 
-    def on_rows(self, key, rows):
-        last = self.memory.get()[0] if self.memory.exists() else ""
+    def on_rows(self, rows, memory):
+        (last,) = memory
         out = []
         for us, seq, value, reset in rows:
             squeezed = (value or "").replace(" ", "")
             if squeezed and (reset or squeezed != last):
-                out.append((key[0], value, us, seq))
+                out.append((value, us, seq))
             last = squeezed
-        self.memory.update((last,))
-        return out
+        return out, (last,)
 
 
-def changed_stream(values: DataFrame, delay: float = 0, reset: str | None = None) -> DataFrame:
+def changed_stream(values: DataFrame, delay: float = 0, reset: str | None = None, buckets: int = BUCKETS) -> DataFrame:
     """(user_id, value, ts, seq) of each value that differs, squeezed, from the one before it.
 
     values is (user_id, value, ts, seq); an empty value or a true `reset` flag clears the memory.
@@ -40,10 +40,7 @@ def changed_stream(values: DataFrame, delay: float = 0, reset: str | None = None
         "user_id", "ts", F.unix_micros("ts").alias("us"), F.coalesce(F.col("seq").cast("long"), F.lit(0)).alias("seq"), "value",
         (F.coalesce(F.col(reset), F.lit(False)) if reset else F.lit(False)).alias("reset"),
     )
-    user = values.schema["user_id"].dataType.simpleString()
-    return rows.groupBy("user_id").transformWithStateInPandas(
-        _Changed(), f"user_id {user}, value string, us long, seq long", "Append", "EventTime"
-    ).select("user_id", "value", F.timestamp_micros("us").alias("ts"), "seq")
+    return _Changed().over(rows, "user_id", buckets).select("user_id", "value", F.timestamp_micros("us").alias("ts"), "seq")
 
 
 class _ChangedBursts(StatefulProcessor):

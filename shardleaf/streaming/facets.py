@@ -5,32 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .debounce import _interval
-from .state import InOrder
+from .state import BUCKETS, InOrder
 
 
 class _Facets(InOrder):
     PAYLOAD = {"q": "string", "section_id": "int"}
-    OUTPUT = ["user_id", "q", "section_id", "us", "seq"]
+    OUTPUT = {"q": "string", "section_id": "int", "us": "long", "seq": "long"}
+    MEMORY = PAYLOAD
 
     def __init__(self, default_section: int) -> None:
         self.default_section = default_section
 
-    def open_state(self, handle):
-        self.active = handle.getValueState("active", "q string, section_id int")
+    def first(self):
+        return None, self.default_section
 
-    def on_rows(self, key, rows):
-        query, section = self.active.get() if self.active.exists() else (None, self.default_section)
+    def on_rows(self, rows, memory):
+        query, section = memory
         out = []
         for us, seq, new_query, new_section in rows:
             query = query if new_query is None else new_query
             section = section if new_section is None else int(new_section)
             if query and query.strip(" "):
-                out.append((key[0], query, section, us, seq))
-        self.active.update((query, section))
-        return out
+                out.append((query, section, us, seq))
+        return out, (query, section)
 
 
-def facet_stream(queries: DataFrame, choices: DataFrame, delay: float = 0, default_section: int = 0) -> DataFrame:
+def facet_stream(queries: DataFrame, choices: DataFrame, delay: float = 0, default_section: int = 0, buckets: int = BUCKETS) -> DataFrame:
     """(user_id, q, section_id, ts, seq): a query runs in the chosen section, a choice re-runs the query.
 
     queries is (user_id, q, ts, seq) and choices (user_id, section_id, ts, seq), both streams.
@@ -41,7 +41,4 @@ def facet_stream(queries: DataFrame, choices: DataFrame, delay: float = 0, defau
     rows = both.withWatermark("ts", _interval(delay)).withColumns({
         "us": F.unix_micros("ts"), "seq": F.coalesce(F.col("seq").cast("long"), F.lit(0)),
     })
-    user = queries.schema["user_id"].dataType.simpleString()
-    return rows.groupBy("user_id").transformWithStateInPandas(
-        _Facets(default_section), f"user_id {user}, q string, section_id int, us long, seq long", "Append", "EventTime"
-    ).select("user_id", "q", "section_id", F.timestamp_micros("us").alias("ts"), "seq")
+    return _Facets(default_section).over(rows, "user_id", buckets).select("user_id", "q", "section_id", F.timestamp_micros("us").alias("ts"), "seq")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .debounce import _interval
-from .state import InOrder
+from .state import BUCKETS, InOrder
 
 
 def toggle_stream(clicks: DataFrame, initially_open: bool = False) -> DataFrame:
@@ -16,33 +16,32 @@ def toggle_stream(clicks: DataFrame, initially_open: bool = False) -> DataFrame:
 
 class _ToggleAll(InOrder):
     PAYLOAD = {"id": "string", "is_all": "boolean"}
-    OUTPUT = ["page_id", "id", "is_open"]
+    OUTPUT = {"id": "string", "is_open": "boolean"}
+    MEMORY = {"base": "boolean", "blocks": "array<string>", "is_open": "array<boolean>"}  # blocks clicked since the last click on all
 
     def __init__(self, initially_open: bool) -> None:
         self.initially_open = initially_open
 
-    def open_state(self, handle):
-        self.base = handle.getValueState("base", "is_open boolean")
-        self.flipped = handle.getMapState("flipped", "id string", "is_open boolean")
+    def first(self):
+        return self.initially_open, [], []
 
-    def on_rows(self, key, rows):
-        base = bool(self.base.get()[0]) if self.base.exists() else self.initially_open
+    def on_rows(self, rows, memory):
+        base, flipped = memory[0], dict(zip(*memory[1:]))
         touched, reset = set(), False
         for _, _, block, is_all in rows:
             if is_all:
                 base, reset = not base, True
-                self.flipped.clear()
+                flipped.clear()
                 touched.clear()
                 continue
             touched.add(block)
-            now = self.flipped.getValue((block,))[0] if self.flipped.containsKey((block,)) else base
-            self.flipped.updateValue((block,), (not now,))
-        self.base.update((base,))
-        out = [(key[0], None, base)] if reset else []
-        return out + [(key[0], b, bool(self.flipped.getValue((b,))[0])) for b in sorted(touched)]
+            flipped[block] = not flipped.get(block, base)
+        out = [(None, base)] if reset else []
+        out += [(b, flipped[b]) for b in sorted(touched)]
+        return out, (base, list(flipped), list(flipped.values()))
 
 
-def toggle_all_stream(clicks: DataFrame, delay: float = 0, initially_open: bool = True) -> DataFrame:
+def toggle_all_stream(clicks: DataFrame, delay: float = 0, initially_open: bool = True, buckets: int = BUCKETS) -> DataFrame:
     """(page_id, id, is_open); a null id speaks for every block of the page not named after it.
 
     clicks is (page_id, id, is_all, ts, seq): single clicks, and "toggle all" clicks whose id is null.
@@ -51,7 +50,4 @@ def toggle_all_stream(clicks: DataFrame, delay: float = 0, initially_open: bool
         "page_id", "ts", F.unix_micros("ts").alias("us"), F.coalesce(F.col("seq").cast("long"), F.lit(0)).alias("seq"),
         F.col("id").cast("string").alias("id"), "is_all",
     )
-    page = clicks.schema["page_id"].dataType.simpleString()
-    return rows.groupBy("page_id").transformWithStateInPandas(
-        _ToggleAll(initially_open), f"page_id {page}, id string, is_open boolean", "Append", "EventTime"
-    )
+    return _ToggleAll(initially_open).over(rows, "page_id", buckets)

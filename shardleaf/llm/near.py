@@ -82,10 +82,9 @@ def _signed(width: int) -> Callable:
 
     @F.arrow_udf(kind)
     def task(texts: pa.Array) -> pa.Array:
-        raw = [t.as_py() for t in texts]
-        parts = [_signatures(raw[a:b], width) for a, b in words.groups(raw)] or [_signatures([], width)]
+        parts = [_signatures(some, width) for _, _, some in words.pieces(texts)] or [_signatures([], width)]
         same, n, cells, prints = (np.concatenate(c) for c in zip(*parts))
-        cells = pa.ListArray.from_arrays(pa.array(np.arange(len(raw) + 1, dtype=np.int32) * BANDS), pa.array(cells.ravel()))
+        cells = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(cells.ravel()))
         return pa.StructArray.from_arrays([pa.array(same), pa.array(n.astype(np.int64)), pa.array(prints), cells], ["class", "n", "fp", "cells"])
 
     return task
@@ -94,9 +93,8 @@ def _signed(width: int) -> Callable:
 def _sets(width: int) -> Callable:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.as_py() for t in batch.column("text")]
-            for a, b in words.groups(texts):
-                h, first = shingles(words.block(texts[a:b]), width)
+            for a, b, texts in words.pieces(batch.column("text")):
+                h, first = shingles(words.block(texts), width)
                 sets = [np.unique(h[x:y]).tobytes() for x, y in zip(first[:-1], first[1:])]
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in ("class", "root", "blocks")] + [pa.array(sets, pa.binary())], ["class", "root", "blocks", "shingles"])
@@ -152,12 +150,13 @@ def _compare(similarity: float) -> Callable:
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         for batch in batches:
-            c = {n: batch.column(n).to_pylist() for n in ("root", "i", "j", "block", "class", "shingles")}
+            c = {n: batch.column(n).to_pylist() for n in ("root", "i", "j", "block", "class")}
+            sets = batch.column("shingles")  # copied out of the batch for one square at a time
             for r, at in enumerate(zip(c["root"], c["i"], c["j"])):
                 if at != key:
                     flush()
                     key, rows = at, []
-                rows.append((c["block"][r], c["class"][r], c["shingles"][r]))
+                rows.append((c["block"][r], c["class"][r], sets[r].as_py()))
             if out:
                 yield batch_of()
         flush()

@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from ..plans import broadcast_if_small, cut_lineage
@@ -71,10 +71,9 @@ def _runs_of(block: words.Block, window: int) -> tuple[np.ndarray, ...]:
 def _runs(window: int, narrow: bool) -> Callable:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.as_py() for t in batch.column("text")]
             ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "key"))
-            for a, b in words.groups(texts):
-                text, anchor, content, start, count = _runs_of(words.block(texts[a:b]), window)
+            for a, b, texts in words.pieces(batch.column("text")):
+                text, anchor, content, start, count = _runs_of(words.block(texts), window)
                 if narrow:  # one row per anchor and text
                     pairs = np.unique(np.stack([anchor, ids[a:b][text]], 1), axis=0) if len(text) else np.zeros((0, 2), np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["anchor", "id"])
@@ -155,12 +154,15 @@ def cut(text: bytes | None, runs: tuple[np.ndarray, np.ndarray] | None, window:
 
 
 def _cutter(window: int) -> Callable:
+    """cut() over a batch; a text that loses nothing is not sent back (its text is null)."""
+
     @F.arrow_udf(_CUT)
     def task(texts: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
         for t, s in zip(texts, spans):
             runs = None if not s.is_valid else tuple(s.values.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            out.append(cut(t.as_py(), runs, window))
+            n_words, n_removed, digest, left = cut(t.as_py(), runs, window)
+            out.append((n_words, n_removed, digest, left if n_removed else None))
         cols = list(zip(*out)) or [(), (), (), ()]
         types = [pa.int64(), pa.int64(), pa.string(), pa.binary()]
         return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["n_words", "n_removed", "kept_sha256", "text"])
@@ -178,20 +180,28 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = _with_cuts(docs, id_col, text_col, window)
     cut = {c: F.col("cut").getField(c) for c in ("n_words", "n_removed", "kept_sha256")}
-    return restore(rows, docs.columns, **{text_col: F.col("cut.text").cast("string")}, **cut)
+    return restore(rows, docs.columns, **{text_col: _left(text_col)}, **cut)
 
 
 def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, chars_col: str = "n_chars") -> DataFrame:
     """docs with the text cut as in remove_repeats and chars_col counted anew where words went; all other columns stay."""
-    rows = _with_cuts(docs, id_col, text_col, window)
-    text = F.col("cut.text").cast("string")
+    rows = _with_cuts(docs, id_col, text_col, window, whole=False)
+    text = _left(text_col)
     n_chars = F.when(F.col("cut.n_removed") > 0, F.char_length(text).cast("long")).otherwise(F.col("row").getField(chars_col))
     return restore(rows, docs.columns, **{text_col: text, chars_col: n_chars})
 
 
-def _with_cuts(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """(row, cut): every row of docs and what is left of its text."""
+def _left(text_col: str) -> Column:
+    """The text without the removed words: as it was where none went."""
+    return F.when(F.col("cut.n_removed") > 0, F.col("cut.text").cast("string")).otherwise(F.col("row").getField(text_col).cast("string"))
+
+
+def _with_cuts(docs: DataFrame, id_col: str, text_col: str, window: int, whole: bool = True) -> DataFrame:
+    """(row, cut): every row of docs and what is left of its text. Unless `whole`, Python gets only the texts
+    that lose words, and n_words and kept_sha256 of the others mean nothing."""
     spans = repeated_spans(docs, id_col, text_col, window).select(F.col("id").alias("span_id"), F.col("key").alias("span_key"), "spans")
     rows = set_aside(docs, id=F.col(id_col).cast("long"), key=F.xxhash64(text_col))
     rows = rows.join(broadcast_if_small(cut_lineage(spans)), (F.col("id") == F.col("span_id")) & (F.col("key") == F.col("span_key")), "left")
-    return rows.select("row", _cutter(window)(F.col("row").getField(text_col).cast("binary"), "spans").alias("cut"))
+    text = F.col("row").getField(text_col).cast("binary")
+    text = text if whole else F.when(F.col("spans").isNotNull(), text)
+    return rows.select("row", _cutter(window)(text, "spans").alias("cut"))

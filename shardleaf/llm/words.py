@@ -11,6 +11,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 BLOCK = 1 << 21  # bytes of text in a block of several texts
 SLICE = 1 << 20  # bytes hashed at a time
@@ -132,3 +133,16 @@ def groups(texts: Sequence[bytes | None], limit: int = BLOCK) -> Iterator[tuple[
         size += n
     if a < len(texts):
         yield a, len(texts)
+
+
+def pieces(column: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, int, list[bytes | None]]]:
+    """(a, b, texts a to b) as `groups` cuts a binary column; only the texts of one range at a time are copied out of it."""
+    a = size = 0
+    for i, t in enumerate(column):
+        n = t.as_buffer().size if t.is_valid else 0
+        if i > a and size + n > limit:
+            yield a, i, column[a:i].to_pylist()
+            a, size = i, 0
+        size += n
+    if a < len(column):
+        yield a, len(column), column[a:].to_pylist()

@@ -1,10 +1,15 @@
 import hashlib
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from shardleaf.llm import near, substrings, words
 from shardleaf.llm.queries import QUERIES, table
-from shardleaf.llm.substrings import remove_repeats
+from shardleaf.llm.substrings import cut_texts, remove_repeats
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
@@ -67,3 +72,68 @@ def test_long_text_and_empty_table(spark):
     got = {r.doc_id: (r.n_words, r.n_removed) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] == (300_000, 0) and got[2][1] >= got[2][0] - 2
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_texts_that_lose_nothing_are_not_sent_back():
+    texts = [b"a " * 60, b"x " + b"b " * 50 + b"y", None, b""]
+    spans = [None, [{"start": 1, "n": 1}], None, None]
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("n", pa.int64())]))
+    got = substrings._cutter(50).func(pa.array(texts, pa.binary()), pa.array(spans, kind)).to_pylist()
+    assert [r["text"] for r in got] == [None, b"x y", None, None]
+    assert [(r["n_words"], r["n_removed"]) for r in got] == [(60, 0), (52, 50), (0, 0), (0, 0)]
+
+
+def test_stage_sends_python_only_texts_that_lose_words(spark, monkeypatch):
+    plain_cutter = substrings._cutter
+
+    def strict(window):
+        inner = plain_cutter(window).func
+
+        @F.arrow_udf(substrings._CUT)
+        def task(texts: pa.Array, spans: pa.Array) -> pa.Array:
+            if any(t.is_valid and not s.is_valid for t, s in zip(texts, spans)):
+                raise ValueError("a text without cuts came along")
+            return inner(texts, spans)
+
+        return task
+
+    monkeypatch.setattr(substrings, "_cutter", strict)
+    rows = [(1, w(0, 80), 7), (2, "x  " + w(10, 70) + " y", 7), (3, "short  é\n", 7), (4, None, None), (None, w(0, 80), 7), (5, "", 0)]
+    got = {r.doc_id: (r.text, r.n_chars) for r in cut_texts(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")).collect()}
+    assert got == {i: (t, n) for i, t, n in rows} | {2: ("x  y", 4)}
+
+
+def first_of(task, batch):
+    """Bytes held by Python and numpy once a task over a batch has given its first rows."""
+    tracemalloc.start()
+    try:
+        rows = task(iter([batch]))
+        next(rows)
+        return tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("task", [substrings._runs(50, True), substrings._runs(50, False), near._sets(5)])
+def test_texts_are_copied_out_of_a_batch_by_ranges(task):
+    texts = [b" ".join(b"%07d" % (i * j % 99991) for j in range(65_536)) for i in range(1, 65)]  # half a MB each, 33 MB together
+    n = pa.array(range(len(texts)))
+    batch = pa.RecordBatch.from_arrays([n, n, n, n, n, pa.array(texts, pa.binary())], ["id", "key", "class", "root", "blocks", "text"])
+    next(task(iter([batch.slice(0, 4)])))  # tables of powers stay
+    assert first_of(task, batch) < 16e6
+    assert [(a, b) for a, b, _ in words.pieces(batch.column("text"))] == list(words.groups(texts))
+    assert [t for *_, some in words.pieces(batch.column("text")[5:50], 1 << 20) for t in some] == texts[5:50]
+
+
+def test_sets_are_copied_out_of_a_batch_by_squares():
+    values = np.arange(4_000_000, dtype=np.uint64).reshape(1000, 4000)
+    pair = pa.array(np.arange(1000) // 2)
+    cols = {"root": pair, "i": pa.array([0] * 1000), "j": pa.array([0] * 1000), "block": pa.array([0] * 1000), "class": pa.array(range(1000))}
+    batch = pa.RecordBatch.from_arrays([*cols.values(), pa.array([values[i // 4 * 4].tobytes() for i in range(1000)])], [*cols, "shingles"])
+    tracemalloc.start()
+    try:
+        edges = [x for b in near._compare(0.8)(iter([batch])) for x in zip(b["a"].to_pylist(), b["b"].to_pylist())]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sorted(map(sorted, edges)) == [[i, i + 1] for i in range(0, 1000, 2)] and most < 16e6
